@@ -26,7 +26,7 @@ def connect(folder: str):
 
 def plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
-        return ("null",)
+        return ("", "null")
     if isinstance(value, bool):
         return ("bool", value)
     if isinstance(value, float):
@@ -56,6 +56,7 @@ def compare(spark, con, folder, name, function, sql):
     want = rows_of(columns, cursor.fetchall())
     if got == want:
         return len(got), took, None
-    extra = [r for r in got if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(got)][:3]
-    return len(got), took, f"{len(got)}/{len(want)} rows; only spark {extra}; only sql {missing}"
+    extra = sorted(set(got) - set(want))[:2]
+    missing = sorted(set(want) - set(got))[:2]
+    counts = f"{len(got)}/{len(want)} rows, {len(set(got) - set(want))} differ"
+    return len(got), took, f"{counts}; only spark {extra}; only sql {missing}"

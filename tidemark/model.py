@@ -152,7 +152,7 @@ def batch_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").alias("amount"),
         recode("o_orderpriority", TRANSACTION_TYPES, "transfer").alias("transaction_type"),
         recode("o_orderstatus", STATUSES, "cancelled").alias("status"),
-        (F.col("o_totalprice") / 1000).alias("processing_time_ms"),
+        F.floor(F.col("o_totalprice") / 1000).cast("double").alias("processing_time_ms"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import fraud_rate_category, percent, safe_ratio
 from tidemark.functions.texts import parse_log_lines
 from tidemark.functions.times import period_start, whole_days_between
+from tidemark.model import MONEY
 from tidemark.operators.percentiles import percentiles
 
 
@@ -112,9 +113,12 @@ def transaction_rollup(transactions: DataFrame) -> DataFrame:
             count_rows().alias("total_transactions"),
             count_when(completed).alias("completed_transactions"),
             count_when(F.col("status") == "failed").alias("failed_transactions"),
+            # Rounded from decimals: the mean of two amounts often ends in half a cent.
             F.round(F.sum("amount"), 2).alias("total_revenue"),
             F.round(sum_when(completed, F.col("amount")), 2).alias("completed_revenue"),
-            F.round(F.avg("amount"), 2).alias("avg_transaction_amount"),
+            F.round(F.avg(F.col("amount").cast(MONEY)), 2)
+            .cast("double")
+            .alias("avg_transaction_amount"),
         )
         .withColumn(
             "success_rate", percent("completed_transactions", "total_transactions")

@@ -85,7 +85,7 @@ ORDERS_SQL = """(SELECT o_orderkey AS transaction_id, o_custkey AS user_id,
         WHEN '3-MEDIUM' THEN 'subscription' ELSE 'transfer' END AS transaction_type,
     CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending'
         WHEN 'P' THEN 'failed' ELSE 'cancelled' END AS status,
-    o_totalprice / 1000 AS processing_time_ms FROM orders)"""
+    floor(o_totalprice / 1000) AS processing_time_ms FROM orders)"""
 USERS_SQL = """(SELECT c_custkey AS user_id, n_name AS country,
     DATE '1990-01-01' + c_nationkey * 30 AS signup_date,
     CASE c_mktsegment WHEN 'BUILDING' THEN 'premium' WHEN 'MACHINERY' THEN 'enterprise'

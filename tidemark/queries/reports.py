@@ -35,14 +35,15 @@ def located(spark, folder):
               count(*) AS total_transactions, count(*) FILTER (WHERE {DONE}) AS completed_transactions,
               count(*) FILTER (WHERE status = 'failed') AS failed_transactions,
               round(sum(amount), 2) AS total_revenue, round({REVENUE}, 2) AS completed_revenue,
-              {SUCCESS} AS success_rate, round(avg(amount), 2) AS avg_transaction_amount
+              {SUCCESS} AS success_rate, ((2 * CAST(round(sum(amount) * 100) AS BIGINT) + count(*)) // (2 * count(*))) / 100.0
+                  AS avg_transaction_amount
            FROM {LOCATED_SQL} GROUP BY 1, 2, 3""")
 def _(spark, folder):
     return agg.transaction_rollup(located(spark, folder))
 
 
 @query("daily_summary",
-       "transaction_date total_transactions unique_users total_revenue:2 avg_transaction_amount:4 "
+       "transaction_date total_transactions unique_users total_revenue:2 avg_transaction_amount:6 "
        "avg_processing_time:6 purchases refunds subscriptions completed_txns failed_txns completed_revenue:2",
        f"""SELECT {DAY} AS transaction_date, count(*) AS total_transactions,
               count(DISTINCT user_id) AS unique_users, sum(amount) AS total_revenue,
@@ -59,7 +60,7 @@ def _(spark, folder):
 
 @query("user_analytics",
        "user_id country user_type age_group signup_date:d total_transactions lifetime_value:2 "
-       "avg_transaction_amount:4 last_transaction_date:t first_transaction_date:t active_days "
+       "avg_transaction_amount:6 last_transaction_date:t first_transaction_date:t active_days "
        "avg_processing_time:6 purchases subscriptions success_rate_pct:2",
        f"""SELECT user_id, country, user_type, age_group, signup_date, count(*) AS total_transactions,
               {REVENUE} AS lifetime_value, avg(amount) AS avg_transaction_amount,
@@ -75,7 +76,7 @@ def _(spark, folder):
 
 
 @query("geographic",
-       "country unique_users total_transactions total_revenue:2 avg_transaction_amount:4 "
+       "country unique_users total_transactions total_revenue:2 avg_transaction_amount:6 "
        "avg_processing_time:6 premium_users:i enterprise_users:i success_rate_pct:2 revenue_per_user:2",
        f"""SELECT country, count(DISTINCT t.user_id) AS unique_users, count(*) AS total_transactions,
               {REVENUE} AS total_revenue, avg(amount) AS avg_transaction_amount,
@@ -117,7 +118,7 @@ def _(spark, folder):
 
 
 @query("business_kpis",
-       "metric_scope total_users total_transactions total_revenue:2 avg_transaction_value:4 "
+       "metric_scope total_users total_transactions total_revenue:2 avg_transaction_value:6 "
        "premium_users enterprise_users overall_success_rate:2",
        f"""SELECT 'overall' AS metric_scope, count(DISTINCT user_id) AS total_users,
               count(*) AS total_transactions, {REVENUE} AS total_revenue,
@@ -266,7 +267,7 @@ PATTERNS_SQL = f"""(SELECT *, CASE WHEN fraud_rate > 0.1 THEN 'very_high_risk'
 
 
 @query("user_daily_stats",
-       "user_id transaction_date:d daily_transaction_count daily_amount:2 daily_avg_amount:6 "
+       "user_id transaction_date:d daily_transaction_count daily_amount:2 daily_avg_amount:8 "
        "daily_std_amount:5 unique_categories fraud_count:i",
        f"SELECT * FROM {DAILY_SQL}")
 def _(spark, folder):
@@ -274,7 +275,7 @@ def _(spark, folder):
 
 
 @query("user_patterns",
-       "user_id active_days total_transactions:i total_amount:2 avg_daily_amount:6 std_daily_amount:5 "
+       "user_id active_days total_transactions:i total_amount:2 avg_daily_amount:8 std_daily_amount:5 "
        "max_daily_transactions avg_daily_transactions:6 avg_daily_categories:6 total_fraud_count:i "
        "fraud_rate:6 first_transaction_date:d last_transaction_date:d days_active:i risk_category",
        f"SELECT * FROM {PATTERNS_SQL}")
@@ -320,7 +321,7 @@ def _(spark, folder):
 
 
 @query("risk_profile_p95",
-       "user_id transaction_count avg_amount:6 stddev_amount:5 fraud_count p95_amount:4",
+       "user_id transaction_count avg_amount:8 stddev_amount:5 fraud_count p95_amount:4",
        f"""SELECT user_id, count(*) AS transaction_count, avg(amount) AS avg_amount,
                stddev_samp(amount) AS stddev_amount, count(*) FILTER (WHERE is_fraud) AS fraud_count,
                quantile_cont(amount, 0.95) AS p95_amount
@@ -334,7 +335,7 @@ STAT_SQL = """count(*) AS total_transactions, count(*) FILTER (WHERE is_fraud) A
     sum(amount) AS total_amount, sum(CASE WHEN is_fraud THEN amount ELSE 0 END) AS fraud_amount,
     avg(amount) AS avg_amount, count(*) FILTER (WHERE is_fraud) / count(*) AS fraud_rate"""
 STAT_SPEC = (
-    "total_transactions fraud_transactions total_amount:2 fraud_amount:2 avg_amount:6 fraud_rate:6"
+    "total_transactions fraud_transactions total_amount:2 fraud_amount:2 avg_amount:8 fraud_rate:6"
 )
 
 
@@ -360,7 +361,7 @@ for _period in ("hour", "day", "week", "month"):
         return agg.fraud_over_time(fraud_transactions(spark, folder), period)
 
 
-@query("fraud_by_category", "merchant_category fraud_count total_amount:2 avg_amount:6",
+@query("fraud_by_category", "merchant_category fraud_count total_amount:2 avg_amount:8",
        f"""SELECT merchant_category, count(*) AS fraud_count, sum(amount) AS total_amount,
                avg(amount) AS avg_amount FROM {FRAUD_SQL} WHERE is_fraud GROUP BY 1""")
 def _(spark, folder):
@@ -395,7 +396,7 @@ MODE_SQL = f"""(SELECT user_id, merchant_category AS mode FROM (SELECT user_id,
 
 
 @query("user_features",
-       "user_id amount_count amount_mean:6 amount_std:5 amount_min:2 amount_max:2 amount_sum:2 "
+       "user_id amount_count amount_mean:8 amount_std:5 amount_min:2 amount_max:2 amount_sum:2 "
        "merchant_id_nunique timestamp_min:t timestamp_max:t merchant_category_mode "
        "days_since_first_transaction:i avg_days_between_transactions:6",
        f"""SELECT user_id, count(*) AS amount_count, avg(amount) AS amount_mean,
@@ -414,7 +415,7 @@ def _(spark, folder):
 
 
 @query("merchant_features",
-       "merchant_id is_fraud_sum:i is_fraud_mean:6 amount_count amount_mean:6 amount_std:5 "
+       "merchant_id is_fraud_sum:i is_fraud_mean:6 amount_count amount_mean:8 amount_std:5 "
        "user_id_nunique fraud_rate:6 risk_category",
        f"""SELECT *, is_fraud_mean AS fraud_rate, CASE WHEN is_fraud_mean <= 0 THEN NULL
                WHEN is_fraud_mean <= 0.01 THEN 'low' WHEN is_fraud_mean <= 0.05 THEN 'medium'
@@ -430,7 +431,7 @@ def _(spark, folder):
 ALL_FEATURES_SPEC = (
     "transaction_id amount_log:6 amount_category is_round_amount:i hour:i day_of_week:i day_of_month:i "
     "is_weekend:i is_night:i is_business_hours:i hours_since_last_transaction:4 "
-    "transaction_acceleration:4 user_amount_mean:6 user_amount_std:5 user_amount_min:2 "
+    "transaction_acceleration:4 user_amount_mean:8 user_amount_std:5 user_amount_min:2 "
     "user_amount_max:2 user_merchant_id_nunique user_merchant_category_mode amount_zscore:5"
 )
 
@@ -487,7 +488,7 @@ def merged(spark, folder):
 
 
 @query("feature_merge",
-       "transaction_id user_id merchant_id avg_amount:6 top:2 merchant_risk_score:6 hour_of_day:i day_of_week:i",
+       "transaction_id user_id merchant_id avg_amount:8 top:2 merchant_risk_score:6 hour_of_day:i day_of_week:i",
        f"""SELECT t.*, u.avg_amount, coalesce(m.top, u.top) AS top, m.merchant_risk_score,
                hour(timestamp) AS hour_of_day, isodow(timestamp) - 1 AS day_of_week
            FROM {FRAUD_SQL} t LEFT JOIN {USER_VIEW_SQL} u USING (user_id)

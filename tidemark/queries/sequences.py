@@ -50,7 +50,7 @@ def velocity_sql():
 
 
 VELOCITY_SPEC = "transaction_id " + " ".join(
-    f"transaction_count_{s} total_amount_{s}:2 avg_amount_{s}:6 std_amount_{s}:3 unique_merchants_{s}"
+    f"transaction_count_{s} total_amount_{s}:2 avg_amount_{s}:8 std_amount_{s}:3 unique_merchants_{s}"
     for s in seq.SPANS
 )
 
