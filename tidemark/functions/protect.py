@@ -35,7 +35,7 @@ def decrypt_columns(df: DataFrame, columns, key: str) -> DataFrame:
 
 
 def luhn_valid(number) -> Column:
-    return F.luhn_check(_c(number).cast("string"))
+    return F.call_function("luhn_check", _c(number).cast("string"))
 
 
 def luhn_digit(number) -> Column:

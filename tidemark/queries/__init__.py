@@ -1,4 +1,4 @@
 """All registered queries and their SQL answers."""
 
-from tidemark.queries import events, reports, sequences  # noqa: F401
+from tidemark.queries import events, quality, reports, sequences, texts  # noqa: F401
 from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401

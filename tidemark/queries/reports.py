@@ -182,14 +182,14 @@ def unchecked(spark, folder):
             "transaction_id"
         ),
         "user_id",
-        (F.col("amount") * 2.5 - 50_000).alias("amount"),
+        (F.col("amount") * 4 - 50_000).alias("amount"),
         (F.col("timestamp") + F.expr("INTERVAL 22 YEARS")).alias("timestamp"),
         F.col("transaction_id").alias("row_id"),
     )
 
 
 UNCHECKED_SQL = f"""(SELECT CASE WHEN transaction_type <> 'refund' THEN transaction_id END AS transaction_id,
-    user_id, amount * 2.5 - 50000 AS amount, timestamp + INTERVAL 22 YEARS AS timestamp,
+    user_id, amount * 4 - 50000 AS amount, timestamp + INTERVAL 22 YEARS AS timestamp,
     transaction_id AS row_id FROM {ORDERS_SQL})"""
 
 
@@ -267,7 +267,7 @@ PATTERNS_SQL = f"""(SELECT *, CASE WHEN fraud_rate > 0.1 THEN 'very_high_risk'
 
 
 @query("user_daily_stats",
-       "user_id transaction_date:d daily_transaction_count daily_amount:2 daily_avg_amount:8 "
+       "user_id transaction_date:d daily_transaction_count daily_amount:2 daily_avg_amount:6 "
        "daily_std_amount:5 unique_categories fraud_count:i",
        f"SELECT * FROM {DAILY_SQL}")
 def _(spark, folder):
@@ -275,7 +275,7 @@ def _(spark, folder):
 
 
 @query("user_patterns",
-       "user_id active_days total_transactions:i total_amount:2 avg_daily_amount:8 std_daily_amount:5 "
+       "user_id active_days total_transactions:i total_amount:2 avg_daily_amount:6 std_daily_amount:5 "
        "max_daily_transactions avg_daily_transactions:6 avg_daily_categories:6 total_fraud_count:i "
        "fraud_rate:6 first_transaction_date:d last_transaction_date:d days_active:i risk_category",
        f"SELECT * FROM {PATTERNS_SQL}")
