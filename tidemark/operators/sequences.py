@@ -13,7 +13,6 @@ from tidemark.functions.numbers import (
     zscore_relative,
 )
 from tidemark.functions.times import hours_between, seconds_between
-from tidemark.model import MONEY
 from tidemark.operators.hotkeys import hot_keys, join_unique
 from tidemark.operators.running import previous, running
 
@@ -81,14 +80,15 @@ def velocity(
     ``spans`` maps a suffix to seconds. Every row enters a trailing window at its time
     and leaves it one span later, so each measure is a running sum over entries and
     exits: the cost grows with the rows, not with rows times window length. Sums run
-    over decimals and are therefore exact. A member counts as long as its newest
+    over whole cents and are therefore exact. A member counts as long as its newest
     occurrence is inside the span.
     """
-    money = F.col(amount).cast(MONEY)
+    cents = F.round(F.col(amount) * 100).cast("long")
     pair = [key, member]
     hot_pairs = hot_keys(df, pair)
     rows = previous(df, pair, [time, tie], {"_before": time}, hot=hot_pairs)
     rows = previous(rows, pair, [time, tie], {"_after": time}, hot=hot_pairs, reverse=True)
+    rows = rows.withColumn("_cents", cents)
     micros = F.unix_micros(time)
     known = F.col(member).isNotNull()
 
@@ -99,13 +99,12 @@ def velocity(
         else:
             gap = F.unix_micros("_after") - micros
         alone = known & (gap.isNull() | (gap > span))
-        zero = F.lit(0).cast(MONEY)
-        paid = F.when(when_in, money * sign).otherwise(zero).cast(MONEY)
-        square = F.when(when_in, money * money * sign).otherwise(zero).cast("decimal(25,4)")
+        square = F.col("_cents").cast("decimal(18,0)") * F.col("_cents").cast("decimal(18,0)")
+        none = F.lit(0).cast("decimal(28,0)")
         return [
             F.when(when_in, sign).otherwise(0).cast("long").alias(f"_n_{suffix}"),
-            paid.alias(f"_s_{suffix}"),
-            square.alias(f"_q_{suffix}"),
+            F.when(when_in, F.col("_cents") * sign).otherwise(0).cast("long").alias(f"_s_{suffix}"),
+            F.when(when_in, square * sign).otherwise(none).cast("decimal(28,0)").alias(f"_q_{suffix}"),
             F.when(when_in & alone, sign).otherwise(0).cast("long").alias(f"_d_{suffix}"),
         ]
 
@@ -135,13 +134,12 @@ def velocity(
         s = F.col(f"s_{suffix}").cast("double")
         q = F.col(f"q_{suffix}").cast("double")
         spread = F.greatest(n * q - s * s, F.lit(0.0))
+        deviation = F.sqrt(F.try_divide(spread, (n * (n - 1)).cast("double")))
         measures += [
             n.alias(f"transaction_count_{suffix}"),
-            s.alias(f"total_amount_{suffix}"),
-            (s / n).alias(f"avg_amount_{suffix}"),
-            F.sqrt(F.try_divide(spread, (n * (n - 1)).cast("double"))).alias(
-                f"std_amount_{suffix}"
-            ),
+            (s / 100).alias(f"total_amount_{suffix}"),
+            (s / 100 / n).alias(f"avg_amount_{suffix}"),
+            (deviation / 100).alias(f"std_amount_{suffix}"),
             F.col(f"d_{suffix}").alias(f"unique_merchants_{suffix}"),
         ]
     return done.select("_row.*", *measures)

@@ -1,4 +1,14 @@
 """All registered queries and their SQL answers."""
 
-from tidemark.queries import events, quality, reports, sequences, texts  # noqa: F401
+from tidemark.queries import (  # noqa: F401
+    events,
+    graphs,
+    models,
+    quality,
+    reports,
+    sequences,
+    storage,
+    streams,
+    texts,
+)
 from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401

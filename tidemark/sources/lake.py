@@ -18,7 +18,8 @@ FORMATS = ("csv", "json", "parquet")
 def write_by_day(df: DataFrame, base: str, time="timestamp", formats=FORMATS, mode="append"):
     """One root per format below ``base``, partitioned by year, month and day.
 
-    No shuffle: each task writes its own file per day, so a large day is no bottleneck.
+    The rows are rebalanced first: a day's rows come together in files of the advisory
+    partition size, and a very large day is split over several tasks.
     """
     parts = df.withColumns(date_parts(time))
     for form in formats:
@@ -32,6 +33,8 @@ def write_by_column(df: DataFrame, base: str, column="date", formats=FORMATS, mo
 
 
 def _write(df, path, form, partition_by, mode):
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(form)
     if form == "csv":
         writer = writer.option("header", True)
@@ -43,7 +46,8 @@ def _write(df, path, form, partition_by, mode):
 
 
 def write_by_month(df: DataFrame, path: str, time="timestamp", mode="append") -> None:
-    df.withColumn("month", month_label(time)).write.mode(mode).partitionBy("month").parquet(path)
+    rows = df.withColumn("month", month_label(time)).hint("rebalance", "month")
+    rows.write.mode(mode).partitionBy("month").parquet(path)
 
 
 def read_parquet_only(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +115,8 @@ def combine_staged(spark: SparkSession, paths: list[str]) -> DataFrame:
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions that occur in ``df``."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
