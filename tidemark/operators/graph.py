@@ -209,13 +209,14 @@ def _along(steps, tail, head, chosen, max_rounds):
                 (F.col("_sum") + F.coalesce("_n", F.lit(0.0))).alias("_sum"),
             )
         )
-        fresh = cut_lineage(
-            open_nodes.where("_seen = _preds").select("pivot", "node", F.col("_sum").alias("n"))
+        # Filters on a checkpointed table: cheap to repeat, nothing to cut.
+        fresh = open_nodes.where("_seen = _preds").select(
+            "pivot", "node", F.col("_sum").alias("n")
         )
         if fresh.isEmpty():
-            return state
+            return cut_lineage(state)
         open_nodes = open_nodes.where("_seen < _preds")
-        state = cut_lineage(state.unionByName(fresh))
+        state = state.unionByName(fresh)
     raise RuntimeError(f"paths did not settle within {max_rounds} rounds")
 
 
@@ -237,10 +238,10 @@ def _back(share, best, max_rounds):
     )
     done = None
     for _ in range(max_rounds):
-        fresh = cut_lineage(open_nodes.where("_seen = _succ").select("pivot", "node", "d"))
+        fresh = open_nodes.where("_seen = _succ").select("pivot", "node", "d")
         if fresh.isEmpty():
             return done
-        done = fresh if done is None else cut_lineage(done.unionByName(fresh))
+        done = fresh if done is None else done.unionByName(fresh)
         sent = (
             fresh.withColumnRenamed("node", "dst")
             .join(share, ["pivot", "dst"])
@@ -264,21 +265,23 @@ def _back(share, best, max_rounds):
     raise RuntimeError(f"dependencies did not settle within {max_rounds} rounds")
 
 
-def ancestors(edges: DataFrame, dataset: str) -> DataFrame:
-    """All nodes from which ``dataset`` can be reached in an edge table (src, dst)."""
-    spark = edges.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE up(node) AS (
-            SELECT src FROM {edges} WHERE dst = :dataset
-            UNION
-            SELECT e.src FROM {edges} e JOIN up ON e.dst = up.node
-        )
-        SELECT DISTINCT node FROM up
-        """,
-        args={"dataset": dataset},
-        edges=edges,
+def ancestors(edges: DataFrame, dataset: str, max_rounds=1000) -> DataFrame:
+    """All nodes from which ``dataset`` can be reached in an edge table (src, dst).
+
+    One join per level; a node is followed once, so shared parents and cycles are safe.
+    """
+    found = fresh = cut_lineage(
+        edges.where(F.col("dst") == dataset).select(F.col("src").alias("node")).distinct()
     )
+    for _ in range(max_rounds):
+        up = edges.join(fresh, F.col("dst") == F.col("node"), "left_semi")
+        fresh = cut_lineage(
+            up.select(F.col("src").alias("node")).distinct().join(found, "node", "left_anti")
+        )
+        if fresh.isEmpty():
+            return found
+        found = cut_lineage(found.unionByName(fresh))
+    raise RuntimeError(f"lineage is deeper than {max_rounds} levels")
 
 
 def lineage_report(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -25,12 +25,8 @@ def read_json_lines(
 ) -> DataFrame:
     """JSON lines with the text of unreadable records in the ``corrupt`` column."""
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    return (
-        spark.read.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", corrupt)
-        .json(glob)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    return spark.read.text(glob).select(F.from_json("value", full, options).alias("r")).select("r.*")
 
 
 def readable_transactions(records: DataFrame, corrupt="_corrupt_record") -> DataFrame:

@@ -10,7 +10,7 @@ from tidemark.operators import aggregates as agg
 from tidemark.session import shared_folder
 
 
-BATCH_BYTES = "1g"
+BATCH_BYTES = 1 << 30
 
 
 def file_stream(

@@ -274,9 +274,20 @@ class UserStatistics(InOrder):
 
 
 def run_in_order(
-    stream: DataFrame, processor: InOrder, delay="5 seconds", time="ts", id="id", text=None, number=None
+    stream: DataFrame,
+    processor: InOrder,
+    delay="5 seconds",
+    time="ts",
+    id="id",
+    text=None,
+    number=None,
+    keep=None,
 ) -> DataFrame:
-    """Apply a processor per user to a stream with the given column roles."""
+    """Apply a processor per user to a stream with the given column roles.
+
+    ``keep`` selects the rows that are shuffled to the processor. All rows still move the
+    watermark: the filter has a random (never true) part, so it is not pushed below it.
+    """
     from pyspark.sql import functions as F
 
     use_rocksdb(stream.sparkSession)
@@ -287,9 +298,11 @@ def run_in_order(
         (F.lit("") if text is None else text).cast("string").alias("text"),
         (F.lit(0.0) if number is None else number).cast("double").alias("number"),
     )
+    timed = rows.withWatermark("ts", delay)
+    if keep is not None:
+        timed = timed.where(keep | (F.rand(0) < 0))
     return (
-        rows.withWatermark("ts", delay)
-        .groupBy("user_id")
+        timed.groupBy("user_id")
         .transformWithStateInPandas(
             statefulProcessor=processor,
             outputStructType=processor.schema,
@@ -312,8 +325,9 @@ def followed_by(stream: DataFrame, first, second, within_seconds=30.0, delay="5
         F.when(F.coalesce(first, F.lit(False)), "first"),
         F.when(F.coalesce(second, F.lit(False)), "second"),
     )
-    marked = stream.withColumn("_marks", marks).where("_marks <> ''")
-    return run_in_order(marked, FollowedBy(within_seconds), delay, text=F.col("_marks"))
+    return run_in_order(
+        stream, FollowedBy(within_seconds), delay, text=marks, keep=F.col("text") != ""
+    )
 
 
 def max_life_sessions(stream: DataFrame, life_seconds=7200.0, delay="5 seconds") -> DataFrame:
