@@ -62,6 +62,8 @@ def split_hot(df, keys, plain, hot_plan, hot=None) -> DataFrame:
         hot = hot_keys(df, keys)
     if not hot:
         return plain(df)
+    if not keys:
+        return hot_plan(df)  # all rows are one group
     test = is_hot(keys, hot)
     return plain(df.where(~test)).unionByName(hot_plan(df.where(test)))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent, safe_ratio
 from tidemark.functions.times import all_not_null, date_parts
+from tidemark.model import MONEY
 from tidemark.operators.aggregates import count_rows, count_when, sum_when
 
 PARTS = ["year", "month", "day"]
@@ -88,13 +89,14 @@ def geographic(transactions: DataFrame, users: DataFrame) -> DataFrame:
     """Per transaction country, largest revenue first.
 
     premium_users and enterprise_users count transactions of such users, not users.
+    Revenue is summed as a decimal, so the rounded revenue per user is exact.
     """
     per_user = (
         partitioned(transactions)
         .groupBy("country", "user_id")
         .agg(
             F.count("transaction_id").alias("n"),
-            sum_when(_completed(), F.col("amount")).alias("revenue"),
+            F.sum(F.when(_completed(), F.col("amount").cast(MONEY))).alias("revenue"),
             F.sum("amount").alias("amount"),
             F.sum("processing_time_ms").alias("time"),
             F.count("amount").alias("n_amount"),
@@ -110,7 +112,7 @@ def geographic(transactions: DataFrame, users: DataFrame) -> DataFrame:
         .agg(
             count_rows().alias("unique_users"),
             F.sum("n").alias("total_transactions"),
-            F.sum("revenue").alias("total_revenue"),
+            F.coalesce(F.sum("revenue"), F.lit(0).cast(MONEY)).alias("total_revenue"),
             safe_ratio(F.sum("amount"), F.sum("n_amount")).alias("avg_transaction_amount"),
             safe_ratio(F.sum("time"), F.sum("n_time")).alias("avg_processing_time"),
             F.sum(premium).alias("premium_users"),
@@ -120,7 +122,10 @@ def geographic(transactions: DataFrame, users: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "success_rate_pct": percent("_completed", "total_transactions"),
-                "revenue_per_user": F.round(safe_ratio("total_revenue", "unique_users"), 2),
+                "revenue_per_user": F.round(
+                    F.try_divide(F.col("total_revenue"), F.col("unique_users")), 2
+                ).cast("double"),
+                "total_revenue": F.col("total_revenue").cast("double"),
             }
         )
         .drop("_completed")

@@ -84,7 +84,8 @@ def _(spark, folder):
               sum(CASE WHEN user_type = 'premium' THEN 1 ELSE 0 END) AS premium_users,
               sum(CASE WHEN user_type = 'enterprise' THEN 1 ELSE 0 END) AS enterprise_users,
               {SUCCESS} AS success_rate_pct,
-              round({REVENUE} / count(DISTINCT t.user_id), 2) AS revenue_per_user
+              ((2 * CAST(round({REVENUE} * 100) AS BIGINT) + count(DISTINCT t.user_id))
+                  // (2 * count(DISTINCT t.user_id))) / 100.0 AS revenue_per_user
            FROM {LOCATED_SQL} t JOIN (SELECT user_id, user_type FROM {USERS_SQL}) u USING (user_id)
            GROUP BY country""")
 def _(spark, folder):

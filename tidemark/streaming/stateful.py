@@ -286,7 +286,8 @@ def run_in_order(
     """Apply a processor per user to a stream with the given column roles.
 
     ``keep`` selects the rows that are shuffled to the processor. All rows still move the
-    watermark: the filter has a random (never true) part, so it is not pushed below it.
+    watermark: the filter has a part that differs per task (and is never true), so it is
+    not pushed below the watermark.
     """
     from pyspark.sql import functions as F
 
@@ -300,7 +301,7 @@ def run_in_order(
     )
     timed = rows.withWatermark("ts", delay)
     if keep is not None:
-        timed = timed.where(keep | (F.rand(0) < 0))
+        timed = timed.where(keep | (F.spark_partition_id() < 0))
     return (
         timed.groupBy("user_id")
         .transformWithStateInPandas(
