@@ -13,11 +13,14 @@ def _c(column) -> Column:
 
 
 def parse_time(text) -> Column:
-    """Text to timestamp: ISO with offset or Z, ``YYYY-MM-DD HH:MM:SS``, epoch millis; else null."""
+    """Text to timestamp: ISO with offset or Z, ``YYYY-MM-DD HH:MM:SS``, epoch millis; else null.
+
+    Casts that give null are used throughout; a parser that raises per bad row is slow.
+    """
     text = _c(text)
-    return F.coalesce(
-        F.try_to_timestamp(text), F.timestamp_millis(text.try_cast("bigint"))
-    )
+    return F.when(
+        text.rlike("^-?[0-9]+$"), F.timestamp_millis(text.try_cast("bigint"))
+    ).otherwise(text.try_cast("timestamp"))
 
 
 def epoch_millis(ts) -> Column:

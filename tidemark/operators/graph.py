@@ -72,11 +72,11 @@ def communities(edges: DataFrame, max_rounds=50) -> DataFrame:
             F.least(F.col("src"), F.min("dst")).alias("community")
         )
     )
+    facing = pairs.withColumnRenamed("dst", "node")
+    hubs = hot_keys(facing, ["node"])
     for _ in range(max_rounds):
         near = (
-            join_unique(
-                pairs.withColumnRenamed("dst", "node"), labels, ["node"], "inner"
-            )
+            join_unique(facing, labels, ["node"], "inner", hubs)
             .groupBy(F.col("src").alias("node"))
             .agg(F.min("community").alias("_near"))
         )

@@ -11,6 +11,8 @@ changes a result, only the plan, so the estimate may be approximate.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ MIN_ROWS = 2_000_000
 BUCKET_CONF = "spark.tidemark.hot.bucketSeconds"
 BUCKET_SECONDS = 600
 TRACKED = 10_000
+ROW_BYTES = 16
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -27,10 +30,15 @@ def key_hash(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
-    """Hashes of the hot keys, at most ``MAX_HOT``; one column-pruned pass, no shuffle."""
+    """Hashes of the hot keys, at most ``MAX_HOT``; one column-pruned pass, no shuffle.
+
+    An input whose estimated size one task can hold anyway is not looked at.
+    """
     if df.isStreaming:
         return []
     floor = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(MIN_ROWS)))
+    if estimated_bytes(df) < floor * ROW_BYTES:
+        return []
     row = (
         df.select(key_hash(keys).alias("h"))
         .agg(
@@ -43,6 +51,14 @@ def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
     return [item["item"] for item in (row["top"] or []) if item["count"] > limit]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, the one it decides broadcasts by."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except ValueError:  # joins multiply their estimates; this one has too many digits
+        return sys.maxsize
+
+
 def is_hot(keys: list[str], hot: list[int]) -> Column:
     return key_hash(keys).isin(hot)
 

@@ -26,7 +26,9 @@ def read_json_lines(
     """JSON lines with the text of unreadable records in the ``corrupt`` column."""
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    return spark.read.text(glob).select(F.from_json("value", full, options).alias("r")).select("r.*")
+    # Filters are not pushed below a generator, so every line is parsed once.
+    parsed = F.from_json("value", full, options)
+    return spark.read.text(glob).select(F.inline(F.array(parsed)))
 
 
 def readable_transactions(records: DataFrame, corrupt="_corrupt_record") -> DataFrame:
