@@ -13,7 +13,8 @@ from tidemark.operators import graph
 from tidemark.operators import sequences as seq
 from tidemark.plans import detector, lake as reports, warehouse
 from tidemark.sources import databases, files, lake, messages
-from tidemark.streaming import jobs, stateful
+from tidemark.plans import daily
+from tidemark.streaming import applications, jobs, stateful
 
 START = datetime(2024, 1, 1)
 
@@ -389,3 +390,71 @@ def test_decisions(spark):
     assert got[1]["fraud_probability"] == pytest.approx(0.6) and not got[1]["is_fraud"]
     assert got[2]["error"] == "missing merchant_id" and got[2]["fraud_probability"] == 0.0
     assert got[3]["is_fraud"] and got[3]["error"] is None
+
+
+def test_event_application(spark, event_files, tmp_path):
+    path, table = event_files
+    messages_ = stream(spark, path).select(
+        F.to_json(F.struct("id", "ts", "value", "user_id")).cast("binary").alias("value")
+    )
+    counts = str(tmp_path / "counts")
+    writers = applications.event_application(
+        messages_, str(tmp_path / "raw"), jobs.append_batches(counts), str(tmp_path / "cp")
+    )
+    for writer in writers.values():
+        jobs.finish(writer)
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == table.count() + 1
+    merged = jobs.newest_by_batch(spark, counts, ["window_start", "window_end"])
+    assert merged.agg(F.sum("event_count")).first()[0] == table.count() + 1
+
+
+def test_metrics_application(spark, event_files, tmp_path):
+    path, table = event_files
+    writers = applications.metrics_application(
+        stream(spark, path), lambda name: jobs.append_batches(str(tmp_path / name)), str(tmp_path / "cp")
+    )
+    for writer in writers.values():
+        jobs.finish(writer)
+    windows = spark.read.parquet(str(tmp_path / "window_metrics"))
+    assert set(METRICS_SCHEMA.fieldNames()) <= set(windows.columns) and windows.count() > 0
+    sessions = spark.read.parquet(str(tmp_path / "session_metrics"))
+    assert sessions.agg(F.sum("event_count")).first()[0] > 0
+
+
+def test_category_sums_add_up_over_batches(spark, event_files, tmp_path):
+    path, table = event_files
+
+    def scored(df):
+        return df.select(
+            F.col("ts").alias("timestamp"),
+            F.col("value").alias("merchant_category"),
+            F.lit(2.0).alias("amount"),
+            F.lit(0.5).alias("risk_score"),
+        )
+
+    out = str(tmp_path / "sums")
+    jobs.finish(
+        jobs.batches(
+            scored(stream(spark, path)),
+            applications.aggregated(jobs.append_batches(out)),
+            str(tmp_path / "cp"),
+        )
+    )
+    from tidemark.operators.aggregates import category_windows
+
+    got = applications.category_totals(spark.read.parquet(out)).where("window_start < '2024-01-02'")
+    assert rows(got) == rows(category_windows(scored(table)))
+
+
+def test_daily_run(spark, folder, tmp_path):
+    from tidemark.model import fraud_transactions
+    from tidemark.operators import quality as q
+
+    staged = str(tmp_path / "staged")
+    fraud_transactions(spark, folder).write.parquet(staged)
+    arguments = (str(tmp_path / "wh"), str(tmp_path / "features"), "2024-01-10")
+    built = daily.daily_run(spark, [staged, str(tmp_path / "none")], lambda df: [q.unique("transaction_id")], *arguments)
+    assert all(df.count() > 0 for df in built.values())
+    assert [str(r[0]) for r in spark.read.parquet(arguments[0]).select("date").distinct().collect()] == ["2024-01-10"]
+    with pytest.raises(q.QualityError):
+        daily.daily_run(spark, [staged], lambda df: [q.mean_between("amount", 0, 1)], *arguments)
