@@ -458,3 +458,28 @@ def test_daily_run(spark, folder, tmp_path):
     assert [str(r[0]) for r in spark.read.parquet(arguments[0]).select("date").distinct().collect()] == ["2024-01-10"]
     with pytest.raises(q.QualityError):
         daily.daily_run(spark, [staged], lambda df: [q.mean_between("amount", 0, 1)], *arguments)
+
+
+def test_fraud_stream_from_messages(spark, event_files, tmp_path):
+    """Text ids, as they arrive in messages, go through decoding, state, rules and alerts."""
+    path, table = event_files
+    body = F.struct(
+        F.concat(F.lit("TXN_"), "id").alias("transaction_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.concat(F.lit("U"), "user_id").alias("user_id"),
+        F.lit(20000.0).alias("amount"),
+        F.lit("casino").alias("merchant_category"),
+    )
+    sent = stream(spark, path).select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.to_json(body).cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"),
+    )
+    writers = applications.fraud_application(
+        sent, str(tmp_path / "all"), "none:1", jobs.append_batches(str(tmp_path / "agg")), str(tmp_path / "cp")
+    )
+    jobs.finish(writers["all"])
+    scored = spark.read.parquet(str(tmp_path / "all"))
+    assert scored.count() == table.count()
+    assert scored.where("transaction_id LIKE 'TXN_%' AND rule_high_amount AND date IS NOT NULL").count() == table.count()
+    assert jobs.alert_messages(scored).count() > 0

@@ -18,7 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidemark.session import use_rocksdb
 
-WAITING = "time_us bigint, id bigint, text string, number double"
+WAITING = "time_us bigint, id {id}, text string, number double"
 
 
 def _micros(column: pd.Series) -> pd.Series:
@@ -32,9 +32,16 @@ def _time(micros) -> pd.Series:
 class InOrder(StatefulProcessor):
     """Base: columns user_id, ts, id, text, number; subclasses handle ordered rows."""
 
+    template: str  # output columns; {user} and {id} stand for the types of the keys
+
+    def typed(self, user: str, id: str) -> InOrder:
+        self.waiting_schema = WAITING.format(id=id)
+        self.schema = self.template.format(user=user, id=id)
+        return self
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
@@ -88,7 +95,7 @@ class InOrder(StatefulProcessor):
 class CountEveryNth(InOrder):
     """Running count per user, reported at every n-th row."""
 
-    schema = "user_id bigint, metric_type string, event_count bigint, window_start timestamp"
+    template = "user_id {user}, metric_type string, event_count bigint, window_start timestamp"
 
     def __init__(self, n: int):
         self.n = n
@@ -121,8 +128,8 @@ class CountEveryNth(InOrder):
 class FollowedBy(InOrder):
     """Pairs every row marked ``first`` with the next row marked ``second`` in time."""
 
-    schema = (
-        "user_id bigint, metric_type string, event_count bigint, window_start timestamp, "
+    template = (
+        "user_id {user}, metric_type string, event_count bigint, window_start timestamp, "
         "window_end timestamp, avg_processing_time double"
     )
 
@@ -166,7 +173,7 @@ class FollowedBy(InOrder):
 class MaxLifeSessions(InOrder):
     """Gives every row the start of its session; a session ends a fixed time after its start."""
 
-    schema = "user_id bigint, id bigint, ts timestamp, session_start timestamp"
+    template = "user_id {user}, id {id}, ts timestamp, session_start timestamp"
 
     def __init__(self, life_seconds: float):
         self.life = int(life_seconds * 1_000_000)
@@ -194,8 +201,8 @@ class MaxLifeSessions(InOrder):
 class TrailingVelocity(InOrder):
     """Count, sum, mean and deviation of the user's amounts over the trailing span."""
 
-    schema = (
-        "user_id bigint, transaction_id bigint, timestamp timestamp, merchant_category string, "
+    template = (
+        "user_id {user}, transaction_id {id}, timestamp timestamp, merchant_category string, "
         "amount double, transaction_count_1h bigint, total_amount_1h double, "
         "avg_amount_1h double, std_amount_1h double"
     )
@@ -245,8 +252,8 @@ class TrailingVelocity(InOrder):
 class UserStatistics(InOrder):
     """Running count, mean amount and session number of a user, one row per handled batch."""
 
-    schema = (
-        "user_id bigint, last_seen timestamp, event_count bigint, avg_amount double, "
+    template = (
+        "user_id {user}, last_seen timestamp, event_count bigint, avg_amount double, "
         "session_count bigint"
     )
 
@@ -295,10 +302,12 @@ def run_in_order(
     rows = stream.select(
         "user_id",
         F.col(time).alias("ts"),
-        F.col(id).cast("long").alias("id"),
+        F.col(id).alias("id"),
         (F.lit("") if text is None else text).cast("string").alias("text"),
         (F.lit(0.0) if number is None else number).cast("double").alias("number"),
     )
+    types = dict(rows.dtypes)
+    processor = processor.typed(types["user_id"], types["id"])
     timed = rows.withWatermark("ts", delay)
     if keep is not None:
         timed = timed.where(keep | (F.spark_partition_id() < 0))
