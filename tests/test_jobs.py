@@ -320,6 +320,31 @@ def test_last_amount_is_the_weight(spark):
     assert rows(graph.user_merchant_edges(df)) == [("user_1", "merchant_1", 3.0)]
 
 
+@pytest.mark.parametrize("mode", ["plain", "split"])
+def test_communities_equal_union_find(spark, request, mode):
+    r = random.Random(4)
+    # A long chain, a star with most of the edges, and random pieces.
+    links = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(100, 120)]
+    links += [("hub", f"s{i:03d}") for i in range(60)]
+    links += [(f"p{r.randrange(40):02d}", f"q{r.randrange(40):02d}") for _ in range(25)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    want = sorted((n, find(n)) for n in parent)
+    if mode == "split":
+        request.getfixturevalue("hot")
+    edges = spark.createDataFrame(links, "src string, dst string")
+    assert rows(graph.communities(edges)) == want
+
+
 def test_ancestors_with_shared_parents_and_cycles(spark):
     edges = spark.createDataFrame(
         [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "a"), ("x", "y")], "src string, dst string"

@@ -85,8 +85,10 @@ def velocity(
     """
     cents = F.round(F.col(amount) * 100).cast("long")
     pair = [key, member]
-    hot_pairs = hot_keys(df, pair)
-    rows = previous(df, pair, [time, tie], {"_before": time}, hot=hot_pairs)
+    hot, hot_pairs = hot_keys(df, [key]), hot_keys(df, pair)
+    # Rows placed by user serve the windows per user and member as well: one shuffle.
+    placed = df if hot or hot_pairs else df.repartition(key)
+    rows = previous(placed, pair, [time, tie], {"_before": time}, hot=hot_pairs)
     rows = previous(rows, pair, [time, tie], {"_after": time}, hot=hot_pairs, reverse=True)
     rows = rows.withColumn("_cents", cents)
     micros = F.unix_micros(time)
@@ -127,7 +129,9 @@ def velocity(
         for suffix in spans
         for letter in "nsqd"
     ]
-    done = running(flat, [key], ["_at", "_kind"], sums, peers=True).where(F.col("_kind") == 0)
+    done = running(flat, [key], ["_at", "_kind"], sums, peers=True, hot=hot).where(
+        F.col("_kind") == 0
+    )
     measures = []
     for suffix in spans:
         n = F.col(f"n_{suffix}")

@@ -39,25 +39,14 @@ def _(spark, folder):
     return graph.betweenness(edges(spark, folder), k=10)
 
 
-def trade_edges(spark, folder):
-    """Customers and suppliers linked through small orders: many components."""
-    orders = table(spark, folder, "orders").where("o_totalprice < 12000")
-    lines = table(spark, folder, "lineitem").where("l_quantity <= 10")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.concat(F.lit("c"), F.col("o_custkey")).alias("src"),
-        F.concat(F.lit("s"), F.col("l_suppkey")).alias("dst"),
-    )
-
-
 @query("communities", "node community",
-       """WITH RECURSIVE e AS (SELECT DISTINCT 'c' || o_custkey AS a, 's' || l_suppkey AS b FROM orders
-              JOIN lineitem ON o_orderkey = l_orderkey WHERE o_totalprice < 12000 AND l_quantity <= 10),
-          both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-          reach(node, other) AS (SELECT a, a FROM both_ways UNION
-              SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
-          SELECT node, min(other) AS community FROM reach GROUP BY node""")
+       f"""WITH RECURSIVE e AS MATERIALIZED (SELECT src AS a, dst AS b FROM {EDGES_SQL}
+               UNION SELECT dst, src FROM {EDGES_SQL}),
+           reach(node, other) AS (SELECT a, a FROM e UNION
+               SELECT reach.node, e.b FROM reach JOIN e ON reach.other = e.a)
+           SELECT node, min(other) AS community FROM reach GROUP BY node""")
 def _(spark, folder):
-    return graph.communities(trade_edges(spark, folder))
+    return graph.communities(edges(spark, folder))
 
 
 def lineage_edges(spark, folder):

@@ -472,7 +472,7 @@ def _(spark, folder):
 
 USER_VIEW_SQL = f"(SELECT user_id, avg(amount) AS avg_amount, max(amount) AS top FROM {FRAUD_SQL} GROUP BY 1)"
 SHOP_VIEW_SQL = f"""(SELECT merchant_id, avg(CAST(is_fraud AS INT)) AS merchant_risk_score,
-    min(amount) AS top FROM {FRAUD_SQL} WHERE merchant_id < 60 GROUP BY 1)"""
+    min(amount) AS top FROM {FRAUD_SQL} GROUP BY 1 HAVING max(amount) > 220)"""
 
 
 def merged(spark, folder):
@@ -481,9 +481,14 @@ def merged(spark, folder):
         F.avg("amount").alias("avg_amount"), F.max("amount").alias("top")
     )
     by_shop = (
-        rows.where("merchant_id < 60")
-        .groupBy("merchant_id")
-        .agg(agg.rate_of("is_fraud").alias("merchant_risk_score"), F.min("amount").alias("top"))
+        rows.groupBy("merchant_id")
+        .agg(
+            agg.rate_of("is_fraud").alias("merchant_risk_score"),
+            F.min("amount").alias("top"),
+            F.max("amount").alias("_highest"),
+        )
+        .where("_highest > 220")
+        .drop("_highest")
     )
     return detector.feature_rows(rows, by_user, by_shop)
 
