@@ -25,12 +25,11 @@ def user_merchant_edges(
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
-    back = edges.select(
-        F.col("dst").alias("src"),
-        F.col("src").alias("dst"),
-        *[c for c in edges.columns if c not in ("src", "dst")],
-    )
-    return edges.unionByName(back)
+    """Every edge in both directions, from one reading of the edges."""
+    rest = [c for c in edges.columns if c not in ("src", "dst")]
+    there = F.struct(F.col("src"), F.col("dst"), *rest)
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), *rest)
+    return edges.select(F.inline(F.array(there, back)))
 
 
 def nodes_of(edges: DataFrame) -> DataFrame:
