@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rowwise import column
+from tidemark.llm.rowwise import column, fresh
 
 SALTS = 64
 
@@ -64,14 +64,14 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of rows repeated with one id and one text one stays. Cases as in ``exact_groups``.
     """
-    kept = (
-        exact_groups(df, id_col, text_col)
-        .where("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
+    sha, own = fresh(df, "_sha"), fresh(df, "_own")
+    kept = exact_groups(df, id_col, text_col).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
+    )
+    marked = df.withColumns(
+        {sha: F.sha2(normalised(column(text_col).cast("string")), 256), own: column(id_col)}
     )
-    marked = df.withColumn("_sha", F.sha2(normalised(column(text_col).cast("string")), 256))
     stays = marked.join(
-        kept, marked["_sha"].eqNullSafe(kept["_kept_sha"])
-        & column(id_col).eqNullSafe(F.col("_id")),
-    )
-    return stays.dropDuplicates(["_id", "_sha"]).select(*[column(c) for c in df.columns])
+        kept, (marked[sha] == kept["_kept_sha"]) & marked[own].eqNullSafe(kept["_kept_id"]), "left_semi"
+    )
+    return stays.dropDuplicates([sha, own]).drop(sha, own)

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language, mixing, pii, secret_scan, toxicity
+from tidemark.llm import (
+    decontamination,
+    exact_dedup,
+    language,
+    lattice_lm,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    secret_scan,
+    toxicity,
+)
 from tidemark.llm.rowwise import count_kind, of_kinds, spans_text
 
 QUERIES = {}
@@ -151,3 +162,61 @@ def op10_language(spark, folder):
     return predicted.select(
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op2_ngram_join(spark, folder):
+    return ngram_join.similar_components(table(spark, folder, "documents"))
+
+
+ORACLES["op2_ngram_join"] = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w != '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS grams
+    FROM words
+), sizes AS (SELECT doc_id, len(grams) AS n FROM sets),
+incidence AS (SELECT doc_id, unnest(grams) AS gram FROM sets),
+counted AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+    FROM incidence a JOIN incidence b ON a.gram = b.gram AND a.doc_id < b.doc_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT u, v FROM counted JOIN sizes s ON u = s.doc_id JOIN sizes t ON v = t.doc_id
+    WHERE 100 * shared >= 90 * (s.n + t.n - shared)
+), edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT v, root FROM reach JOIN edges ON u = reach.doc_id
+)
+SELECT doc_id, n AS n_shingles, min(root) AS component_id
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+@query
+def op5_line_dedup(spark, folder):
+    return line_dedup.line_groups(table(spark, folder, "documents"))
+
+
+@query
+def op6_lattice_lm(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7)
+    scored = lattice_lm.lattice_likelihood(docs, ~out)
+    return scored.select(
+        "doc_id", out.alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
+@query
+def op7_decontamination(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(docs, table(spark, folder, "benchmark"))

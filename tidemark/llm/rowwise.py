@@ -15,6 +15,14 @@ def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until the frame has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_columns(
     df: DataFrame,
     text_col: str,
