@@ -122,8 +122,8 @@ def _sets(docs: DataFrame, settings: Settings, arrays: str | None) -> DataFrame:
 
 
 def links_in_block(grams: list[np.ndarray], sizes: np.ndarray, percent: int, left: np.ndarray | None):
-    """(i, j) of a spanning forest of the links among the sets of a block; with ``left``
-    only links between a left and another set count, which the forest then connects."""
+    """(i, j) that connect the sets of a block with the first they are linked to, directly or
+    over others; with ``left`` only links between a left and another set count."""
     if len(grams) < 2:
         return []
     owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])

@@ -39,7 +39,11 @@ def add_columns(
     added = set(new.names)
     passed = [c for c in df.columns if c not in added]
     text_at = len(passed)
-    source = df.select(*[column(c) for c in passed], column(text_col).cast("string").alias("_text"))
+    # Columns go by their place meanwhile, whatever their names hold.
+    source = df.select(
+        *[column(c).alias(f"c{i}") for i, c in enumerate(passed)],
+        column(text_col).cast("string").alias("text"),
+    )
     schema = StructType([*source.schema.fields[:-1], *new.fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +54,7 @@ def add_columns(
                 [*batch.columns[:text_at], *arrays], names=schema.names
             )
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(work, schema).toDF(*passed, *new.names)
 
 
 def marks(characters: str) -> bytes:
