@@ -110,6 +110,20 @@ def test_trailing_velocity_over_batches(spark, event_files):
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_velocity_on_arrival_equals_batch_when_rows_come_in_order(spark, tmp_path):
+    data = [(i, i % 3, datetime(2024, 1, 1) + timedelta(seconds=40 * i), None if i % 7 == 0 else float(i % 50), "c", 1) for i in range(90)]
+    schema = "transaction_id long, user_id long, timestamp timestamp, amount double, merchant_category string, merchant_id long"
+    table = spark.createDataFrame(data, schema)
+    folder = str(tmp_path / "in")
+    for part in range(3):
+        table.where(f"transaction_id div 30 = {part}").coalesce(1).write.mode("append").parquet(folder)
+    source = jobs.file_stream(spark, folder, table.schema, files_per_trigger=1)
+    got = jobs.run_to_table(stateful.velocity_on_arrival(source, 300, 0), "arrival")
+    want = seq.velocity(table, {"1h": 300})
+    columns = ["transaction_id", "transaction_count_1h", *[F.round(c, 6).alias(c) for c in ("total_amount_1h", "avg_amount_1h", "std_amount_1h")]]
+    assert rows(got, *columns) == rows(want, *columns)
+
+
 def test_user_statistics(spark, event_files):
     path, table = event_files
     got = jobs.run_to_table(
@@ -345,6 +359,22 @@ def test_communities_equal_union_find(spark, request, mode):
     assert rows(graph.communities(edges)) == want
 
 
+@pytest.mark.parametrize("order", ["random", "adverse"])
+def test_communities_of_a_long_chain_in_few_rounds(spark, monkeypatch, order):
+    import random
+
+    from tidemark.operators import components
+
+    names = [f"{i:04d}" for i in range(1000)]
+    names = random.Random(3).sample(names, 1000) if order == "random" else [names[0], *names[:0:-1]]
+    rounds = []
+    monkeypatch.setattr(components, "cut_lineage", lambda df: rounds.append(1) or df.checkpoint())
+    edges = spark.createDataFrame(list(zip(names, names[1:], strict=False)), "src string, dst string")
+    found = graph.communities(edges).collect()
+    assert len(found) == 1000 and {r["community"] for r in found} == {"0000"}
+    assert len(rounds) <= 25
+
+
 def test_ancestors_with_shared_parents_and_cycles(spark):
     edges = spark.createDataFrame(
         [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "a"), ("x", "y")], "src string, dst string"
@@ -500,11 +530,30 @@ def test_fraud_stream_from_messages(spark, event_files, tmp_path):
         F.to_json(body).cast("binary").alias("value"),
         F.col("ts").alias("timestamp"),
     )
+    bad = spark.createDataFrame([("k", "no json"), ("k", '{"transaction_id": "x"}')], "key string, value string")
+    bad.selectExpr("cast(key as binary) key", "cast(value as binary) value", "timestamp_seconds(0) timestamp").write.parquet(str(tmp_path / "bad-in"))
+    broken = jobs.file_stream(spark, str(tmp_path / "bad-in"), sent.schema)
+    seen = []
+    write_all = jobs.archive_batches(str(tmp_path / "all"))
     writers = applications.fraud_application(
-        sent, str(tmp_path / "all"), "none:1", jobs.append_batches(str(tmp_path / "agg")), str(tmp_path / "cp")
+        sent.unionByName(broken),
+        lambda batch, n: (seen.append(batch.count()), write_all(batch, n)),
+        jobs.append_batches(str(tmp_path / "alerts")),
+        jobs.append_batches(str(tmp_path / "agg")),
+        str(tmp_path / "cp"),
+        jobs.append_batches(str(tmp_path / "bad")),
     )
-    jobs.finish(writers["all"])
-    scored = spark.read.parquet(str(tmp_path / "all"))
-    assert scored.count() == table.count()
+    assert list(writers) == ["transactions", "undecodable"]
+    for writer in writers.values():
+        jobs.finish(writer)
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+    everything = spark.read.parquet(str(tmp_path / "all"))
+    scored = everything.where("transaction_id <> 'TXN_10000'")  # the event that ends the files
+    assert scored.count() == table.count() == everything.count() - 1
     assert scored.where("transaction_id LIKE 'TXN_%' AND rule_high_amount AND date IS NOT NULL").count() == table.count()
+    # Every batch that brought transactions has its own rows and alerts at once.
+    counts = dict(everything.groupBy("batch_id").count().collect())
+    assert [counts.get(n, 0) for n in range(len(seen))] == seen and sum(seen) == everything.count()
+    alerts = spark.read.parquet(str(tmp_path / "alerts"))
+    assert alerts.count() == jobs.suspicious(everything).count()
     assert jobs.alert_messages(scored).count() > 0

@@ -71,6 +71,17 @@ def test_velocity_equals_brute_force(spark, request, mode, seed):
                 assert got[i][f"std_amount_{suffix}"] == pytest.approx(std, abs=1e-6)
 
 
+def test_velocity_of_unknown_and_fine_amounts(spark):
+    data = [(1, 1, at(0), 10.0, 1), (2, 1, at(10), None, 1), (3, 1, at(20), 20.0, 1), (4, 2, at(0), None, 1),
+            (5, 3, at(0), 0.004, 1), (6, 4, at(0), 1e6, 1), (7, 4, at(1), 1e6, 1)]
+    got = {r["transaction_id"]: r for r in seq.velocity(spark.createDataFrame(data, SCHEMA), {"1h": 3600}).collect()}
+    assert (got[3]["transaction_count_1h"], got[3]["avg_amount_1h"]) == (3, 15.0)
+    assert got[3]["std_amount_1h"] == pytest.approx(50**0.5)
+    assert (got[4]["total_amount_1h"], got[4]["avg_amount_1h"], got[4]["std_amount_1h"]) == (None, None, None)
+    assert got[5]["total_amount_1h"] == 0.004
+    assert got[7]["std_amount_1h"] == 0.0
+
+
 def test_session_gap_is_inclusive(spark):
     df = events(spark, [(1, 0, ""), (1, 30, ""), (1, 61, ""), (2, 0, "")])
     found = rows(seq.gap_sessions(df, 30), "user_id", "event_count", "window_start", "window_end")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -20,6 +22,10 @@ from pyspark.sql import functions as F
 FEATURES = ["user_id", "item_id", "hour_of_day", "day_of_week"]
 
 
+# What Spark says of a path without files.
+MISSING = ("Input path does not exist", "PATH_NOT_FOUND", "FileNotFoundException")
+
+
 class ModelUnavailable(RuntimeError):
     """No usable model at the given path."""
 
@@ -67,10 +73,16 @@ def class_weights(train: DataFrame, label="label", positive_weight=None) -> Data
 
 
 def fit_boosted(
-    df: DataFrame, features, label="label", id="id", rounds=100, depth=5, rate=0.1, seed=42
+    df: DataFrame, features, label="label", id="id", rounds=1000, depth=10, rate=0.01, seed=42
 ):
-    """(model, test AUC, importances): class-weighted boosted trees on an 80/20 split."""
+    """(model, test AUC, importances): class-weighted boosted trees on an 80/20 split.
+
+    Training stops early, when a round does not lower the loss on the test part.
+    """
     train, test = stratified_split(df, label, id, seed=seed)
+    both = class_weights(train, label).withColumn("_check", F.lit(False)).unionByName(
+        test.withColumns({"weight": F.lit(1.0), "_check": F.lit(True)})
+    )
     learner = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -79,8 +91,10 @@ def fit_boosted(
         maxDepth=depth,
         stepSize=rate,
         seed=seed,
+        validationIndicatorCol="_check",
+        validationTol=0.0,
     )
-    model = Pipeline(stages=[assembler(features), learner]).fit(class_weights(train, label))
+    model = Pipeline(stages=[assembler(features), learner]).fit(both)
     scored = model.transform(test)
     return model, auc(scored, label), importances(df.sparkSession, model, features)
 
@@ -89,7 +103,8 @@ def fit_network(
     train: DataFrame, features, label="label", hidden=(256, 128, 64), positive_weight=50,
     epochs=50, seed=42,
 ):
-    """Feed-forward network; the positive class is repeated instead of weighted."""
+    """Feed-forward network. Spark's has no row weights, so every positive row is repeated
+    ``positive_weight`` times: training data grows by that factor times the positive share."""
     copies = F.when(F.col(label) == 1, positive_weight).otherwise(1)
     repeated = train.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
     stages = [
@@ -127,10 +142,13 @@ def save(model: PipelineModel, path: str) -> None:
 
 
 def load(path: str) -> PipelineModel:
+    """The model saved at a path; only a missing one is ``ModelUnavailable``."""
     try:
         return PipelineModel.load(path)
-    except Exception as error:
-        raise ModelUnavailable(f"no model at {path}") from error
+    except (AnalysisException, Py4JJavaError) as error:
+        if any(sign in str(error) for sign in MISSING):
+            raise ModelUnavailable(f"no model at {path}") from error
+        raise
 
 
 def score(df: DataFrame, model: PipelineModel, threshold=0.5) -> DataFrame:
@@ -144,14 +162,16 @@ def score(df: DataFrame, model: PipelineModel, threshold=0.5) -> DataFrame:
 
 
 def score_or_rules(rows: DataFrame, path: str | None, **decision_options) -> DataFrame:
-    """Fraud decisions by the model at ``path``, by the rules when there is none."""
+    """Fraud decisions by the model at ``path``, by the rules when there is none;
+    ``model_used`` tells which."""
     from tidemark.plans.detector import decide
 
     try:
         scored = score(rows, load(path)) if path else rows
     except ModelUnavailable:
         scored, path = rows, None
-    return decide(scored, "probability" if path else None, **decision_options)
+    decided = decide(scored, "probability" if path else None, **decision_options)
+    return decided.withColumn("model_used", F.lit(bool(path)))
 
 
 def predict_batches(
@@ -167,9 +187,8 @@ def predict_batches(
     def run(frames: Iterator) -> Iterator:
         for frame in frames:
             probability = predictor(frame[columns])
-            yield frame[[id]].assign(
-                probability=probability, is_fraud=[bool(p > threshold) for p in probability]
-            )
+            yield frame[[id]].assign(probability=probability)
 
-    schema = f"{id} {dict(df.dtypes)[id]}, probability double, is_fraud boolean"
-    return df.select(id, *columns).mapInPandas(run, schema)
+    schema = f"{id} {dict(df.dtypes)[id]}, probability double"
+    scored = df.select(id, *columns).mapInPandas(run, schema)
+    return scored.withColumn("is_fraud", F.col("probability") > threshold)

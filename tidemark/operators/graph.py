@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.components import connected
 from tidemark.operators.hotkeys import hot_keys, join_unique
 from tidemark.session import cut_lineage
 
@@ -58,43 +59,12 @@ def edge_summary(edges: DataFrame) -> DataFrame:
     )
 
 
-def communities(edges: DataFrame, max_rounds=50) -> DataFrame:
-    """node, community: connected components named by their smallest node.
-
-    Every round takes the smallest label among the neighbours and then that label's own
-    label, which doubles the reach. Minima are combined before they are shuffled, so a
-    node with very many edges sends one row per task.
-    """
-    pairs = cut_lineage(both_ways(edges.select("src", "dst")).distinct())
-    labels = cut_lineage(
-        pairs.groupBy(F.col("src").alias("node")).agg(
-            F.least(F.col("src"), F.min("dst")).alias("community")
-        )
+def communities(edges: DataFrame) -> DataFrame:
+    """node, community: connected components named by their smallest node."""
+    found = connected(edges, "src", "dst")
+    return nodes_of(edges).join(found, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("community")
     )
-    facing = pairs.withColumnRenamed("dst", "node")
-    hubs = hot_keys(facing, ["node"])
-    for _ in range(max_rounds):
-        near = (
-            join_unique(facing, labels, ["node"], "inner", hubs)
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("community").alias("_near"))
-        )
-        step = labels.join(near, "node").select(
-            "node",
-            F.col("community").alias("_old"),
-            F.least("community", "_near").alias("_via"),
-        )
-        jump = labels.select(F.col("node").alias("_via"), F.col("community").alias("_far"))
-        moved = cut_lineage(
-            # Many nodes share a label: adaptive execution splits that side of the join.
-            step.join(jump, "_via", "left").select(
-                "node", "_old", F.least("_via", F.col("_far")).alias("community")
-            )
-        )
-        labels = moved.select("node", "community")
-        if moved.where(F.col("_old") != F.col("community")).isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
 def pivots(edges: DataFrame, k=100, seed=7) -> DataFrame:
@@ -107,26 +77,28 @@ def pivots(edges: DataFrame, k=100, seed=7) -> DataFrame:
     )
 
 
-def betweenness(edges: DataFrame, k=100, seed=7, max_rounds=200) -> DataFrame:
+def betweenness(edges: DataFrame, k=100, seed=7) -> DataFrame:
     """Betweenness estimated from min(k, n) pivots with edge weights as distances.
 
     Three iterations over (pivot, node) tables: distances by relaxing edges until none
     improves, path counts forward along the shortest-path edges, and dependencies back
-    along them. Weights must be positive. Scores are scaled as for an undirected graph
-    and by n / k for the sampled pivots.
+    along them; each goes on until nothing changes. A negative weight is an error. Scores
+    are scaled as for an undirected graph and by n / k for the sampled pivots.
     """
     links = cut_lineage(
         both_ways(edges.select("src", "dst", "weight"))
         .groupBy("src", "dst")
         .agg(F.min("weight").alias("weight"))
     )
+    if not links.where("weight < 0").isEmpty():
+        raise ValueError("edge weights must not be negative")
     hubs = hot_keys(links, ["src"])
     chosen = cut_lineage(pivots(links, k, seed))
     best = cut_lineage(
         chosen.select("pivot", F.col("pivot").alias("node"), F.lit(0.0).alias("dist"))
     )
     changed = best
-    for _ in range(max_rounds):
+    while True:
         # At most k rows of ``changed`` per node meet the edges of a hub.
         reached = (
             join_unique(
@@ -147,8 +119,6 @@ def betweenness(edges: DataFrame, k=100, seed=7, max_rounds=200) -> DataFrame:
         changed = merged.where("_up").drop("_up")
         if changed.isEmpty():
             break
-    else:
-        raise RuntimeError(f"distances did not settle within {max_rounds} rounds")
 
     near = best.select("pivot", F.col("node").alias("src"), F.col("dist").alias("_from"))
     steps = cut_lineage(
@@ -157,13 +127,13 @@ def betweenness(edges: DataFrame, k=100, seed=7, max_rounds=200) -> DataFrame:
         .where(F.round(F.col("_from") + F.col("weight"), 9) == F.col("dist"))
         .select("pivot", "src", "dst")
     )
-    paths = _along(steps, "src", "dst", chosen, max_rounds)
+    paths = _along(steps, "src", "dst", chosen)
     share = cut_lineage(
         steps.join(paths.select("pivot", F.col("node").alias("src"), F.col("n").alias("_ns")), ["pivot", "src"])
         .join(paths.select("pivot", F.col("node").alias("dst"), F.col("n").alias("_nd")), ["pivot", "dst"])
         .select("pivot", "src", "dst", (F.col("_ns") / F.col("_nd")).alias("share"))
     )
-    dependency = _back(share, best, max_rounds)
+    dependency = _back(share, best)
     n = nodes_of(links).agg(F.count(F.lit(1))).scalar().cast("double")
     used = chosen.agg(F.count(F.lit(1))).scalar().cast("double")
     scale = F.try_divide(n, (n - 1) * (n - 2) * used)
@@ -178,7 +148,7 @@ def betweenness(edges: DataFrame, k=100, seed=7, max_rounds=200) -> DataFrame:
     )
 
 
-def _along(steps, tail, head, chosen, max_rounds):
+def _along(steps, tail, head, chosen):
     """Number of shortest paths from the pivot to each node.
 
     A node is settled in the round after its last predecessor was.
@@ -193,7 +163,7 @@ def _along(steps, tail, head, chosen, max_rounds):
     open_nodes = cut_lineage(
         wanted.select("pivot", "node", "_preds", F.lit(0).cast("long").alias("_seen"), F.lit(0.0).alias("_sum"))
     )
-    for _ in range(max_rounds):
+    while True:
         sent = (
             fresh.withColumnRenamed("node", tail)
             .join(steps, ["pivot", tail])
@@ -217,10 +187,9 @@ def _along(steps, tail, head, chosen, max_rounds):
             return cut_lineage(state)
         open_nodes = open_nodes.where("_seen < _preds")
         state = state.unionByName(fresh)
-    raise RuntimeError(f"paths did not settle within {max_rounds} rounds")
 
 
-def _back(share, best, max_rounds):
+def _back(share, best):
     """Dependency of each pivot on each node, from the farthest nodes back."""
     waiting = share.groupBy("pivot", F.col("src").alias("node")).agg(
         F.count(F.lit(1)).alias("_succ")
@@ -237,7 +206,7 @@ def _back(share, best, max_rounds):
         )
     )
     done = None
-    for _ in range(max_rounds):
+    while True:
         fresh = open_nodes.where("_seen = _succ").select("pivot", "node", "d")
         if fresh.isEmpty():
             return done
@@ -262,10 +231,9 @@ def _back(share, best, max_rounds):
                 (F.col("d") + F.coalesce("_d", F.lit(0.0))).alias("d"),
             )
         )
-    raise RuntimeError(f"dependencies did not settle within {max_rounds} rounds")
 
 
-def ancestors(edges: DataFrame, dataset: str, max_rounds=1000) -> DataFrame:
+def ancestors(edges: DataFrame, dataset: str) -> DataFrame:
     """All nodes from which ``dataset`` can be reached in an edge table (src, dst).
 
     One join per level; a node is followed once, so shared parents and cycles are safe.
@@ -273,7 +241,7 @@ def ancestors(edges: DataFrame, dataset: str, max_rounds=1000) -> DataFrame:
     found = fresh = cut_lineage(
         edges.where(F.col("dst") == dataset).select(F.col("src").alias("node")).distinct()
     )
-    for _ in range(max_rounds):
+    while True:
         up = edges.join(fresh, F.col("dst") == F.col("node"), "left_semi")
         fresh = cut_lineage(
             up.select(F.col("src").alias("node")).distinct().join(found, "node", "left_anti")
@@ -281,7 +249,6 @@ def ancestors(edges: DataFrame, dataset: str, max_rounds=1000) -> DataFrame:
         if fresh.isEmpty():
             return found
         found = cut_lineage(found.unionByName(fresh))
-    raise RuntimeError(f"lineage is deeper than {max_rounds} levels")
 
 
 def lineage_report(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ from tidemark.operators.hotkeys import hot_keys, join_unique
 from tidemark.operators.running import previous, running
 
 
+UNITS = 1_000_000  # amounts are summed in millionths
+
+
 def newest(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
     """The newest ``n`` rows per key. ``order`` must be unique within a key.
 
@@ -80,17 +83,19 @@ def velocity(
     ``spans`` maps a suffix to seconds. Every row enters a trailing window at its time
     and leaves it one span later, so each measure is a running sum over entries and
     exits: the cost grows with the rows, not with rows times window length. Sums run
-    over whole cents and are therefore exact. A member counts as long as its newest
+    over whole millionths and are therefore exact; finer amounts are rounded to them. A
+    row without an amount counts as a transaction, but not in total, mean and deviation;
+    these are null while no amount is known. A member counts as long as its newest
     occurrence is inside the span.
     """
-    cents = F.round(F.col(amount) * 100).cast("long")
+    units = F.round(F.col(amount).cast("decimal(24,8)") * UNITS).cast("long")
     pair = [key, member]
     hot, hot_pairs = hot_keys(df, [key]), hot_keys(df, pair)
     # Rows placed by user serve the windows per user and member as well: one shuffle.
     placed = df if hot or hot_pairs else df.repartition(key)
     rows = previous(placed, pair, [time, tie], {"_before": time}, hot=hot_pairs)
     rows = previous(rows, pair, [time, tie], {"_after": time}, hot=hot_pairs, reverse=True)
-    rows = rows.withColumn("_cents", cents)
+    rows = rows.withColumn("_units", units)
     micros = F.unix_micros(time)
     known = F.col(member).isNotNull()
 
@@ -101,12 +106,14 @@ def velocity(
         else:
             gap = F.unix_micros("_after") - micros
         alone = known & (gap.isNull() | (gap > span))
-        square = F.col("_cents").cast("decimal(18,0)") * F.col("_cents").cast("decimal(18,0)")
-        none = F.lit(0).cast("decimal(28,0)")
+        exact = F.col("_units").cast("decimal(19,0)")
+        none = F.lit(0).cast("decimal(38,0)")
+        priced = when_in & F.col("_units").isNotNull()
         return [
             F.when(when_in, sign).otherwise(0).cast("long").alias(f"_n_{suffix}"),
-            F.when(when_in, F.col("_cents") * sign).otherwise(0).cast("long").alias(f"_s_{suffix}"),
-            F.when(when_in, square * sign).otherwise(none).cast("decimal(28,0)").alias(f"_q_{suffix}"),
+            F.when(priced, sign).otherwise(0).cast("long").alias(f"_m_{suffix}"),
+            F.when(priced, F.col("_units") * sign).otherwise(0).cast("long").alias(f"_s_{suffix}"),
+            F.when(priced, exact * exact * sign).otherwise(none).cast("decimal(38,0)").alias(f"_q_{suffix}"),
             F.when(when_in & alone, sign).otherwise(0).cast("long").alias(f"_d_{suffix}"),
         ]
 
@@ -127,23 +134,27 @@ def velocity(
     sums = [
         (f"{letter}_{suffix}", "sum", F.col(f"_{letter}_{suffix}"))
         for suffix in spans
-        for letter in "nsqd"
+        for letter in "nmsqd"
     ]
     done = running(flat, [key], ["_at", "_kind"], sums, peers=True, hot=hot).where(
         F.col("_kind") == 0
     )
     measures = []
     for suffix in spans:
-        n = F.col(f"n_{suffix}")
-        s = F.col(f"s_{suffix}").cast("double")
-        q = F.col(f"q_{suffix}").cast("double")
-        spread = F.greatest(n * q - s * s, F.lit(0.0))
-        deviation = F.sqrt(F.try_divide(spread, (n * (n - 1)).cast("double")))
+        n, known = F.col(f"n_{suffix}"), F.col(f"m_{suffix}")
+        total = F.when(known > 0, F.col(f"s_{suffix}").cast("double"))
+        # m q - s s over whole numbers, so equal amounts have exactly no spread; in doubles
+        # where that has more than 38 digits.
+        whole, squares = F.col(f"s_{suffix}").cast("decimal(19,0)"), F.col(f"q_{suffix}")
+        exact = F.try_subtract(F.try_multiply(known.cast("decimal(19,0)"), squares), whole * whole)
+        rough = known * squares.cast("double") - total * total
+        spread = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
+        deviation = F.sqrt(F.try_divide(spread, (known * (known - 1)).cast("double")))
         measures += [
             n.alias(f"transaction_count_{suffix}"),
-            (s / 100).alias(f"total_amount_{suffix}"),
-            (s / 100 / n).alias(f"avg_amount_{suffix}"),
-            (deviation / 100).alias(f"std_amount_{suffix}"),
+            (total / UNITS).alias(f"total_amount_{suffix}"),
+            (total / UNITS / known).alias(f"avg_amount_{suffix}"),
+            (deviation / UNITS).alias(f"std_amount_{suffix}"),
             F.col(f"d_{suffix}").alias(f"unique_merchants_{suffix}"),
         ]
     return done.select("_row.*", *measures)

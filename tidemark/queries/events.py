@@ -103,7 +103,10 @@ def _(spark, folder):
     return agg.grand_total(raw_events(spark, folder))
 
 
-VOLUME_TABLES = ("events", "orders", "customer", "lineitem", "nation")
+VOLUME_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 @query("volume_stats", "table_name row_count",

@@ -36,7 +36,7 @@ def _(spark, folder):
 
 @query("betweenness", "node betweenness_centrality:8")
 def _(spark, folder):
-    return graph.betweenness(edges(spark, folder), k=10)
+    return graph.betweenness(edges(spark, folder))
 
 
 @query("communities", "node community",
@@ -77,7 +77,9 @@ def _(spark, folder):
               list_sort(list('region_' || r_regionkey)) AS names,
               (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) AS total_edges FROM region
           UNION ALL SELECT 'transformation', count(*), list_sort(list('nation_' || n_nationkey)),
-              (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) FROM nation""")
+              (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) FROM nation
+          UNION ALL SELECT 'dataset', count(*), list_sort(list('customer_' || c_custkey)),
+              (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) FROM customer""")
 def _(spark, folder):
     regions = table(spark, folder, "region").select(
         F.concat(F.lit("region_"), "r_regionkey").alias("node"), F.lit("source").alias("node_type")
@@ -86,4 +88,8 @@ def _(spark, folder):
         F.concat(F.lit("nation_"), "n_nationkey").alias("node"),
         F.lit("transformation").alias("node_type"),
     )
-    return graph.lineage_report(regions.unionByName(nations), lineage_edges(spark, folder))
+    customers = table(spark, folder, "customer").select(
+        F.concat(F.lit("customer_"), F.col("c_custkey")).alias("node"), F.lit("dataset").alias("node_type")
+    )
+    nodes = regions.unionByName(nations).unionByName(customers)
+    return graph.lineage_report(nodes, lineage_edges(spark, folder))

@@ -36,7 +36,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows = interactions(spark, folder)
     path = shared_folder(spark, "logistic")
-    models.save(models.fit_logistic(rows, max_iter=50), path)
+    models.save(models.fit_logistic(rows), path)
     scored = models.score(rows, models.load(path))
     return scored.groupBy("prediction").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("probability").alias("mean_probability")
@@ -53,16 +53,14 @@ def fraud_rows(spark, folder):
 
 @query("boosted_importances", "feature importance:6")
 def _(spark, folder):
-    _, _, found = models.fit_boosted(
-        fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id", rounds=5, depth=3
-    )
+    _, _, found = models.fit_boosted(fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id")
     return found
 
 
 @query("forest_scores", "label:i rows mean_probability:6")
 def _(spark, folder):
     rows = fraud_rows(spark, folder)
-    model = models.fit_forest(rows, FRAUD_FEATURES, trees=5, depth=4)
+    model = models.fit_forest(rows, FRAUD_FEATURES)
     return models.score(rows, model).groupBy("label").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("probability").alias("mean_probability")
     )

@@ -60,29 +60,29 @@ def _(spark, folder):
     )
 
 
-PROFILED = ("l_quantity", "l_discount", "l_suppkey")
-PROFILE_TABLE = f"(SELECT {', '.join(PROFILED)}, l_returnflag FROM lineitem)"
+PROFILED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax")
+UNMEASURED = ("l_returnflag", "l_linestatus", "l_shipdate")
 
 
 def profile_sql():
     parts = [
-        f"SELECT 'rows' AS metric, NULL AS column_name, CAST(count(*) AS DOUBLE) AS value FROM {PROFILE_TABLE}",
-        f"""SELECT 'duplicates', NULL, sum(n - 1) FROM (SELECT count(*) AS n FROM {PROFILE_TABLE}
-            GROUP BY {', '.join(PROFILED)}, l_returnflag)""",
+        "SELECT 'rows' AS metric, NULL AS column_name, CAST(count(*) AS DOUBLE) AS value FROM lineitem",
+        "SELECT 'duplicates', NULL, sum(n - 1) FROM (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL)",
     ]
-    for c in (*PROFILED, "l_returnflag"):
-        parts.append(f"SELECT 'nulls', '{c}', count(*) - count({c}) FROM {PROFILE_TABLE}")
+    for c in (*PROFILED, *UNMEASURED):
+        parts.append(f"SELECT 'nulls', '{c}', count(*) - count({c}) FROM lineitem")
     for c in PROFILED:
         for metric, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
-            parts.append(f"SELECT '{metric}', '{c}', {f}({c}) FROM {PROFILE_TABLE}")
-        parts.append(f"""SELECT 'outliers', '{c}', count(*) FROM {PROFILE_TABLE}
-            WHERE {c} > (SELECT quantile_cont({c}, 0.99) FROM {PROFILE_TABLE})""")
+            parts.append(f"SELECT '{metric}', '{c}', {f}({c}) FROM lineitem")
+        parts.append(f"""SELECT 'outliers', '{c}', count(*) FROM lineitem
+            WHERE {c} > (SELECT quantile_cont({c}, 0.99) FROM lineitem)""")
     return " UNION ALL ".join(parts)
 
 
 @query("data_profile", "metric column_name value:5", profile_sql())
 def _(spark, folder):
-    return q.profile(table(spark, folder, "lineitem").select(*PROFILED, "l_returnflag"))
+    return q.profile(table(spark, folder, "lineitem"))
 
 
 COARSE_SQL = f"""(SELECT date_trunc('hour', timestamp) AS timestamp, floor(amount / 10) AS amount,

@@ -702,11 +702,9 @@ def _(spark, folder):
 
 @query("duplicate_rows", "total_rows:i distinct_rows duplicate_rows:i",
        """SELECT sum(n) AS total_rows, count(*) AS distinct_rows, sum(n) - count(*) AS duplicate_rows
-          FROM (SELECT l_suppkey, l_quantity, l_discount, count(*) AS n FROM lineitem GROUP BY ALL)""")
+          FROM (SELECT *, count(*) AS n FROM conversations GROUP BY ALL)""")
 def _(spark, folder):
-    return sets.duplicate_rows(
-        table(spark, folder, "lineitem").select("l_suppkey", "l_quantity", "l_discount")
-    )
+    return sets.duplicate_rows(table(spark, folder, "conversations"))
 
 
 @query("union_staged", "id user_id amount:2 note",

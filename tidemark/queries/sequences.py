@@ -33,7 +33,7 @@ def _(spark, folder):
     return seq.days_since_previous(fraud_transactions(spark, folder))
 
 
-def velocity_sql():
+def velocity_sql(source=FRAUD_SQL):
     spans = {"1h": "1 HOUR", "24h": "24 HOURS", "7d": "7 DAYS"}
     parts = []
     for suffix, length in spans.items():
@@ -46,7 +46,7 @@ def velocity_sql():
             f"stddev_samp(amount) OVER {w} AS std_amount_{suffix}",
             f"count(DISTINCT merchant_id) OVER {w} AS unique_merchants_{suffix}",
         ]
-    return f"SELECT transaction_id, {', '.join(parts)} FROM {FRAUD_SQL}"
+    return f"SELECT transaction_id, {', '.join(parts)} FROM {source}"
 
 
 VELOCITY_SPEC = "transaction_id " + " ".join(
@@ -60,6 +60,19 @@ def _(spark, folder):
     return seq.velocity(fraud_transactions(spark, folder), seq.SPANS)
 
 
+# Every fifth amount is missing, the others have four places.
+SPARSE_SQL = f"""(SELECT * REPLACE (CASE WHEN transaction_id % 5 <> 0
+    THEN CAST(floor(amount * 100) + transaction_id % 97 AS DOUBLE) / 10000 END AS amount) FROM {FRAUD_SQL})"""
+
+
+@query("velocity_sparse", VELOCITY_SPEC.replace(":2", ":4"), velocity_sql(SPARSE_SQL))
+def _(spark, folder):
+    rows = fraud_transactions(spark, folder)
+    fine = (F.floor(F.col("amount") * 100) + F.col("transaction_id") % 97).cast("double") / 10000
+    sparse = rows.withColumn("amount", F.when(F.col("transaction_id") % 5 != 0, fine))
+    return seq.velocity(sparse, seq.SPANS)
+
+
 @query("zscore",
        "transaction_id amount_zscore:5 amount_zscore_or_zero:5 amount_zscore_relative:2",
        f"""SELECT transaction_id, (amount - m) / greatest(s, 1) AS amount_zscore,

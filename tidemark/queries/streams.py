@@ -8,13 +8,39 @@ from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
 from tidemark.streaming import jobs, stateful
 
-# Append-mode results hold what the watermark (newest time minus 5 s) has passed.
-PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 5 SECONDS FROM events)"
 
+class Closing:
+    """A second source beside the event files that ends the stream.
 
-def event_stream(spark, folder):
+    Results in append mode wait for the watermark. After the event files are read, one row
+    of a user of its own arrives here, a month after the newest event, so that every window,
+    session and waiting row of the table is passed; its own results are never emitted.
+    """
+
+    def __init__(self, spark, folder):
+        self.events = table(spark, folder, "events")
+        self.path = jobs.shared_folder(spark, "closing")
+        self.events.limit(0).write.parquet(self.path)
+
+    def beside(self, stream):
+        return stream.unionByName(jobs.file_stream(stream.sparkSession, self.path, stream.schema))
+
+    def close(self):
+        newest = self.events.agg(F.max("ts").alias("ts")).select(
+            *[
+                (F.col("ts") + F.expr("INTERVAL 30 DAYS") if f.name == "ts" else F.lit(
+                    -1 if f.name in ("event_id", "user_id") else None)).cast(f.dataType).alias(f.name)
+                for f in self.events.schema
+            ]
+        )
+        newest.write.mode("append").parquet(self.path)
+
+
+def event_stream(spark, folder, closing=None):
     source = table(spark, folder, "events").schema
     stream = jobs.file_stream(spark, f"{folder}/events*.parquet", source)
+    if closing:
+        stream = closing.beside(stream)
     return stream.select(
         F.col("event_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -23,17 +49,25 @@ def event_stream(spark, folder):
     )
 
 
-def transaction_stream(spark, folder):
+def transaction_stream(spark, folder, closing=None):
     source = table(spark, folder, "events").schema
-    return fraud_columns(jobs.file_stream(spark, f"{folder}/events*.parquet", source))
+    stream = jobs.file_stream(spark, f"{folder}/events*.parquet", source)
+    return fraud_columns(closing.beside(stream) if closing else stream)
+
+
+def whole(spark, folder, purpose, build, source=event_stream):
+    """The append-mode result of ``build`` over the whole table."""
+    closing = Closing(spark, folder)
+    stream = build(source(spark, folder, closing))
+    return jobs.run_to_table(stream, purpose, then=closing.close)
 
 
 @query("stream_tumbling", "window_start:t window_end:t event_count",
-       f"""SELECT * FROM (SELECT date_trunc('minute', ts) AS window_start,
-               date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS event_count
-               FROM events GROUP BY ALL) WHERE window_end <= {PASSED}""")
+       """SELECT date_trunc('minute', ts) AS window_start,
+              date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS event_count
+          FROM events GROUP BY ALL""")
 def _(spark, folder):
-    return jobs.run_to_table(jobs.window_counts(event_stream(spark, folder)), "tumbling")
+    return whole(spark, folder, "tumbling", jobs.window_counts)
 
 
 @query("stream_tumbling_updates", "window_start:t window_end:t event_count",
@@ -55,32 +89,31 @@ def _(spark, folder):
 
 
 @query("stream_sliding", "metric_type event_count window_start:t avg_processing_time:6",
-       f"""SELECT * FROM (SELECT 'sliding_window' AS metric_type, count(*) AS event_count, window_start,
+       """SELECT 'sliding_window' AS metric_type, count(*) AS event_count, window_start,
                avg(user_id) AS avg_processing_time FROM (SELECT user_id, unnest(generate_series(
                    time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 5 HOURS, time_bucket(INTERVAL 1 HOUR, ts),
-                   INTERVAL 1 HOUR)) AS window_start FROM events) GROUP BY window_start)
-           WHERE window_start + INTERVAL 6 HOURS <= {PASSED}""")
+                   INTERVAL 1 HOUR)) AS window_start FROM events) GROUP BY window_start""")
 def _(spark, folder):
-    sliding = jobs.sliding_metrics(event_stream(spark, folder), "5 seconds", "6 hours", "1 hour")
-    return jobs.run_to_table(sliding, "sliding")
+    return whole(
+        spark, folder, "sliding",
+        lambda events: jobs.sliding_metrics(events, "5 seconds", "6 hours", "1 hour"),
+    )
 
 
 @query("stream_user_windows",
        "user_id window_start:t transaction_count_1h total_amount_1h:2 std_amount_1h:4 merchants:i",
-       f"""SELECT * FROM (SELECT user_id, window_start, count(*) AS transaction_count_1h,
+       f"""SELECT user_id, window_start, count(*) AS transaction_count_1h,
                sum(amount) AS total_amount_1h, stddev_samp(amount) AS std_amount_1h,
                count(DISTINCT merchant_id) AS merchants
                FROM (SELECT *, unnest([time_bucket(INTERVAL 12 HOURS, timestamp),
                    time_bucket(INTERVAL 12 HOURS, timestamp) - INTERVAL 12 HOURS]) AS window_start FROM {FRAUD_SQL})
-               GROUP BY 1, 2)
-           WHERE window_start + INTERVAL 24 HOURS <= {PASSED}""")
+               GROUP BY 1, 2""")
 def _(spark, folder):
-    windows = jobs.user_windows(
-        transaction_stream(spark, folder), "5 seconds", "24 hours", "12 hours"
-    )
-    return jobs.run_to_table(windows, "user-windows").withColumn(
-        "merchants", F.size("unique_merchants_1h")
-    )
+    windows = whole(
+        spark, folder, "user-windows",
+        lambda rows: jobs.user_windows(rows, "5 seconds", "24 hours", "12 hours"), transaction_stream,
+    )
+    return windows.withColumn("merchants", F.size("unique_merchants_1h"))
 
 
 @query("stream_sessions", "user_id metric_type event_count window_start:t window_end:t",
@@ -89,11 +122,9 @@ def _(spark, folder):
            FROM (SELECT *, sum(CASE WHEN p IS NULL OR epoch_us(ts) - epoch_us(p) > 3600000000 THEN 1 ELSE 0 END)
                      OVER (PARTITION BY user_id ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS s
                  FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, id) AS p FROM {EVENTS_SQL}))
-           GROUP BY user_id, s HAVING max(ts) + INTERVAL 1 HOUR <= {PASSED}""")
+           GROUP BY user_id, s""")
 def _(spark, folder):
-    return jobs.run_to_table(
-        jobs.gap_sessions(event_stream(spark, folder), "1 hour"), "sessions"
-    )
+    return whole(spark, folder, "sessions", lambda events: jobs.gap_sessions(events, "1 hour"))
 
 
 @query("stream_deduplicated", "id", "SELECT event_id AS id FROM events")
@@ -115,9 +146,9 @@ def _(spark, folder):
 @query("stream_every_nth", "user_id metric_type event_count window_start:t",
        f"""SELECT user_id, 'user_event_count' AS metric_type, event_count, ts AS window_start
            FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, id) AS event_count
-                 FROM {EVENTS_SQL}) WHERE event_count % 10 = 0 AND date_trunc('milliseconds', ts) <= {PASSED}""")
+                 FROM {EVENTS_SQL}) WHERE event_count % 10 = 0""")
 def _(spark, folder):
-    return jobs.run_to_table(stateful.every_nth(event_stream(spark, folder), 10), "nth")
+    return whole(spark, folder, "nth", lambda events: stateful.every_nth(events, 10))
 
 
 @query("stream_pattern", "user_id metric_type event_count:i window_start:t window_end:t avg_processing_time:3",
@@ -125,25 +156,23 @@ def _(spark, folder):
                nxt AS window_end, (epoch_us(nxt) - epoch_us(ts)) / 1000.0 AS avg_processing_time
            FROM (SELECT *, min(CASE WHEN value = 'purchase' THEN ts END) OVER (PARTITION BY user_id
                      ORDER BY ts, id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM {EVENTS_SQL})
-           WHERE value = 'click' AND epoch_us(nxt) - epoch_us(ts) < 43200000000
-               AND date_trunc('milliseconds', nxt) <= {PASSED}""")
+           WHERE value = 'click' AND epoch_us(nxt) - epoch_us(ts) < 43200000000""")
 def _(spark, folder):
-    pairs = stateful.followed_by(
-        event_stream(spark, folder), F.col("value") == "click", F.col("value") == "purchase", 43200
+    click, purchase = F.col("value") == "click", F.col("value") == "purchase"
+    return whole(
+        spark, folder, "pattern", lambda events: stateful.followed_by(events, click, purchase, 43200)
     )
-    return jobs.run_to_table(pairs, "pattern")
 
 
 @query("sessions_max_life", "user_id id ts:t session_start:t",
-       f"""WITH RECURSIVE s AS (SELECT user_id, min(ts) AS session_start FROM events GROUP BY 1
+       """WITH RECURSIVE s AS (SELECT user_id, min(ts) AS session_start FROM events GROUP BY 1
                UNION ALL SELECT s.user_id, min(e.ts) FROM s JOIN events e
                    ON e.user_id = s.user_id AND e.ts > s.session_start + INTERVAL 2 HOURS
                GROUP BY s.user_id, s.session_start)
            SELECT e.user_id, e.event_id AS id, e.ts, s.session_start FROM events e ASOF JOIN s
-               ON e.user_id = s.user_id AND s.session_start <= e.ts
-           WHERE date_trunc('milliseconds', e.ts) <= {PASSED}""")
+               ON e.user_id = s.user_id AND s.session_start <= e.ts""")
 def _(spark, folder):
-    return jobs.run_to_table(stateful.max_life_sessions(event_stream(spark, folder)), "max-life")
+    return whole(spark, folder, "max-life", stateful.max_life_sessions)
 
 
 @query("stream_scored",
@@ -157,8 +186,7 @@ def _(spark, folder):
            FROM (SELECT *, count(*) OVER w AS n, sum(amount) OVER w AS t, avg(amount) OVER w AS m,
                      stddev_samp(amount) OVER w AS s FROM {FRAUD_SQL}
                  WINDOW w AS (PARTITION BY user_id ORDER BY timestamp
-                     RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW))
-           WHERE date_trunc('milliseconds', timestamp) <= {PASSED}""")
+                     RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW))""")
 def _(spark, folder):
     scored = stateful.scored_stream(
         transaction_stream(spark, folder),

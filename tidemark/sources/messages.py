@@ -32,22 +32,11 @@ def read_topic(spark: SparkSession, **options) -> DataFrame:
 
 
 def read_topic_range(
-    spark: SparkSession, servers: str, topic: str, limit=100_000, ending="latest"
+    spark: SparkSession, servers: str, topic: str, starting="earliest", ending="latest"
 ) -> DataFrame:
-    """Bounded read from the earliest offset, at most ``limit`` records."""
-    options = topic_options(servers, topic, "earliest", extra={"endingOffsets": ending})
-    return spark.read.format("kafka").options(**options).load().limit(limit)
-
-
-def write_topic(stream: DataFrame, servers: str, topic: str, checkpoint: str):
-    """Start writing key and value to a topic."""
-    return (
-        stream.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    """All records between two positions, each a name or offsets per partition as JSON."""
+    options = topic_options(servers, topic, starting, extra={"endingOffsets": ending})
+    return spark.read.format("kafka").options(**options).load()
 
 
 def decode(messages: DataFrame, schema, times=("ts",), required=("id",), keep=()) -> DataFrame:
@@ -84,6 +73,18 @@ def decode_transactions(messages: DataFrame) -> DataFrame:
     )
 
 
+def undecodable(messages: DataFrame, schema=FRAUD_WIRE_SCHEMA, times=("timestamp",), required=("transaction_id", "timestamp")) -> DataFrame:
+    """The messages that ``decode`` skips, unchanged."""
+    parsed = messages.withColumn("_parsed", F.from_json(text("value"), schema))
+    fields = [
+        parse_time(F.col(f"_parsed.{n}")) if n in times else F.col(f"_parsed.{n}") for n in required
+    ]
+    whole = F.lit(True)
+    for field in fields:
+        whole = whole & field.isNotNull()
+    return parsed.where(~F.coalesce(whole, F.lit(False))).drop("_parsed")
+
+
 # Event types per topic.
 TOPICS = {
     "user_activity": (
@@ -113,11 +114,6 @@ def topic_for(event_type, topics=None, default="events") -> Column:
     return out
 
 
-def market_topic(asset_type="asset_type") -> Column:
-    """market_<asset type>, or the index topic for rows without one."""
-    return F.coalesce(F.concat(F.lit("market_"), F.col(asset_type)), F.lit("market_indices"))
-
-
 def as_messages(df: DataFrame, key: str, topic: Column | None = None) -> DataFrame:
     """Rows as key and JSON value, with a topic column when given."""
     columns = [F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")]

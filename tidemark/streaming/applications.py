@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.model import METRICS_SCHEMA
-from tidemark.sources.messages import decode_events, decode_transactions, write_topic
+from tidemark.sources.messages import decode_events, decode_transactions, undecodable
 from tidemark.streaming import jobs, stateful
 
 
@@ -53,17 +53,34 @@ def metrics_application(events: DataFrame, write, checkpoint: str, first=None, s
 
 
 def fraud_application(
-    messages: DataFrame, archive_path: str, servers: str, write_aggregates, checkpoint: str
+    messages: DataFrame, write_all, write_alerts, write_aggregates, checkpoint: str, bad=None
 ):
-    """Writers of all scored transactions, the alerts and the category aggregates."""
-    scored = stateful.scored_stream(decode_transactions(messages), delay="1 hour")
-    return {
-        "all": jobs.archive(scored, archive_path, f"{checkpoint}/all", "timestamp", hourly=True),
-        "alerts": write_topic(
-            jobs.alert_messages(scored), servers, "fraud-alerts", f"{checkpoint}/alerts"
-        ),
-        "aggregates": jobs.batches(scored, aggregated(write_aggregates), f"{checkpoint}/aggregates"),
-    }
+    """One writer for all scored transactions, their alerts and the category aggregates.
+
+    Transactions are scored in the batch that brings them. The batch is computed once, from
+    one state store and one reading of the topic, and handed to the three batch functions;
+    with ``bad``, messages that cannot be decoded go there by a writer of their own.
+    """
+    scored = stateful.scored_stream(decode_transactions(messages))
+
+    def alerts(batch: DataFrame, batch_id: int) -> None:
+        write_alerts(jobs.alert_messages(batch), batch_id)
+
+    writes = jobs.fan_out(write_all, alerts, aggregated(write_aggregates))
+    writers = {"transactions": jobs.batches(scored, writes, f"{checkpoint}/transactions")}
+    if bad:
+        writers["undecodable"] = jobs.batches(undecodable(messages), bad, f"{checkpoint}/bad")
+    return writers
+
+
+def topic_batches(servers: str, topic: str):
+    """Batch function that sends key and value to a topic."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        batch.write.format("kafka").options(**options).save()
+
+    return write
 
 
 def aggregated(write):

@@ -183,6 +183,16 @@ def append_batches(path: str):
     return write
 
 
+def archive_batches(path: str, time="timestamp"):
+    """The same by date and hour within a batch's folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dated = batch.withColumns({"date": F.to_date(time), "hour_of_day": F.hour(time)})
+        dated.write.mode("overwrite").partitionBy("date", "hour_of_day").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def newest_by_batch(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Rows written by ``append_batches`` in update mode: the last batch wins per key."""
     from tidemark.operators.sequences import newest_per_key
@@ -199,7 +209,7 @@ def split_dead_letters(path_good: str, path_bad: str, reason):
         append_batches(path_good)(good, batch_id)
         append_batches(path_bad)(bad, batch_id)
 
-    return write
+    return fan_out(write)  # the batch is read once for both
 
 
 def split_late(batch: DataFrame, time: str, watermark) -> tuple[DataFrame, DataFrame]:
@@ -208,19 +218,29 @@ def split_late(batch: DataFrame, time: str, watermark) -> tuple[DataFrame, DataF
     return batch.where(~late), batch.where(late)
 
 
-def run_to_table(stream: DataFrame, purpose: str, mode="append") -> DataFrame:
-    """Run a stream over all its present input and read the result back as a table."""
+def run_to_table(stream: DataFrame, purpose: str, mode="append", then=None) -> DataFrame:
+    """Run a stream over all its present input and read the result back as a table.
+
+    ``then`` is called when that input is read, and may bring more for a second run.
+    """
     spark = stream.sparkSession
     path, checkpoint = shared_folder(spark, purpose), shared_folder(spark, purpose + "-state")
-    if mode == "append":
-        finish(
-            stream.writeStream.format("parquet")
-            .option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-        )
-    else:
-        finish(batches(stream, append_batches(path), checkpoint, mode))
+
+    def run():
+        if mode == "append":
+            finish(
+                stream.writeStream.format("parquet")
+                .option("path", path)
+                .option("checkpointLocation", checkpoint)
+                .outputMode("append")
+            )
+        else:
+            finish(batches(stream, append_batches(path), checkpoint, mode))
+
+    run()
+    if then:
+        then()
+        run()
     return spark.read.schema(stream.schema).parquet(path) if mode == "append" else spark.read.parquet(path)
 
 
@@ -238,25 +258,3 @@ def alert_messages(scored: DataFrame, limit=0.5) -> DataFrame:
 def flagged(transactions: DataFrame, high_risk=rules.HIGH_RISK_CATEGORIES) -> DataFrame:
     """Stateless enrichment of a transaction stream."""
     return rules.stream_flags(transactions, high_risk)
-
-
-def source_lag(query) -> list[dict]:
-    """Rows behind the source per topic partition from the last progress of a query."""
-    progress = query.lastProgress
-    out = []
-    for source in (progress or {}).get("sources", []):
-        end, newest = source.get("endOffset") or {}, source.get("latestOffset") or {}
-        if not isinstance(end, dict):
-            continue
-        for topic, partitions in newest.items():
-            for partition, offset in partitions.items():
-                done = end.get(topic, {}).get(partition, 0)
-                out.append(
-                    {
-                        "topic": topic,
-                        "partition": int(partition),
-                        "committed": done,
-                        "end_offset": offset,
-                    }
-                )
-    return out

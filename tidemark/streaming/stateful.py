@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -214,31 +215,40 @@ class TrailingVelocity(InOrder):
         self.recent = handle.getListState("recent", "time_us bigint, number double")
 
     def ordered(self, key, rows):
-        old = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
-        window = sorted(old)
-        count = len(window)
-        total = math.fsum(a for _, a in window)
-        squares = math.fsum(a * a for _, a in window)
-        begin, out, position = 0, [], 0
+        window = sorted(tuple(r) for r in self.recent.get()) if self.recent.exists() else []
+        count, begin, out, position = len(window), 0, [], 0
+        known = [a for _, a in window if not math.isnan(a)]
+        priced, total, squares = len(known), math.fsum(known), math.fsum(a * a for a in known)
+
+        def change(number, sign):
+            nonlocal count, priced, total, squares
+            count += sign
+            if not math.isnan(number):
+                priced += sign
+                total += sign * number
+                squares += sign * number * number
+
         while position < len(rows):
             time_us = rows[position][0]
-            peers = [r for r in rows[position : position + 1]]
-            position += 1
+            peers = []
             while position < len(rows) and rows[position][0] == time_us:
                 peers.append(rows[position])
                 position += 1
             for r in peers:
-                window.append((r[0], r[3]))
-                count, total, squares = count + 1, total + r[3], squares + r[3] * r[3]
+                window.append((r[0], math.nan if r[3] is None else r[3]))
+                change(window[-1][1], 1)
             while window[begin][0] < time_us - self.span:
-                gone = window[begin][1]
+                change(window[begin][1], -1)
                 begin += 1
-                count, total, squares = count - 1, total - gone, squares - gone * gone
-            mean = total / count
-            spread = max(squares - count * mean * mean, 0.0)
-            std = math.sqrt(spread / (count - 1)) if count > 1 else None
+            # An amount that is not known counts as a row, but has no part in the sums.
+            mean = total / priced if priced else None
+            spread = max(squares - priced * mean * mean, 0.0) if priced else None
+            std = math.sqrt(spread / (priced - 1)) if priced > 1 else None
             for r in peers:
-                out.append((key[0], r[1], time_us, r[2], r[3], count, total, mean, std))
+                number = None if r[3] is None or math.isnan(r[3]) else r[3]
+                out.append(
+                    (key[0], r[1], time_us, r[2], number, count, total if priced else None, mean, std)
+                )
         self.recent.put(window[begin:])
         return out
 
@@ -249,6 +259,67 @@ class TrailingVelocity(InOrder):
         return frame
 
 
+class ArrivalVelocity(StatefulProcessor):
+    """The same measures, given at once for every row that arrives.
+
+    A row is measured against the rows known when its micro-batch ends. The state holds the
+    trailing span and the allowed lateness before the user's newest row.
+    """
+
+    def __init__(self, span_seconds: float, late_seconds: float):
+        self.span = int(span_seconds * 1_000_000)
+        self.late = int(late_seconds * 1_000_000)
+
+    def typed(self, user: str, id: str) -> ArrivalVelocity:
+        self.schema = TrailingVelocity.template.format(user=user, id=id)
+        return self
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "time_us bigint, number double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        at = _micros(new["ts"]).to_numpy()
+        numbers = new["number"].to_numpy(float)
+        old = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        times = np.concatenate([np.array([t for t, _ in old], np.int64), at])
+        amounts = np.concatenate([np.array([a for _, a in old], float), numbers])
+        order = np.argsort(times, kind="stable")
+        times, amounts = times[order], amounts[order]
+        known = ~np.isnan(amounts)
+        middle = amounts[known].mean() if known.any() else 0.0
+        moved = np.where(known, amounts - middle, 0.0)
+        sums = [np.concatenate([[0], np.cumsum(v)]) for v in (known, moved, moved * moved)]
+        low = np.searchsorted(times, at - self.span, "left")
+        high = np.searchsorted(times, at, "right")
+        priced, total, squares = (s[high] - s[low] for s in sums)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            mean = np.where(priced > 0, total / priced, np.nan)
+            spread = np.maximum(squares - priced * mean * mean, 0.0)
+            std = np.where(priced > 1, np.sqrt(spread / (priced - 1)), np.nan)
+        stays = times >= times[-1] - self.span - self.late
+        self.recent.put(list(zip(times[stays].tolist(), amounts[stays].tolist())))
+        values = {
+            "total_amount_1h": np.where(priced > 0, total + priced * middle, np.nan),
+            "avg_amount_1h": mean + middle,
+            "std_amount_1h": std,
+        }
+        yield pd.DataFrame(
+            {
+                "user_id": [key[0]] * len(new),
+                "transaction_id": new["id"],
+                "timestamp": new["ts"],
+                "merchant_category": new["text"],
+                "amount": new["number"].astype(object).where(new["number"].notna(), None),
+                "transaction_count_1h": high - low,
+                **{k: pd.Series(v).astype(object).where(~np.isnan(v), None) for k, v in values.items()},
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
 class UserStatistics(InOrder):
     """Running count, mean amount and session number of a user, one row per handled batch."""
 
@@ -358,12 +429,34 @@ def trailing_velocity(transactions: DataFrame, span_seconds=3600.0, delay="5 sec
     )
 
 
-def scored_stream(transactions: DataFrame, span_seconds=3600.0, delay="5 seconds", **rule_options):
-    """Velocity, flags, z-score, rules and risk score for every transaction of a stream."""
+def velocity_on_arrival(transactions: DataFrame, span_seconds=3600.0, late_seconds=3600.0):
+    """Trailing velocity that every row gets in the micro-batch it arrives in."""
+    from pyspark.sql import functions as F
+
+    use_rocksdb(transactions.sparkSession)
+    rows = transactions.select(
+        "user_id",
+        F.col("timestamp").alias("ts"),
+        F.col("transaction_id").alias("id"),
+        F.col("merchant_category").cast("string").alias("text"),
+        F.col("amount").cast("double").alias("number"),
+    )
+    types = dict(rows.dtypes)
+    processor = ArrivalVelocity(span_seconds, late_seconds).typed(types["user_id"], types["id"])
+    return rows.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=processor.schema,
+        outputMode="append",
+        timeMode="none",
+    )
+
+
+def scored_stream(transactions: DataFrame, span_seconds=3600.0, late_seconds=3600.0, **rule_options):
+    """Velocity, flags, z-score, rules and risk score for every transaction on arrival."""
     from tidemark.functions import rules
     from tidemark.functions.numbers import zscore_or_zero
 
-    enriched = rules.stream_flags(trailing_velocity(transactions, span_seconds, delay))
+    enriched = rules.stream_flags(velocity_on_arrival(transactions, span_seconds, late_seconds))
     with_z = enriched.withColumn(
         "amount_zscore", zscore_or_zero("amount", "avg_amount_1h", "std_amount_1h")
     )
