@@ -64,7 +64,13 @@ def surrogate_key(*columns) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def hash_slot(column, slots: int) -> Column:
+    """A number below ``slots`` from the MD5 of a value as text, the same in any engine."""
+    head = F.substring(F.md5(column.cast("string")), 1, 8)
+    return F.pmod(F.conv(head, 16, 10).cast("long"), F.lit(slots))
+
+
 def variant(id_column, share: float) -> Column:
     """canary for about ``share`` of the ids, primary otherwise; the same id always agrees."""
-    slot = F.pmod(F.xxhash64(_c(id_column)), F.lit(10_000))
+    slot = hash_slot(_c(id_column), 10_000)
     return F.when(slot < int(round(share * 10_000)), "canary").otherwise("primary")

@@ -38,10 +38,6 @@ def json_number(column, path) -> Column:
     return F.get_json_object(_c(column), path).try_cast("double")
 
 
-def row_json(columns="*") -> Column:
-    return F.to_json(F.struct(columns))
-
-
 def contains(column, part) -> Column:
     """Substring test that is false, not null, for a null value."""
     return F.coalesce(_c(column).contains(part), F.lit(False))

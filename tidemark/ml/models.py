@@ -19,6 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.protect import hash_slot
+
 FEATURES = ["user_id", "item_id", "hour_of_day", "day_of_week"]
 
 
@@ -32,7 +34,7 @@ class ModelUnavailable(RuntimeError):
 
 def interaction_label(user="user_id", item="item_id", id="id", seed=42) -> Column:
     """1 if user % 3 + item % 2 + a noise bit of the id exceeds 2."""
-    noise = F.pmod(F.xxhash64(F.lit(seed), F.col(id)), F.lit(2))
+    noise = hash_slot(F.concat_ws("-", F.lit(seed), F.col(id)), 2)
     return (F.col(user) % 3 + F.col(item) % 2 + noise > 2).cast("int")
 
 

@@ -150,12 +150,13 @@ def search(
 SORTS = {"amount": "amount", "timestamp": "timestamp", "risk": "risk_score"}
 
 
-def page(df: DataFrame, sort="timestamp", limit=20, offset=0, key="transaction_id"):
-    """One page in descending order with the total count and the page flags on each row."""
+def page(
+    df: DataFrame, sort="timestamp", limit=20, offset=0, key="transaction_id", ascending=False
+):
+    """One page in the given order with the total count and the page flags on each row."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    rows = (
-        df.orderBy(F.desc(SORTS.get(sort, sort)), F.asc(key)).offset(offset).limit(limit)
-    )
+    direction = F.asc if ascending else F.desc
+    rows = df.orderBy(direction(SORTS.get(sort, sort)), F.asc(key)).offset(offset).limit(limit)
     return rows.withColumns(
         {
             "total_count": total,
@@ -165,10 +166,6 @@ def page(df: DataFrame, sort="timestamp", limit=20, offset=0, key="transaction_i
     )
 
 
-def by_id(df: DataFrame, value, key="transaction_id") -> DataFrame:
-    return df.where(F.col(key) == value)
-
-
 def last_predictions(predictions: DataFrame, user_id, n=10) -> DataFrame:
     return (
         predictions.where(F.col("user_id") == user_id)

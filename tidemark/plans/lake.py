@@ -70,7 +70,7 @@ def user_analytics(transactions: DataFrame, users: DataFrame, at_least=5) -> Dat
             F.avg("amount").alias("avg_transaction_amount"),
             F.max("timestamp").alias("last_transaction_date"),
             F.min("timestamp").alias("first_transaction_date"),
-            F.countDistinct(F.concat_ws("-", *PARTS)).alias("active_days"),
+            F.countDistinct(F.to_date("timestamp")).alias("active_days"),
             F.avg("processing_time_ms").alias("avg_processing_time"),
             count_when(_type("purchase")).alias("purchases"),
             count_when(_type("subscription")).alias("subscriptions"),
@@ -86,14 +86,16 @@ def user_analytics(transactions: DataFrame, users: DataFrame, at_least=5) -> Dat
 
 
 def geographic(transactions: DataFrame, users: DataFrame) -> DataFrame:
-    """Per transaction country, largest revenue first.
+    """Per country, largest revenue first; the country is the transaction's, or its user's
+    where transactions have none.
 
-    premium_users and enterprise_users count transactions of such users, not users.
+    Transactions are summed per user before the users are joined, once. premium_users and enterprise_users count transactions of such users, not users.
     Revenue is summed as a decimal, so the rounded revenue per user is exact.
     """
+    own = [c for c in ("country",) if c in transactions.columns]
     per_user = (
         partitioned(transactions)
-        .groupBy("country", "user_id")
+        .groupBy(*own, "user_id")
         .agg(
             F.count("transaction_id").alias("n"),
             F.sum(F.when(_completed(), F.col("amount").cast(MONEY))).alias("revenue"),
@@ -104,7 +106,8 @@ def geographic(transactions: DataFrame, users: DataFrame) -> DataFrame:
             count_when(_completed()).alias("completed"),
         )
     )
-    typed = per_user.join(users.select("user_id", "user_type"), "user_id")
+    wanted = ["user_id", "user_type"] + ([] if own else ["country"])
+    typed = per_user.join(users.select(*wanted), "user_id")
     premium = F.when(F.col("user_type") == "premium", F.col("n")).otherwise(0)
     enterprise = F.when(F.col("user_type") == "enterprise", F.col("n")).otherwise(0)
     return (

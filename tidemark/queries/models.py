@@ -16,12 +16,19 @@ def interactions(spark, folder):
         (F.col("l_partkey") % 500).alias("item_id"),
         (F.col("l_quantity") % 24).cast("int").alias("hour_of_day"),
         F.weekday("l_shipdate").alias("day_of_week"),
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
     )
     return lines.withColumn("label", models.interaction_label())
 
 
-@query("interaction_labels", "user_class:i item_class:i rows")
+NOISE_SQL = """CAST('0x' || substr(md5(concat_ws('-', 42, l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)
+    AS BIGINT) % 2"""
+
+
+@query("interaction_labels", "user_class:i item_class:i rows:i",
+       f"""SELECT l_orderkey % 1000 % 3 AS user_class, l_partkey % 500 % 2 AS item_class,
+               sum(CASE WHEN l_orderkey % 1000 % 3 + l_partkey % 500 % 2 + {NOISE_SQL} > 2 THEN 1 ELSE 0 END) AS rows
+           FROM lineitem GROUP BY 1, 2""")
 def _(spark, folder):
     return (
         interactions(spark, folder)
@@ -76,8 +83,39 @@ def _(spark, folder):
     return models.predict_batches(fraud_transactions(spark, folder), predictor, ["amount"])
 
 
-@query("model_or_rules", "is_fraud rows")
+# No category of the events is a risky one.
+RULE_SCORE_SQL = """CASE WHEN amount > 5000 THEN 0.3 ELSE 0 END
+    + CASE WHEN hour(timestamp) < 6 THEN 0.2 ELSE 0 END"""
+
+
+def decided(spark, folder, path, threshold):
+    rows = fraud_rows(spark, folder).withColumn("hour_of_day", F.col("hour"))
+    return models.score_or_rules(rows, path, threshold=threshold)
+
+
+@query("model_or_rules", "is_fraud model_used rows",
+       f"""SELECT score > 0.1 AS is_fraud, false AS model_used, count(*) AS rows
+           FROM (SELECT {RULE_SCORE_SQL} AS score FROM {FRAUD_SQL}) GROUP BY 1""")
 def _(spark, folder):
+    """No model is there, so the rules decide."""
+    found = decided(spark, folder, shared_folder(spark, "no-model"), 0.1)
+    return found.groupBy("is_fraud", "model_used").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("model_decisions", "model_used decisions same_as_model:i",
+       f"SELECT true AS model_used, count(*) AS decisions, count(*) AS same_as_model FROM {FRAUD_SQL}")
+def _(spark, folder):
+    """A saved model decides; every decision is the one of its probability."""
     rows = fraud_rows(spark, folder).withColumn("hour_of_day", F.col("hour"))
-    decided = models.score_or_rules(rows, shared_folder(spark, "no-model"))
-    return decided.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("rows"))
+    path = shared_folder(spark, "fraud-model")
+    models.save(models.fit_forest(rows, FRAUD_FEATURES, trees=20, depth=5), path)
+    scored = models.score(rows, models.load(path)).select("transaction_id", "probability")
+    same = (F.col("fraud_probability") == F.col("probability")) & (
+        F.col("is_fraud") == (F.col("probability") > 0.5)
+    )
+    return (
+        decided(spark, folder, path, 0.5)
+        .join(scored, "transaction_id")
+        .groupBy("model_used")
+        .agg(F.count(F.lit(1)).alias("decisions"), F.sum(same.cast("int")).alias("same_as_model"))
+    )

@@ -6,7 +6,7 @@ from tidemark.functions import protect
 from tidemark.model import fraud_transactions, latest, raw_events, table
 from tidemark.operators import monitoring as mon
 from tidemark.operators import quality as q
-from tidemark.queries.registry import FRAUD_SQL, query
+from tidemark.queries.registry import CANARY, FRAUD_SQL, query
 
 AS_OF = "(SELECT max(ts) FROM events)"
 CHECKS_SPEC = "check_name column_name observed:6 low:6 high:6 success"
@@ -135,20 +135,29 @@ def halves(spark, folder):
     return rows.where(F.col("timestamp") < middle), rows.where(F.col("timestamp") >= middle)
 
 
-@query("ks_drift", "feature ks_statistic:8 n_reference:i n_current:i",
-       " UNION ALL ".join(
+KS_SQL = " UNION ALL ".join(
            f"""SELECT '{c}' AS feature, max(abs(r / nr - c / nc)) AS ks_statistic, any_value(nr) AS n_reference,
                    any_value(nc) AS n_current
                FROM (SELECT v, sum(sum(ref)) OVER (ORDER BY v) AS r, sum(sum(1 - ref)) OVER (ORDER BY v) AS c,
                          sum(sum(ref)) OVER () AS nr, sum(sum(1 - ref)) OVER () AS nc
                      FROM (SELECT {c} AS v, CASE WHEN timestamp < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS ref
                            FROM {FRAUD_SQL}) GROUP BY v)"""
-           for c in ("amount", "merchant_id")))
+           for c in ("amount", "merchant_id"))
+
+
+@query("ks_drift", "feature ks_statistic:8 n_reference:i n_current:i", KS_SQL)
 def _(spark, folder):
     return q.ks_drift(*halves(spark, folder), ["amount", "merchant_id"])
 
 
-@query("ks_drift_p_value", "feature p_value:6 drift_detected")
+# The alternating series of the asymptotic distribution; with enough terms it also holds
+# for small arguments.
+@query("ks_drift_p_value", "feature p_value:6 drift_detected",
+       f"""SELECT feature, p AS p_value, p < 0.05 AS drift_detected FROM (
+               SELECT feature, list_sum(list_transform(range(1, 2001), lambda k:
+                   CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * k * k * x * x))) AS p
+               FROM (SELECT feature, ks_statistic * sqrt(CAST(n_reference AS DOUBLE) * n_current
+                   / (n_reference + n_current)) AS x FROM ({KS_SQL})))""")
 def _(spark, folder):
     return q.ks_drift(*halves(spark, folder), ["amount", "merchant_id"])
 
@@ -211,7 +220,9 @@ def _(spark, folder):
     return mon.confusion(decided(spark, folder), amount="amount", keys=["merchant_id"])
 
 
-@query("variant_metrics", "variant " + RATE_SPEC)
+@query("variant_metrics", "variant " + RATE_SPEC,
+       f"""SELECT *, {RATES} FROM (SELECT variant, {CONFUSION} FROM (SELECT is_fraud AS a, amount > 40 AS p,
+               CASE WHEN {CANARY} THEN 'canary' ELSE 'primary' END AS variant FROM {FRAUD_SQL}) GROUP BY 1)""")
 def _(spark, folder):
     scored = decided(spark, folder).withColumn("variant", protect.variant("transaction_id", 0.1))
     return mon.confusion(scored, keys=["variant"])

@@ -74,6 +74,9 @@ def query(name: str, spec: str, sql: str | None = None):
     return add
 
 
+# Whether a transaction falls to the tenth that the canary model scores.
+CANARY = "CAST('0x' || substr(md5(CAST(transaction_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 1000"
+
 # Entities of the data model as SQL over the test tables.
 EVENTS_SQL = "(SELECT event_id AS id, ts, event_type AS value, user_id FROM events)"
 FRAUD_SQL = """(SELECT event_id AS transaction_id, user_id, ts AS timestamp, value AS amount,

@@ -39,7 +39,7 @@ def located(spark, folder):
                   AS avg_transaction_amount
            FROM {LOCATED_SQL} GROUP BY 1, 2, 3""")
 def _(spark, folder):
-    return agg.transaction_rollup(located(spark, folder))
+    return agg.transaction_rollup(orders(spark, folder), users(spark, folder))
 
 
 @query("daily_summary",
@@ -89,7 +89,7 @@ def _(spark, folder):
            FROM {LOCATED_SQL} t JOIN (SELECT user_id, user_type FROM {USERS_SQL}) u USING (user_id)
            GROUP BY country""")
 def _(spark, folder):
-    return lake.geographic(located(spark, folder), users(spark, folder))
+    return lake.geographic(orders(spark, folder), users(spark, folder))
 
 
 def event_transactions(spark, folder):
@@ -626,6 +626,16 @@ def _(spark, folder):
     return filters.page(found, "amount", 20, 40)
 
 
+@query("search_page_ascending",
+       "transaction_id timestamp:t total_count has_next_page has_previous_page",
+       f"""SELECT transaction_id, timestamp, (SELECT count(*) FROM {FRAUD_SQL} WHERE user_id = 7) AS total_count,
+               (SELECT count(*) FROM {FRAUD_SQL} WHERE user_id = 7) > 5 AS has_next_page, false AS has_previous_page
+           FROM {FRAUD_SQL} WHERE user_id = 7 ORDER BY timestamp, transaction_id LIMIT 5""")
+def _(spark, folder):
+    found = filters.search(fraud_transactions(spark, folder), user_id=7)
+    return filters.page(found, "timestamp", 5, ascending=True)
+
+
 @query("last_predictions", "transaction_id timestamp:t",
        f"""SELECT transaction_id, timestamp FROM {FRAUD_SQL} WHERE user_id = 7
            ORDER BY timestamp DESC, transaction_id DESC LIMIT 10""")

@@ -6,7 +6,7 @@ from tidemark.model import batch_transactions, fraud_transactions, latest, table
 from tidemark.operators.quality import malformed_count
 from tidemark.queries.registry import FRAUD_SQL, ORDERS_SQL, query
 from tidemark.session import shared_folder
-from tidemark.sources import files, lake
+from tidemark.sources import databases, files, lake
 
 
 @query("monthly_partitions", "month rows amount:2",
@@ -106,6 +106,42 @@ def _(spark, folder):
     )
 
 
+@query("moved_partitions", "transaction_id date:d amount:2",
+       f"""SELECT transaction_id, CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-10'
+               THEN DATE '2024-01-11' ELSE CAST(timestamp AS DATE) END AS date,
+               CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-10' THEN amount + 1 ELSE amount END AS amount
+           FROM {FRAUD_SQL}""")
+def _(spark, folder):
+    """All rows of a day move to the next one; the same changes are applied twice."""
+    path = shared_folder(spark, "moves")
+    rows = fraud_transactions(spark, folder).withColumn("date", F.to_date("timestamp"))
+    lake.overwrite_partitions(rows, path, ["date"])
+    day = F.lit("2024-01-10").cast("date")
+    changes = rows.where(F.col("date") == day).withColumns(
+        {"date": F.date_add("date", 1), "amount": F.col("amount") + 1}
+    )
+    for _ in range(2):
+        lake.upsert_partitions(spark, path, changes, "transaction_id", "timestamp", "date")
+    return spark.read.parquet(path)
+
+
+@query("repeated_batches", "batch_id:i rows amount:2",
+       f"""SELECT transaction_id % 3 AS batch_id, count(*) AS rows, sum(amount) AS amount
+           FROM {FRAUD_SQL} GROUP BY 1""")
+def _(spark, folder):
+    """Batches that are written, fail and are written again leave one copy."""
+    path = shared_folder(spark, "batches")
+    rows = fraud_transactions(spark, folder)
+    write = databases.per_batch(*databases.folder_table(spark, path))
+    for attempt in range(2):
+        for batch_id in range(3):
+            part = rows.where(F.col("transaction_id") % 3 == batch_id)
+            write(part if attempt else part.where("is_fraud"), batch_id)
+    return spark.read.parquet(path).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount")
+    )
+
+
 @query("retention_split", "part rows",
        f"""SELECT CASE WHEN timestamp < (SELECT max(ts) FROM events) - INTERVAL 10 DAYS THEN 'archived'
                ELSE 'kept' END AS part, count(*) AS rows FROM {FRAUD_SQL} GROUP BY 1""")
@@ -170,18 +206,30 @@ def _(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
-@query("prediction_audit", "model_version rows",
-       f"SELECT 'v1' AS model_version, count(*) * 2 AS rows FROM {FRAUD_SQL}")
+@query("prediction_audit", "model_version rows total:4",
+       f"""SELECT 'v1' AS model_version, count(*) * 2 AS rows, sum(least(amount / 1000, 1)) * 2 AS total
+           FROM {FRAUD_SQL}""")
 def _(spark, folder):
     path = shared_folder(spark, "audit")
-    scored = fraud_transactions(spark, folder).withColumn("fraud_probability", F.lit(0.5))
+    probability = F.least(F.col("amount") / 1000, F.lit(1.0))
+    scored = fraud_transactions(spark, folder).withColumn("fraud_probability", probability)
     for _ in range(2):
         lake.append_predictions(scored, path, "v1")
-    return spark.read.parquet(path).groupBy("model_version").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(path).groupBy("model_version").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("prediction").alias("total")
+    )
 
 
-@query("storage_volume", "name files bytes")
+@query("storage_volume", "name files bytes",
+       """SELECT 'p' || pmod AS name, 1 AS files, sum(n) AS bytes FROM (
+              SELECT o_orderkey % 3 AS pmod, octet_length(encode(o_orderpriority)) + 1 AS n FROM orders)
+          GROUP BY 1""")
 def _(spark, folder):
-    names = ("events", "orders", "lineitem")
-    volume = lake.storage_volume(spark, [f"{folder}/{n}.parquet" for n in names])
-    return volume.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    """Volume of text folders with known content: a line per order in one file each."""
+    lines = table(spark, folder, "orders").select(
+        F.concat(F.lit("p"), F.col("o_orderkey") % 3).alias("part"), "o_orderpriority"
+    )
+    path = shared_folder(spark, "volume")
+    lines.repartition(3, "part").write.partitionBy("part").text(path)
+    volume = lake.storage_volume(spark, [f"{path}/part=p{n}" for n in range(3)])
+    return volume.withColumn("name", F.element_at(F.split("path", "="), -1))

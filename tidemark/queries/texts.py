@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import devices, numbers, protect, texts, times
 from tidemark.model import fraud_transactions, raw_events, table
 from tidemark.operators import aggregates as agg
-from tidemark.queries.registry import FRAUD_SQL, query
+from tidemark.queries.registry import CANARY, FRAUD_SQL, query
 from tidemark.sources import messages
 
 LEVEL_SQL = """CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'WARN' WHEN 'click' THEN 'INFO'
@@ -318,7 +318,9 @@ def _(spark, folder):
     return protect.decrypt_columns(hidden, ["c_name"], key)
 
 
-@query("variant_split", "variant transactions")
+@query("variant_split", "variant transactions",
+       f"""SELECT CASE WHEN {CANARY} THEN 'canary' ELSE 'primary' END AS variant, count(*) AS transactions
+           FROM {FRAUD_SQL} GROUP BY 1""")
 def _(spark, folder):
     rows = fraud_transactions(spark, folder)
     return rows.groupBy(protect.variant("transaction_id", 0.1).alias("variant")).agg(

@@ -7,6 +7,8 @@ import time as clock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.lake import path_exists
+
 
 def previous_day_query(table: str, time="timestamp") -> str:
     return (
@@ -24,17 +26,60 @@ def read_previous_day(spark: SparkSession, url: str, table: str, properties: dic
     )
 
 
-def jdbc_append(url: str, table: str, properties: dict):
-    """A batch writer for ``retrying`` that appends to a table."""
+def per_batch(clear, append):
+    """A batch writer for ``retrying``: what an earlier attempt of the batch left is cleared
+    first, so a batch that is repeated, or was half written, is there once.
+
+    ``clear(batch_id)`` removes the rows of a batch, ``append(rows)`` adds rows that have a
+    ``batch_id`` column.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.jdbc(
-            url=url, table=table, mode="append", properties=properties
-        )
+        clear(batch_id)
+        append(batch.withColumn("batch_id", F.lit(batch_id).cast("long")))
 
     return write
 
 
+def folder_table(spark: SparkSession, path: str):
+    """``clear`` and ``append`` of a Parquet table with a folder per batch.
+
+    An append replaces the batch's folder, so an empty one is all that clearing needs.
+    """
+
+    def clear(batch_id: int) -> None:
+        held = f"{path}/batch_id={batch_id}"
+        if path_exists(spark, held):
+            none = spark.createDataFrame([], spark.read.parquet(held).schema)
+            none.write.mode("overwrite").parquet(held)
+
+    def append(rows: DataFrame) -> None:
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
+
+    return clear, append
+
+
+def database_table(url: str, table: str, properties: dict, execute):
+    """``clear`` and ``append`` of a database table.
+
+    ``execute(statement, batch_id)`` runs a statement with one parameter on a connection of
+    the caller, who has the driver; rows are written by Spark.
+    """
+
+    def clear(batch_id: int) -> None:
+        execute(f"DELETE FROM {table} WHERE batch_id = ?", batch_id)
+
+    def append(rows: DataFrame) -> None:
+        rows.write.jdbc(url=url, table=table, mode="append", properties=properties)
+
+    return clear, append
+
+
 def file_batch(path: str):
     """A batch writer that replaces the folder of its batch: repeating it changes nothing."""
 

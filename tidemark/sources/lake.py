@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import date_parts, month_label
 from tidemark.operators.sequences import newest_per_key
 from tidemark.operators.sets import combine
-from tidemark.session import shared_folder
+from tidemark.session import cut_lineage, shared_folder
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -55,10 +57,6 @@ def read_parquet_only(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def external_table(spark: SparkSession, name: str, schema: str, partitions: str, location: str):
     """Create an external partitioned Parquet table and register its partitions."""
     spark.sql(
@@ -100,8 +98,14 @@ def write_as(df: DataFrame, path: str, form: str, compression: str | None = None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    """Whether a folder has readable files; a path that cannot be listed is an error."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return False
+        raise
+    return True
 
 
 def combine_staged(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -167,20 +171,24 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions that change.
 
-    A key must not move between partitions. The new rows are written to the shared
-    folder first, since a table cannot be read and overwritten in one job.
+    A key that moves to another partition leaves its old one. The new rows are written to
+    the shared folder first, since a table cannot be read and overwritten in one job.
     """
-    touched = [r[0] for r in changes.select(partition).distinct().collect()]  # partition values
-    current = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    stored = spark.read.parquet(path)
+    held = stored.join(changes.select(key).distinct(), key, "left_semi").select(partition)
+    touched = cut_lineage(changes.select(partition).union(held).distinct())
+    # One row per partition, fewer than the table has folders.
+    current = stored.join(touched, partition, "left_semi")
     merged = upsert(current.select(*changes.columns), changes, key, time)
     staging = shared_folder(spark, "upsert")
     merged.write.parquet(staging)
-    overwrite_partitions(spark.read.parquet(staging), path, [partition])
-
-
-def record_feedback(feedback: DataFrame, updates: DataFrame) -> DataFrame:
-    """Feedback table after an upsert by transaction_id."""
-    return upsert(feedback, updates, "transaction_id", "updated_at")
+    kept = spark.read.schema(merged.schema).parquet(staging)
+    empty = touched.join(kept.select(partition), partition, "left_anti").collect()  # partition values
+    overwrite_partitions(kept, path, [partition])
+    for (value,) in empty:
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" -_.+")
+        none = kept.limit(0).drop(partition)
+        none.write.mode("overwrite").parquet(f"{path}/{partition}={folder}")
 
 
 def append_predictions(scored: DataFrame, path: str, model_version: str, at=None) -> None:
