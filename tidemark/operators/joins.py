@@ -47,3 +47,8 @@ def merge_features(
 def enrich_logs(logs: DataFrame, transactions: DataFrame, columns) -> DataFrame:
     """Log rows with the columns of the transaction they name; unknown ids give null."""
     return logs.join(transactions.select("transaction_id", *columns), "transaction_id", "left")
+
+
+def with_labels(predictions: DataFrame, labels: DataFrame, key="transaction_id") -> DataFrame:
+    """Predictions that have an actual label, with it."""
+    return predictions.join(labels, key)

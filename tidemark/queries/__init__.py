@@ -9,6 +9,7 @@ from tidemark.queries import (  # noqa: F401
     sequences,
     storage,
     streams,
+    tables,
     texts,
 )
 from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -52,6 +52,11 @@ def write_by_month(df: DataFrame, path: str, time="timestamp", mode="append") ->
     rows.write.mode(mode).partitionBy("month").parquet(path)
 
 
+def write_dimension(df: DataFrame, path: str) -> None:
+    """Replace a dimension table, as Snappy Parquet."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
 def read_parquet_only(spark: SparkSession, path: str) -> DataFrame:
     """Read a folder that may also hold other formats; only its Parquet files count."""
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
@@ -191,6 +196,11 @@ def upsert_partitions(
         none.write.mode("overwrite").parquet(f"{path}/{partition}={folder}")
 
 
+def record_feedback(feedback: DataFrame, updates: DataFrame) -> DataFrame:
+    """Feedback table after an upsert by transaction_id."""
+    return upsert(feedback, updates, "transaction_id", "updated_at")
+
+
 def append_predictions(scored: DataFrame, path: str, model_version: str, at=None) -> None:
     """Append scored rows to the audit table."""
     scored.select(
