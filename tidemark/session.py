@@ -19,6 +19,8 @@ SETTINGS = {
     # Recording a Python stack per column expression slows large plans down.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints of iterative jobs go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
