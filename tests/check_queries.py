@@ -33,7 +33,7 @@ def main():
     }
     if options.hot:
         settings["spark.tidemark.hot.minRows"] = "1"
-        settings["spark.tidemark.hot.bucketSeconds"] = "86400"
+        settings["spark.tidemark.hot.buckets"] = "8"
     spark = build_session("check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     from tidemark.queries import ORACLES, QUERIES

@@ -37,10 +37,10 @@ def hot(spark):
     from tidemark.operators import hotkeys
 
     spark.conf.set(hotkeys.MIN_ROWS_CONF, "1")
-    spark.conf.set(hotkeys.BUCKET_CONF, "43200")
+    spark.conf.set(hotkeys.BUCKETS_CONF, "8")
     yield
     spark.conf.unset(hotkeys.MIN_ROWS_CONF)
-    spark.conf.unset(hotkeys.BUCKET_CONF)
+    spark.conf.unset(hotkeys.BUCKETS_CONF)
 
 
 @pytest.fixture(scope="session")

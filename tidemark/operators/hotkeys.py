@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 MAX_HOT = 500
 MIN_ROWS_CONF = "spark.tidemark.hot.minRows"
 MIN_ROWS = 2_000_000
-BUCKET_CONF = "spark.tidemark.hot.bucketSeconds"
-BUCKET_SECONDS = 600
+BUCKETS_CONF = "spark.tidemark.hot.buckets"
+BUCKETS = 256
 TRACKED = 10_000
 ROW_BYTES = 16
 
@@ -63,13 +63,39 @@ def is_hot(keys: list[str], hot: list[int]) -> Column:
     return key_hash(keys).isin(hot)
 
 
-def bucket_seconds(df: DataFrame) -> int:
-    """Length of the time buckets a hot key is cut into."""
-    return int(df.sparkSession.conf.get(BUCKET_CONF, str(BUCKET_SECONDS)))
+def order_number(df: DataFrame, column: str) -> Column | None:
+    """A column as a number that has its order, null for types without one."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith("timestamp"):
+        return F.unix_micros(column).cast("double")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double")
+    return F.col(column).cast("double") if numeric or kind.startswith("decimal") else None
 
 
-def time_bucket(df: DataFrame, column: str) -> Column:
-    return F.floor(F.unix_micros(column) / F.lit(bucket_seconds(df) * 1_000_000))
+def with_buckets(df: DataFrame, keys: list[str], hot: list[int], column: str) -> DataFrame:
+    """Add ``_bucket``: 0 for ordinary keys, ranges of ``column`` from 1 on for hot ones.
+
+    The bounds are quantiles of the hot key's own values, so its buckets are about equally
+    large whatever the values are: times without time of day, shares between 0 and 1, or
+    amounts. Rows with one value share a bucket.
+    """
+    number = order_number(df, column)
+    if number is None:
+        return df.withColumn("_bucket", F.lit(0))
+    count = int(df.sparkSession.conf.get(BUCKETS_CONF, str(BUCKETS)))
+    sketch = F.percentile_approx(number, [i / count for i in range(1, count)] or [0.5], 10_000)
+    bounds = (
+        df.where(is_hot(keys, hot))
+        .groupBy(key_hash(keys).alias("_hash"))
+        .agg(F.array_distinct(sketch).alias("_bounds"))
+    )
+    # At most MAX_HOT rows, of one number per bucket.
+    known = df.withColumn("_hash", key_hash(keys)).join(F.broadcast(bounds), "_hash", "left")
+    below = F.size(F.filter("_bounds", lambda bound: bound < number))
+    bucket = F.when(F.col("_bounds").isNull(), 0).otherwise(below + 1)
+    return known.withColumn("_bucket", bucket).drop("_hash", "_bounds")
 
 
 def split_hot(df, keys, plain, hot_plan, hot=None) -> DataFrame:

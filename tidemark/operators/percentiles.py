@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import hot_keys, join_unique, split_hot
+from tidemark.operators.hotkeys import hot_keys, split_hot
 from tidemark.operators.running import running
+from tidemark.session import cut_lineage
 
 
 def percentiles(
-    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], width=1.0
+    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]
 ) -> DataFrame:
     """One row per key with a column per quantile; nulls are ignored.
 
     The built-in ``percentile`` holds every distinct value of a group in one task, so a
-    hot group is counted per distinct value first and ranked through value ranges of
-    ``width``; only the two values around the wanted rank are ever kept.
+    hot group is counted per distinct value first and ranked through value ranges; only the
+    two values around the wanted rank are ever kept.
     """
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
 
@@ -25,18 +26,15 @@ def percentiles(
             *[F.percentile(value, q).alias(name) for name, q in quantiles.items()]
         )
 
+    hot = hot_keys(known, keys)
+
     def ranked(part):
-        counts = part.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-        totals = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-        upto = running(
-            counts,
-            keys,
-            [value],
-            [("_upto", "sum", F.col("_n"))],
-            bucket=F.floor(F.col(value) / F.lit(float(width))),
-        )
+        counts = cut_lineage(part.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+        totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+        upto = running(counts, keys, [value], [("_upto", "sum", F.col("_n"))], hot=hot)
         if keys:
-            upto = join_unique(upto, totals, keys, "inner")
+            # At most one row for each of the hot keys.
+            upto = upto.join(F.broadcast(totals), keys)
         else:
             upto = upto.withColumn("_total", totals.scalar())
         position = {
@@ -54,7 +52,7 @@ def percentiles(
         )
         return found.select(*keys, *[_between(n, position[n]) for n in quantiles])
 
-    return split_hot(known, keys, plain, ranked, hot_keys(known, keys))
+    return split_hot(known, keys, plain, ranked, hot)
 
 
 def _between(name: str, position: Column) -> Column:
@@ -63,9 +61,9 @@ def _between(name: str, position: Column) -> Column:
     return (low + (high - low) * part).cast("double").alias(name)
 
 
-def global_percentile(df: DataFrame, value: str, q: float, width=1.0) -> Column:
+def global_percentile(df: DataFrame, value: str, q: float) -> Column:
     """A percentile over all rows as a scalar subquery."""
-    return percentiles(df, [], value, {"q": q}, width).scalar()
+    return percentiles(df, [], value, {"q": q}).scalar()
 
 
 def flag_above_percentile(df, value="amount", q=0.95, name="is_high_amount") -> DataFrame:

@@ -354,11 +354,11 @@ def freshness(df: DataFrame, time: str, columns: list[str], as_of: Column) -> Da
     )
 
 
-def ks_drift(reference: DataFrame, current: DataFrame, features: list[str], alpha=0.05, width=1.0):
+def ks_drift(reference: DataFrame, current: DataFrame, features: list[str], alpha=0.05):
     """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per feature.
 
     Rows are counted per value first; the cumulative shares are running sums over the
-    values, taken in value ranges of ``width`` when there are very many.
+    values, taken in value ranges when there are very many.
     """
 
     def long(df, reference_rows):
@@ -388,10 +388,9 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: list[str], alph
         ["feature"],
         ["value"],
         [("upto_r", "sum", F.col("r")), ("upto_c", "sum", F.col("c"))],
-        bucket=F.floor(F.col("value") / F.lit(float(width))),
     )
-    sizes = rows.groupBy("feature").agg(
-        F.sum("in_reference").alias("n_reference"), F.sum("in_current").alias("n_current")
+    sizes = counts.groupBy("feature").agg(
+        F.sum("r").alias("n_reference"), F.sum("c").alias("n_current")
     )
     gap = F.abs(
         F.try_divide(F.col("upto_r").cast("double"), F.col("n_reference").cast("double"))

@@ -1,9 +1,9 @@
 """Running aggregates per key in an order, safe for keys of any size.
 
-Ordinary keys use a plain Spark window. The rows of a hot key are cut into buckets
-along the order (time buckets, or value ranges): each bucket is computed on its own,
-one summary row per bucket carries the state on, and the carried state is joined
-back. The summary of a hot key has one row per bucket, never one per input row.
+Ordinary keys use a plain Spark window. With hot keys there is still one plan for all rows,
+a window per key and bucket: ordinary keys have one bucket, a hot key is cut into ranges of
+the order by quantiles of its own values. One summary row per bucket of a hot key carries the
+state on and is joined back; there is never one per input row.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import hot_keys, split_hot, time_bucket
+from tidemark.operators.hotkeys import hot_keys, with_buckets
+from tidemark.session import cut_lineage
 
 _AGG = {
     "sum": F.sum,
@@ -40,7 +41,6 @@ def running(
     keys: list[str],
     order: list[str],
     specs: list[tuple[str, str, Column]],
-    bucket: Column | None = None,
     inclusive: bool = True,
     peers: bool = False,
     reverse: bool = False,
@@ -49,12 +49,10 @@ def running(
     """Add one column per ``(name, kind, column)`` aggregated from the first row to here.
 
     ``inclusive=False`` leaves the current row out; ``peers=True`` takes all rows that
-    tie on ``order`` in (they must then share a bucket); ``reverse=True`` runs from the
-    last row backwards. ``last`` skips nulls. ``bucket`` must not decrease along
-    ``order``; without it the first order column must be a timestamp.
+    tie on ``order`` in; ``reverse=True`` runs from the last row backwards. ``last`` skips
+    nulls. With hot keys the input is checkpointed once, since bounds, summaries and rows
+    are taken from it.
     """
-    if bucket is None:
-        bucket = time_bucket(df, order[0])
     if hot is None:
         hot = hot_keys(df, keys)
     direction = F.desc if reverse else F.asc
@@ -66,60 +64,58 @@ def running(
             return window.rangeBetween(W.unboundedPreceding, W.currentRow)
         return window.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
 
-    def plain(part):
+    if not hot:
         window = over(keys)
-        return part.withColumns({n: _AGG[k](c).over(window) for n, k, c in specs})
-
-    def bucketed(part):
-        part = part.withColumn("_bucket", bucket)
-        local = over([*keys, "_bucket"])
-        rows = part.withColumns({f"_l_{n}": _AGG[k](c).over(local) for n, k, c in specs})
-        newest = F.min_by if reverse else F.max_by
-        position = F.struct(*order)
-        totals = part.groupBy(*keys, "_bucket").agg(
-            *[
-                (
-                    newest(c, F.when(c.isNotNull(), position))
-                    if k == "last"
-                    else _AGG[k](c)
-                ).alias(f"_t_{n}")
-                for n, k, c in specs
-            ]
-        )
-        earlier = (
-            W.partitionBy(*(keys or [F.lit(0)]))
-            .orderBy(direction("_bucket"))
-            .rowsBetween(W.unboundedPreceding, -1)
-        )
-        # A running count carries on as a sum of the bucket counts.
-        carry = totals.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_bucket").alias("_k_bucket"),
-            *[
-                (_AGG["sum"] if k == "count" else _AGG[k])(F.col(f"_t_{n}"))
-                .over(earlier)
-                .alias(f"_c_{n}")
-                for n, k, _ in specs
-            ],
-        )
-        same = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        joined = rows.join(carry, same, "left")
-        return joined.select(
-            *[F.col(c) for c in df.columns],
-            *[
-                _merge(k, F.col(f"_c_{n}"), F.col(f"_l_{n}")).alias(n)
-                for n, k, _ in specs
-            ],
-        )
-
-    return split_hot(df, keys, plain, bucketed, hot)
+        return df.withColumns({n: _AGG[k](c).over(window) for n, k, c in specs})
+
+    part = with_buckets(cut_lineage(df), keys, hot, order[0])
+    local = over([*keys, "_bucket"])
+    rows = part.withColumns({f"_l_{n}": _AGG[k](c).over(local) for n, k, c in specs})
+    newest = F.min_by if reverse else F.max_by
+    position = F.struct(*order)
+    totals = part.where("_bucket > 0").groupBy(*keys, "_bucket").agg(
+        *[
+            (
+                newest(c, F.when(c.isNotNull(), position))
+                if k == "last"
+                else _AGG[k](c)
+            ).alias(f"_t_{n}")
+            for n, k, c in specs
+        ]
+    )
+    earlier = (
+        W.partitionBy(*(keys or [F.lit(0)]))
+        .orderBy(direction("_bucket"))
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    # A running count carries on as a sum of the bucket counts.
+    carry = totals.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_bucket").alias("_k_bucket"),
+        *[
+            (_AGG["sum"] if k == "count" else _AGG[k])(F.col(f"_t_{n}"))
+            .over(earlier)
+            .alias(f"_c_{n}")
+            for n, k, _ in specs
+        ],
+    )
+    same = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    # A bounded number: hot keys times buckets.
+    joined = rows.join(F.broadcast(carry), same, "left")
+    return joined.select(
+        *[F.col(c) for c in df.columns],
+        *[
+            _merge(k, F.col(f"_c_{n}"), F.col(f"_l_{n}")).alias(n)
+            for n, k, _ in specs
+        ],
+    )
 
 
-def previous(df, keys, order, columns, bucket=None, hot=None, reverse=False):
+def previous(df, keys, order, columns, hot=None, reverse=False):
     """Add the previous (or with ``reverse`` the next) known value of each column."""
     specs = [(name, "last", F.col(column)) for name, column in columns.items()]
     return running(
-        df, keys, order, specs, bucket, inclusive=False, reverse=reverse, hot=hot
+        df, keys, order, specs, inclusive=False, reverse=reverse, hot=hot
     )
