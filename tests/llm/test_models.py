@@ -293,3 +293,14 @@ def test_toxicity_query(spark, folder):
     rows = QUERIES["op9_toxicity"](spark, folder).collect()
     assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
     assert all(0 <= r["p_toxic"] <= 1 and 0 <= r["p_low_quality"] <= 1 for r in rows)
+
+
+def test_bounded_sample_of_each_key(spark):
+    from tidemark.llm.sampling import sample_each
+
+    df = spark.range(30_000).selectExpr("xxhash64(id) AS h", "CASE WHEN id % 3 > 0 THEN 'a' WHEN id % 30 = 0 THEN 'b' ELSE concat('c', id % 7) END AS k")
+    got = sample_each(df, ["k"], "h", 100, 4).groupBy("k").count().collect()
+    assert len(got) == 4 and "a" in {r["k"] for r in got} and all(r["count"] == 100 for r in got)
+    picked = {r["h"] for r in sample_each(df, ["k"], "h", 100, 50).where("k = 'a'").collect()}
+    every = sorted((r["h"] % 2**31, r["h"]) for r in df.where("k = 'a'").collect())
+    assert picked == {h for _, h in every[:100]}

@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm.rowwise import add_columns, column
+from tidemark.llm.sampling import sample_each
 
 UNKNOWN = "und"
 PAD = 256  # row of the byte table for positions after the end of a text
@@ -217,33 +217,34 @@ def predict(network: Network, texts: list[str | None], group: int = 2048):
     return sums / sizes[:, None]
 
 
-def labelled_sample(df: DataFrame, text_col: str, lang_col: str, settings: Settings):
-    """Rows for training, bounded by ``settings``: of each label those with the smallest
-    hash of the text, one stretch of characters of each at a place the hash chooses."""
-    text, lang = F.col("_text"), F.col("_lang")
-    chars = settings.sample_chars
-    room = F.greatest(F.length(text) - chars, F.lit(0)) + 1
-    return (
-        df.select(column(text_col).alias("_text"), column(lang_col).cast("string").alias("_lang"))
-        .where(text.rlike(r"\p{L}") & lang.isNotNull())
+def labelled_sample(df: DataFrame, text_col: str, lang_col: str, id_col: str, settings: Settings):
+    """Rows for training, bounded by ``settings``: of each label those that a hash of id and
+    text picks, one stretch of characters of each at a place the hash chooses."""
+    text = F.col("_text")
+    room = F.greatest(F.length(text) - settings.sample_chars, F.lit(0)) + 1
+    identity = [column(id_col)] if id_col in df.columns else []
+    rows = (
+        df.where(column(lang_col).isNotNull())
         .select(
-            "_lang",
-            F.xxhash64("_text").alias("_order"),
-            F.substr(text, (F.pmod(F.xxhash64("_text"), room) + 1).cast("int"), F.lit(chars)).alias("_part"),
+            column(text_col).cast("string").alias("_text"),
+            column(lang_col).cast("string").alias("_lang"),
+            F.xxhash64(*identity, column(text_col).cast("string")).alias("_order"),
         )
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_part")))
-        .where(F.col("_rank") <= settings.sample_per_label)
-        .orderBy("_rank", "_lang")
-        .limit(settings.sample_per_label * settings.labels_most)
+        .where(text.rlike(r"\p{L}"))
+    )
+    chosen = sample_each(rows, ["_lang"], "_order", settings.sample_per_label, settings.labels_most)
+    start = (F.pmod(F.col("_order"), room) + 1).cast("int")
+    return chosen.select(
+        "_lang", "_order", F.substr(text, start, F.lit(settings.sample_chars)).alias("_part")
     )
 
 
 def fit_language(
-    df: DataFrame, text_col="text", lang_col="lang", settings: Settings | None = None
+    df: DataFrame, text_col="text", lang_col="lang", id_col="doc_id", settings: Settings | None = None
 ) -> Network:
     """A network fitted on a bounded sample of the rows with a text and a label."""
     settings = settings or Settings()
-    rows = labelled_sample(df, text_col, lang_col, settings).collect()
+    rows = labelled_sample(df, text_col, lang_col, id_col, settings).collect()
     rows.sort(key=lambda r: (r["_lang"], r["_order"], r["_part"]))
     return train([(r["_part"].encode("utf-8", "replace"), r["_lang"]) for r in rows], settings)
 

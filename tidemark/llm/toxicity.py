@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm.rowwise import add_columns, column
+from tidemark.llm.sampling import sample_each
 
 WORD = re.compile(r"\w+")
 BEGINNINGS = (4, 5)
@@ -174,20 +174,17 @@ def learn_toxicity(
         .dropna()
     )
     ys = [F.col(f"_y{i}") for i in range(len(names))]
-    rank = Window.partitionBy(*ys).orderBy(F.xxhash64("_id"), "_id")
-    chosen = (
-        marked.withColumn("_rank", F.row_number().over(rank))
-        .where(F.col("_rank") <= settings.sample_per_class)
-        .orderBy("_rank", *ys)
-        .limit(settings.sample_per_class * settings.classes_most)
-    )
+    chosen = sample_each(
+        marked.withColumn("_order", F.xxhash64("_id")), [f"_y{i}" for i in range(len(names))],
+        "_order", settings.sample_per_class, settings.classes_most,
+    )
 
     def make():
         return lambda texts: [pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string()))]
 
     # The chosen ids are bounded by the settings, so they may be broadcast.
     texts = docs.select(column(id_col).alias("_id"), column(text_col).alias("_t")).join(
-        F.broadcast(chosen.drop("_rank")), "_id"
+        F.broadcast(chosen.drop("_rank", "_order")), "_id"
     )
     sample = add_columns(texts, "_t", make, "_words array<string>").drop("_t").checkpoint()
     sizes = sample.agg(
