@@ -175,13 +175,13 @@ def test_fuzzy_lines_equal_brute_force(spark):
         rows.append((doc, "\n".join([*lines, "", "--"])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     places = [(d, n, t) for d, text in rows for n, t in enumerate(text.split("\n"))]
-    norm = {(d, n): " ".join("".join(c if c.isalnum() else " " for c in t.lower()).split()) for d, n, t in places}
+    norm = {(d, n): " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) for d, n, t in places}
     lines = sorted(set(norm.values()) - {""})
     nodes = dict(
         spark.createDataFrame([(t,) for t in lines], "norm string").selectExpr("norm", "xxhash64(norm)").collect()
     )
     comparable = spark.createDataFrame([(nodes[t], t) for t in lines if len(t.split()) >= 5], "node long, norm string")
-    sims = dict(plain(line_dedup.simhashes(comparable.repartition("node")), "node", "sim"))
+    sims = dict(plain(line_dedup.simhashes(comparable), "node", "sim"))
     hubs = {}
     for node, sim in sims.items():
         hubs[sim] = min(node, hubs.get(sim, node))
@@ -216,10 +216,10 @@ def test_fuzzy_lines_equal_brute_force(spark):
 
 
 def test_simhash_by_hand(spark):
-    lines = [(1, "a b c d e"), (2, "a a a a a a b"), (3, "x " * 3000 + "y")]
+    lines = [(1, "a b c d e"), (2, "a a a a a a b"), (3, "x " * 70_000 + "y"), (4, "a b " * 63 + "a b"), (5, "y"), (1, "a b c d e")]
     df = spark.createDataFrame(lines, "node long, norm string")
     hashes = dict(spark.createDataFrame([(w,) for w in "abcdexy"], "w string").selectExpr("w", "xxhash64(w)").collect())
-    got = dict(plain(line_dedup.simhashes(df.repartition("node")), "node", "sim"))
+    got = dict(plain(line_dedup.simhashes(df), "node", "sim"))
     for node, line in lines:
         words = line.split()
         want = 0
@@ -248,3 +248,16 @@ def test_lines_odd_rows(odd):
     texts = plain(cleaned, "doc_id", "text")
     assert (6, "") in texts and (1, None) in texts and (5, "one two three four five six") in texts
     assert line_dedup.line_groups(odd(rows=[])).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_dropped_rows_with_and_without_broadcast(odd, most):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.rowwise import drop_rows
+
+    df = odd("_own")
+    gone = df.where("doc_id = 5 or doc_id is null").select("doc_id", "lang")
+    left = drop_rows(df, [F.col("doc_id"), F.col("lang")], gone, most)
+    assert left.columns == df.columns
+    assert [r[0] for r in plain(left, "doc_id")] == [1, 2, 3, 4, 6, 7, 8]
