@@ -18,13 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rowwise import column
+from tidemark.llm.rowwise import column, in_pieces
+from tidemark.llm.words import words_of
 
 START = "▁"
 END = "\n"  # no word has white space
-UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-SPACES = dict.fromkeys([*range(9, 14)], " ")
-LOWER_AND_SPACE = UPPER | SPACES
+END_BYTES = END.encode()
 BITS = 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MATRIX_LONGEST = 48
@@ -42,11 +41,6 @@ class Settings:
     flush: int = 400_000
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words between the six ASCII white space characters, with A-Z in lower case."""
-    return [w for w in text.translate(LOWER_AND_SPACE).split(" ") if w] if text else []
-
-
 def read_vocabulary(path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Pieces within words with starting log weights, and log weights of the 256 bytes.
 
@@ -208,30 +202,28 @@ def count_words(docs: DataFrame, flush: int) -> DataFrame:
     and of the end, from a frame with ``_text`` and ``_train``."""
 
     def work(batches):
-        trained, seen = Counter(), Counter()
+        trained, other = Counter(), Counter()
 
         def rows():
-            words = list(seen)
+            words = list(trained.keys() | other.keys())
             batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array(words, pa.string()),
-                    pa.array([trained.get(w, 0) for w in words], pa.int64()),
-                    pa.array([seen[w] for w in words], pa.int64()),
+                    pa.array([trained[w] for w in words], pa.int64()),
+                    pa.array([trained[w] + other[w] for w in words], pa.int64()),
                 ],
                 names=["word", "trained", "seen"],
             )
             trained.clear()
-            seen.clear()
+            other.clear()
             return batch
 
-        for batch in batches:
+        for batch in in_pieces(batches):
             for text, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
-                words.append(END)
-                seen.update(words)
-                if train:
-                    trained.update(words)
-                if len(seen) >= flush:
+                words.append(END_BYTES)
+                (trained if train else other).update(words)
+                if len(trained) + len(other) >= flush:
                     yield rows()
         yield rows()
 
@@ -269,6 +261,21 @@ def refine(counts: DataFrame, lattice: Lattice, ends: int) -> tuple[np.ndarray,
     return np.log(expected / total), math.log((ends + 1) / total)
 
 
+def _least_count(words: DataFrame, most: int) -> float:
+    """A count that at most ``most`` words reach, near the smallest such count.
+
+    Words are counted in 16 classes for each doubling of their count, so what reaches the
+    driver is a few hundred rows at any size.
+    """
+    classes = words.groupBy(F.floor(F.log2("seen") * 16).alias("class")).count().collect()
+    reached = 0
+    for row in sorted(classes, reverse=True):
+        reached += row["count"]
+        if reached > most:
+            return 2 ** ((row["class"] + 1) / 16) * (1 - 1e-9)
+    return 0.0
+
+
 def lattice_likelihood(
     df: DataFrame,
     train,
@@ -322,17 +329,20 @@ def lattice_likelihood(
 
     # The most frequent words, a bounded number, are looked up inside tasks; what a document
     # has beside them is joined, and none of those words can be a hot key.
-    top = scored.orderBy(F.desc("seen"), "word").limit(settings.frequent).drop("seen")
-    known = {w: (c, math.log10(c + 1), p) for w, c, p in top.collect()}
+    top = scored.where(F.col("seen") >= _least_count(scored, settings.frequent))
+    known = {
+        w.encode(): (c, math.log10(c + 1), p)
+        for w, c, p in top.select("word", "trained", "log_p").collect()
+    }
     frequent = spark.sparkContext.broadcast(known)
 
     def look_up(batches):
         table = frequent.value
-        for batch in batches:
+        for batch in in_pieces(batches):
             at, words, times, sums = [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 found = Counter(words_of(text))
-                found[END] += 1
+                found[END_BYTES] += 1
                 n = known = 0
                 base = score = 0.0
                 rare = []
@@ -347,7 +357,7 @@ def lattice_likelihood(
                         score += time * entry[2]
                 # The sums ride on the first row of a document; a word that cannot occur
                 # stands where it has no rare ones.
-                rare = rare or [(f"{END}{row}", 0)]
+                rare = rare or [(b"%b%d" % (END_BYTES, row), 0)]
                 for place, (word, time) in enumerate(rare):
                     at.append(row)
                     words.append(word)
