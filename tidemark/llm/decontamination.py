@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.rowwise import column, fresh
+from tidemark.llm.rowwise import column, drop_rows, fresh, in_pieces
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BITS = 22
@@ -257,7 +257,7 @@ def find_leaks(
 
         def work(batches):
             index = shared.value
-            for batch in batches:
+            for batch in in_pieces(batches):
                 rows = [
                     (row, *leak)
                     for row, text in enumerate(batch.column(1).to_pylist())
@@ -288,6 +288,6 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_co
     marked = docs.withColumn(
         key, F.struct(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("mark"))
     )
-    leaks = find_leaks(marked, benchmark, key, text_col, **options).select("doc_id").distinct()
-    leaks = leaks.select(F.col("doc_id").alias("_leak"))
-    return marked.join(leaks, F.col(key).eqNullSafe(leaks["_leak"]), "left_anti").drop(key)
+    leaks = find_leaks(marked, benchmark, key, text_col, **options)
+    ids = [column(id_col), F.xxhash64(column(text_col))]
+    return drop_rows(docs, ids, leaks.select("doc_id.id", "doc_id.mark"))

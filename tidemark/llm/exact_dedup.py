@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rowwise import column, fresh
+from tidemark.llm.rowwise import column, drop_rows, fresh
 
 SALTS = 64
 
@@ -31,6 +31,16 @@ def exact_groups(
     one id and one text exactly one is kept, also if all ids of a group are null. An empty
     table gives an empty result; other columns are not read.
     """
+    found = _decided(df, id_col, text_col, salts)
+    copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
+    return found.select("*", copies).select(
+        "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256"
+    )
+
+
+def _decided(df: DataFrame, id_col: str, text_col: str, salts: int) -> DataFrame:
+    """One row per id and text, with the ``_times`` that they occur together."""
     rows = (
         df.select(column(id_col).alias("doc_id"), normalised(column(text_col).cast("string")).alias("_text"))
         .withColumn("_sha", F.sha2("_text", 256))
@@ -48,15 +58,9 @@ def exact_groups(
         "_sha", "_mark", "keep_id", "group_size", F.explode("_salts").alias("_salt")
     )
     ids = rows.groupBy("_sha", "_mark", "_salt", "doc_id").agg(F.count(F.lit(1)).alias("_times"))
-    joined = ids.join(spread, ["_sha", "_mark", "_salt"])
-    return joined.select(
-        "doc_id", "keep_id", "group_size", "_sha",
-        F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy"),
-    ).select(
-        "doc_id", "keep_id", "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
-    )
+    return ids.join(spread, ["_sha", "_mark", "_salt"]).select(
+        "doc_id", "keep_id", "group_size", F.col("_sha").alias("text_sha256"), "_times"
+    )
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,14 +68,17 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of rows repeated with one id and one text one stays. Cases as in ``exact_groups``.
     """
+    found = _decided(df, id_col, text_col, SALTS).select("doc_id", "text_sha256", "keep_id", "_times")
+    found = found.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")) | (F.col("_times") > 1)).checkpoint()
+    goes = found.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    again = found.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256")
+    ids = [column(id_col), F.sha2(normalised(column(text_col).cast("string")), 256)]
+    left = drop_rows(df, ids, goes.select("doc_id", "text_sha256"))
+    if again.isEmpty():
+        return left
     sha, own = fresh(df, "_sha"), fresh(df, "_own")
-    kept = exact_groups(df, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
-    )
-    marked = df.withColumns(
-        {sha: F.sha2(normalised(column(text_col).cast("string")), 256), own: column(id_col)}
-    )
-    stays = marked.join(
-        kept, (marked[sha] == kept["_kept_sha"]) & marked[own].eqNullSafe(kept["_kept_id"]), "left_semi"
+    marked = df.withColumns({own: ids[0], sha: ids[1]})
+    repeated = marked.join(
+        again, marked[own].eqNullSafe(again["doc_id"]) & (marked[sha] == again["text_sha256"]), "left_semi"
     )
-    return stays.dropDuplicates([sha, own]).drop(sha, own)
+    return drop_rows(left, ids, again).unionByName(repeated.dropDuplicates([own, sha]).drop(own, sha))

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tidemark.llm.rowwise import column, fresh
+from tidemark.llm.rowwise import column, drop_rows, in_pieces
+from tidemark.llm.words import words_of
 from tidemark.operators.components import connected
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-LOWER_AND_SPACE = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)} | dict.fromkeys(range(9, 14), " ")
-MEMO = 500_000
+MEMO = 200_000
 
 
 @dataclass
@@ -42,32 +42,36 @@ class Settings:
     broadcast_rows: int = 500_000
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, kept once computed."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
 class Shingler:
-    """Sorted hashes of the distinct n-grams of a text; hashes of words are kept."""
+    """Sorted hashes of the distinct n-grams of a text."""
 
     def __init__(self, words: int):
         self.words = words
-        self.known: dict[str, int] = {}
-
-    def _word(self, word: str) -> int:
-        value = self.known.get(word)
-        if value is None:
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            value = self.known[word] = int.from_bytes(digest, "little")
-        return value
+        self.known = WordHashes()
 
     def grams(self, text: str | None) -> np.ndarray:
-        words = [w for w in text.translate(LOWER_AND_SPACE).split(" ") if w] if text else []
-        codes = np.fromiter(map(self._word, words), np.uint64, len(words))
+        if len(self.known) > MEMO:
+            self.known.clear()
+        words = words_of(text)
+        codes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         if not len(words):
             return codes
         length = min(self.words, len(words))
         hashes = np.full(len(words) - length + 1, length, np.uint64)
         for place in range(length):
-            hashes = hashes * BASE + codes[place : len(codes) - length + 1 + place]
-        return np.unique(hashes ^ (hashes >> np.uint64(29)))
+            hashes *= BASE
+            hashes += codes[place : len(codes) - length + 1 + place]
+        hashes ^= hashes >> np.uint64(29)
+        hashes.sort()
+        return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
 
 
 def need(n, percent):
@@ -107,7 +111,7 @@ def _sets(docs: DataFrame, settings: Settings, arrays: str | None) -> DataFrame:
 
     def work(batches):
         shingler = Shingler(settings.words)
-        for batch in batches:
+        for batch in in_pieces(batches):
             sets = [shingler.grams(t) for t in batch.column(last).to_pylist()]
             out = [
                 *batch.columns[:last],
@@ -361,11 +365,6 @@ def keep_one_of_each(
     Rows with a null id go if something with an id is linked to them. Rows repeated with one
     id and one text stay or go together. Other cases as in ``similar_components``.
     """
-    key = fresh(df, "_own")
     decided = _labelled(df, id_col, text_col, settings or Settings())
-    goes = decided.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.struct(F.col("doc_id").alias("id"), "mark").alias("_gone")
-    )
-    own = F.struct(column(id_col).alias("id"), F.xxhash64(column(text_col).cast("string")).alias("mark"))
-    marked = df.withColumn(key, own)
-    return marked.join(goes.distinct(), marked[key].eqNullSafe(F.col("_gone")), "left_anti").drop(key)
+    goes = decided.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark")
+    return drop_rows(df, [column(id_col), F.xxhash64(column(text_col).cast("string"))], goes)

@@ -23,6 +23,33 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+BROADCAST_ROWS = 500_000
+PIECE_ROWS = 512
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller parts, which bounds what Python holds of them at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS)
+
+
+def drop_rows(df: DataFrame, ids: list, gone: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``df`` whose ``ids``, columns or expressions, are not a row of ``gone``.
+
+    Nulls equal nulls. Up to ``most`` different rows of ``gone`` are broadcast, so the texts
+    of ``df`` need no shuffle; more are joined by shuffle.
+    """
+    key = fresh(df, "_own")
+    names = [f"i{i}" for i in range(len(ids))]
+    keys = gone.toDF(*names).distinct().select(F.struct(*names).alias("_gone")).checkpoint()
+    if keys.count() <= most:
+        keys = F.broadcast(keys)
+    own = F.struct(*[c.alias(n) for c, n in zip(ids, names, strict=True)])
+    marked = df.withColumn(key, own)
+    return marked.join(keys, marked[key].eqNullSafe(F.col("_gone")), "left_anti").drop(key)
+
+
 def add_columns(
     df: DataFrame,
     text_col: str,
@@ -48,7 +75,7 @@ def add_columns(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
+        for batch in in_pieces(batches):
             arrays = compute(batch.column(text_at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:text_at], *arrays], names=schema.names
