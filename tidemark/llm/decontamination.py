@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.rowwise import column, drop_rows, fresh, in_pieces
+from tidemark.llm.rowwise import column, drop_rows, fresh, in_pieces, limit_batches
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BITS = 22
@@ -271,7 +271,7 @@ def find_leaks(
                     names=schema.names,
                 )
 
-        return source.mapInArrow(work, schema)
+        return limit_batches(source).mapInArrow(work, schema)
 
     result = search(0)
     for block in range(1, blocks):

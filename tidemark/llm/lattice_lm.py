@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rowwise import column, in_pieces
+from tidemark.llm.rowwise import column, in_pieces, limit_batches
 from tidemark.llm.words import words_of
 
 START = "▁"
@@ -227,7 +227,7 @@ def count_words(docs: DataFrame, flush: int) -> DataFrame:
                     yield rows()
         yield rows()
 
-    partial = docs.select("_text", "_train").mapInArrow(work, "word string, trained long, seen long")
+    partial = limit_batches(docs.select("_text", "_train")).mapInArrow(work, "word string, trained long, seen long")
     return partial.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tidemark.llm.rowwise import column, drop_rows, in_pieces
+from tidemark.llm.rowwise import column, drop_rows, in_pieces, limit_batches
 from tidemark.llm.words import words_of
 from tidemark.operators.components import connected
 
@@ -122,7 +122,7 @@ def _sets(docs: DataFrame, settings: Settings, arrays: str | None) -> DataFrame:
                 out.append(_lists([chosen(g) for g in sets]))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return docs.mapInArrow(work, schema)
+    return limit_batches(docs).mapInArrow(work, schema)
 
 
 def links_in_block(grams: list[np.ndarray], sizes: np.ndarray, percent: int, left: np.ndarray | None):

@@ -25,6 +25,20 @@ def fresh(df: DataFrame, name: str) -> str:
 
 BROADCAST_ROWS = 500_000
 PIECE_ROWS = 512
+BATCH_ROWS = 1024
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches limited to ``BATCH_ROWS`` rows.
+
+    Arrow buffers lie outside the heap of an executor, and texts are long: with the usual
+    10 000 rows a batch of long texts takes more than the heap leaves. A lower limit stays.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF, "10000")) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
+    return df
 
 
 def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +95,7 @@ def add_columns(
                 [*batch.columns[:text_at], *arrays], names=schema.names
             )
 
-    return source.mapInArrow(work, schema).toDF(*passed, *new.names)
+    return limit_batches(source).mapInArrow(work, schema).toDF(*passed, *new.names)
 
 
 def marks(characters: str) -> bytes:
