@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.rowwise import column, drop_rows, in_pieces, limit_batches
 from tidemark.llm.words import words_of
 from tidemark.operators.components import connected
+from tidemark.session import shared_folder
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MEMO = 200_000
@@ -270,6 +271,13 @@ def similar_components(
     return _labelled(df, id_col, text_col, settings or Settings()).drop("mark")
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """The rows from a table in the shared folder, which takes less disk than a checkpoint."""
+    folder = shared_folder(df.sparkSession, "sets")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def _labelled(df: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
     """``doc_id, mark`` (a hash of the text), ``n_shingles, component_id`` of every row."""
     text = column(text_col).cast("string")
@@ -284,8 +292,8 @@ def _labelled(df: DataFrame, id_col: str, text_col: str, settings: Settings) ->
             F.min(F.struct("doc_id", "mark")).alias("shown"), F.min("doc_id").alias("least_id"),
             F.first("n").alias("n"), F.first("grams").alias("grams"),
         )
-        .checkpoint()
     )
+    reps = _written(reps)
     allowed = F.col("n") - F.ceil(F.col("n") * settings.percent / 100)
 
     # Sets that have too many n-grams for themselves have no partner.
