@@ -261,3 +261,36 @@ def test_dropped_rows_with_and_without_broadcast(odd, most):
     left = drop_rows(df, [F.col("doc_id"), F.col("lang")], gone, most)
     assert left.columns == df.columns
     assert [r[0] for r in plain(left, "doc_id")] == [1, 2, 3, 4, 6, 7, 8]
+
+
+def alike_lines(a, b):
+    return distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
+
+
+def line_partition(spark, lines, settings=None):
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    return dict(plain(line_dedup.line_groups(df, settings=settings), "doc_id", "keep_id"))
+
+
+def test_line_candidates_recall_against_all_pairs(spark):
+    chance = random.Random(7)
+    words = ["".join(chance.choice("abcdefghijklmnop") for _ in range(chance.randint(2, 9))) for _ in range(500)]
+    lines = []
+    for n in (2, 5, 9, 15, 30, 45):
+        for _ in range(16):
+            line = [chance.choice(words) for _ in range(n)]
+            lines.append(" ".join(line))
+            for _ in range(2):
+                copy = list(line)
+                for place in chance.sample(range(n), max(1, n // 8)):
+                    copy[place] = chance.choice(words)
+                lines.append(" ".join(copy))
+    lines = sorted(set(lines))
+    links = [(a, b) for a, b in combinations(range(len(lines)), 2) if 4 * len(lines[a]) <= 5 * len(lines[b]) and 4 * len(lines[b]) <= 5 * len(lines[a]) and alike_lines(lines[a], lines[b])]
+    keys = [set(k.tolist()) for k in line_dedup.line_keys(lines)]
+    met = sum(bool(keys[a] & keys[b]) for a, b in links)
+    assert len(links) > 80 and met >= 0.97 * len(links)
+    got = line_partition(spark, lines)
+    assert sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)
+    want = roots(range(len(lines)), links)
+    assert all(want[a] == want[b] for a, b in got.items())
