@@ -294,3 +294,25 @@ def test_line_candidates_recall_against_all_pairs(spark):
     assert sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)
     want = roots(range(len(lines)), links)
     assert all(want[a] == want[b] for a, b in got.items())
+
+
+def test_lines_of_one_crowd_are_linked_to_each_other(spark):
+    # All lines are of the same words, so they share a SimHash; two of each order are alike.
+    chance = random.Random(8)
+    words = ["".join(chance.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(40)]
+    lines = []
+    for _ in range(60):
+        order = words[:]
+        chance.shuffle(order)
+        lines.append(" ".join(order))
+        order[3], order[4] = order[4], order[3]
+        lines.append(" ".join(order))
+    want = {n: n - n % 2 for n in range(len(lines))}
+    assert line_partition(spark, lines) == want
+    # One long common part makes a crowd of lines that differ in the rest.
+    common = " ".join(words[:25])
+    lines = []
+    for _ in range(60):
+        rest = ["".join(chance.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(12)]
+        lines += [common + " " + " ".join(rest), common + " " + " ".join([*rest[:-1], "xyzxyz"])]
+    assert line_partition(spark, lines, line_dedup.Settings(crowd=4)) == want
