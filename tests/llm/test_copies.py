@@ -316,3 +316,17 @@ def test_lines_of_one_crowd_are_linked_to_each_other(spark):
         rest = ["".join(chance.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(12)]
         lines += [common + " " + " ".join(rest), common + " " + " ".join([*rest[:-1], "xyzxyz"])]
     assert line_partition(spark, lines, line_dedup.Settings(crowd=4)) == want
+
+
+def test_long_lines_are_compared_by_edits(spark):
+    chance = random.Random(9)
+    words = ["".join(chance.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(500)]
+    changed = [("q" * 6 if i % 20 == 7 else w) for i, w in enumerate(words)]
+    far = [("q" * 6 if i % 3 == 1 else w) for i, w in enumerate(words)]
+    lines = [" ".join(w) for w in (words, changed, far)]
+    assert min(map(len, lines)) > 2000
+    assert line_partition(spark, lines) == {0: 0, 1: 0, 2: 2}
+    for _ in range(300):
+        a, b = ("".join(chance.choice("ab ü") for _ in range(chance.randint(0, 40))) for _ in range(2))
+        budget = chance.randint(0, 20)
+        assert line_dedup.edits_within(a, b, budget) == (distance(a, b) <= budget)
