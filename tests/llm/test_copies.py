@@ -330,3 +330,11 @@ def test_long_lines_are_compared_by_edits(spark):
         a, b = ("".join(chance.choice("ab ü") for _ in range(chance.randint(0, 40))) for _ in range(2))
         budget = chance.randint(0, 20)
         assert line_dedup.edits_within(a, b, budget) == (distance(a, b) <= budget)
+
+
+def test_short_lines_and_lines_without_spaces_are_compared(spark):
+    lines = [
+        "terms of service", "terms of servise", "privacy", "privacie", "subscribe now", "subscribe mow",
+        "漢字文本去重需要比較每一行的內容", "漢字文本去重需要比较每一行的內容", "cat", "dog", "全然違う行です",
+    ]
+    assert line_partition(spark, lines) == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10}
