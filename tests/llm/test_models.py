@@ -304,3 +304,26 @@ def test_bounded_sample_of_each_key(spark):
     picked = {r["h"] for r in sample_each(df, ["k"], "h", 100, 50).where("k = 'a'").collect()}
     every = sorted((r["h"] % 2**31, r["h"]) for r in df.where("k = 'a'").collect())
     assert picked == {h for _, h in every[:100]}
+
+
+def test_thresholds_do_not_depend_on_the_size_of_the_sample(spark, monkeypatch):
+    chance = np.random.default_rng(4)
+    y = (np.arange(20000) % 9 == 0).astype(float)
+    p = toxicity.sigmoid(chance.normal(0, 1, len(y)) + 3 * y)
+    use = np.concatenate([np.flatnonzero(y == 1)[:2000], np.flatnonzero(y == 0)[:2000]])
+    stands = np.where(y[use] == 1, y.sum() / 2000, (1 - y).sum() / 2000)
+    whole, cut = toxicity.best_threshold(p, y), toxicity.best_threshold(p[use], y[use], stands)
+    clean = p[y == 0]
+    assert abs((clean > whole).mean() - (clean > cut).mean()) < 0.012
+    # What learn_toxicity hands over adds up to the labelled rows of each combination.
+    seen = []
+    original = toxicity.best_threshold
+    monkeypatch.setattr(toxicity, "best_threshold", lambda p, y, s: seen.append((y, s)) or original(p, y, s))
+    rows, labels = toxic_rows(2, 400)
+    toxicity.learn_toxicity(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int, severe int"),
+        {"toxic": "toxic = 1"}, settings=toxicity.Settings(sample_per_class=50),
+    )
+    (y, s), = seen
+    assert len(y) == 100 and abs((s * y).sum() - 80) < 1e-6 and abs(s.sum() - 400) < 1e-6

@@ -105,11 +105,14 @@ def fit_linear(rows: Rows, dense, y, use, settings: Settings):
     return scale * before
 
 
-def best_threshold(probability, y):
-    """The probability above which a label is given, for the best F1; 0.5 without labels."""
+def best_threshold(probability, y, stands=None):
+    """The probability above which a label is given, for the best F1; 0.5 without labels.
+
+    Each row counts as the rows it ``stands`` for, one if not given."""
+    stands = np.ones(len(y)) if stands is None else stands
     order = np.argsort(-probability, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + max(1, y.sum()))
+    hits = np.cumsum((stands * y)[order])
+    f1 = 2 * hits / (np.cumsum(stands[order]) + max(1, (stands * y).sum()))
     at = int(f1.argmax()) if len(y) else 0
     if not len(y) or not y.sum():
         return 0.5
@@ -118,8 +121,9 @@ def best_threshold(probability, y):
     return float((low + under) / 2)
 
 
-def fit_chain(categories, words, found, labels, folds, settings: Settings) -> Chain:
-    """The chain from word numbers, 0/1 labels (rows, categories) and fold numbers."""
+def fit_chain(categories, words, found, labels, folds, settings: Settings, stands=None) -> Chain:
+    """The chain from word numbers, 0/1 labels (rows, categories), fold numbers and, for the
+    thresholds, how many labelled rows each row stands for."""
     chain = Chain(list(categories), words)
     rows = Rows(found, len(words))
     earlier = np.zeros((len(found), 0))
@@ -131,7 +135,7 @@ def fit_chain(categories, words, found, labels, folds, settings: Settings) -> Ch
             own = folds == fold
             outside[own] = _probability(rows, earlier, w)[own]
         chain.models.append(fit_linear(rows, earlier, y, np.ones(len(found)), settings))
-        chain.thresholds.append(best_threshold(outside, y))
+        chain.thresholds.append(best_threshold(outside, y, stands))
         earlier = np.column_stack([earlier, outside])
     return chain
 
@@ -182,6 +186,14 @@ def learn_toxicity(
     def make():
         return lambda texts: [pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string()))]
 
+    # A sampled row stands for the labelled rows of its combination, of which all have the
+    # same chance, so thresholds do not depend on how many fit in the sample.
+    combined = (
+        marked.groupBy(*ys).agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), *ys).limit(settings.classes_most).collect()
+    )
+    each = {tuple(r[:-1]): r["n"] / min(r["n"], settings.sample_per_class) for r in combined}
+
     # The chosen ids are bounded by the settings, so they may be broadcast.
     texts = docs.select(column(id_col).alias("_id"), column(text_col).alias("_t")).join(
         F.broadcast(chosen.drop("_rank", "_order")), "_id"
@@ -219,6 +231,7 @@ def learn_toxicity(
         np.array([[r[f"_y{i}"] for i in range(len(names))] for r in rows]).reshape(-1, len(names)),
         np.array([r["_fold"] for r in rows], np.int64),
         settings,
+        np.array([each[tuple(r[f"_y{i}"] for i in range(len(names)))] for r in rows], float),
     )
 
 
