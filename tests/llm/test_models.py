@@ -327,3 +327,14 @@ def test_thresholds_do_not_depend_on_the_size_of_the_sample(spark, monkeypatch):
     )
     (y, s), = seen
     assert len(y) == 100 and abs((s * y).sum() - 80) < 1e-6 and abs(s.sum() - 400) < 1e-6
+
+
+def test_repeated_documents_count_once(spark, monkeypatch):
+    rows, labels = toxic_rows(3, 200)
+    docs = spark.createDataFrame(rows + [rows[1]] * 500, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, severe int")
+    sizes = []
+    original = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda *a: sizes.append(len(a[2])) or original(*a))
+    toxicity.learn_toxicity(docs, marks, {"toxic": "toxic = 1"})
+    assert sizes == [200]

@@ -168,7 +168,7 @@ def learn_toxicity(
 ) -> Chain:
     """Fit a chain; ``categories`` maps a category to an SQL condition over ``labels``, in
     the order of the chain. Rows with a null id or an undecided condition are not used; of
-    repeated labels of an id a true one counts."""
+    repeated labels of an id a true one counts, and of repeated documents one."""
     settings = settings or Settings()
     names = list(categories)
     marked = (
@@ -194,10 +194,11 @@ def learn_toxicity(
     )
     each = {tuple(r[:-1]): r["n"] / min(r["n"], settings.sample_per_class) for r in combined}
 
-    # The chosen ids are bounded by the settings, so they may be broadcast.
+    # The chosen ids are bounded by the settings, so they may be broadcast. Of rows repeated
+    # with an id one counts, the text with the smallest hash.
     texts = docs.select(column(id_col).alias("_id"), column(text_col).alias("_t")).join(
         F.broadcast(chosen.drop("_rank", "_order")), "_id"
-    )
+    ).groupBy("_id", *ys).agg(F.min_by("_t", F.xxhash64("_t")).alias("_t"))
     sample = add_columns(texts, "_t", make, "_words array<string>").drop("_t").checkpoint()
     sizes = sample.agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(f"p{i}") for i, y in enumerate(ys)]
