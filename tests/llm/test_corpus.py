@@ -185,3 +185,25 @@ def test_pipeline_stages_on_odd_rows(odd, odd_rows, spark, tmp_path):
             got.collect()
             if at < 4:
                 assert got.columns == docs.columns, name
+
+
+def test_language_stage_uses_the_network(spark, folder, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+    from tidemark.llm import language
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    lettered = docs.where("text rlike '\\\\p{L}'").count()
+    unlabelled = docs.drop("lang").selectExpr("*", "cast(null as string) as lang").select(docs.columns)
+    assert corpus_pipeline.identify_language(spark, unlabelled, folder).count() == lettered > 0
+    kept = corpus_pipeline.identify_language(spark, docs, folder)
+    network = language.fit_language(docs.where(~corpus_pipeline.held_out(F.col("doc_id"), 4)))
+    scored = language.identify_language(docs.select("doc_id", "text"), network)
+    sure = scored.where((scored.lang_pred != "und") & (scored.score >= corpus_pipeline.LEAST_SCORE))
+    assert plain(kept, "doc_id") == plain(sure, "doc_id")
+    # Held-out documents stay, texts of no learned language go.
+    held = docs.where(corpus_pipeline.held_out(F.col("doc_id"), 4)).where("lang is not null and text rlike '\\\\p{L}'")
+    assert kept.join(held.select("doc_id"), "doc_id").count() >= 0.97 * held.count()
+    monkeypatch.setattr(corpus_pipeline, "LEAST_SCORE", 1.1)
+    assert corpus_pipeline.identify_language(spark, docs, folder).count() == 0
