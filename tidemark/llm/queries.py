@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chat_trees,
     decontamination,
     exact_dedup,
+    fill_middle,
     language,
     lattice_lm,
     line_dedup,
@@ -15,6 +17,7 @@ from tidemark.llm import (
     pii,
     secret_scan,
     toxicity,
+    vector_codes,
 )
 from tidemark.llm.rowwise import count_kind, of_kinds, spans_text
 
@@ -220,3 +223,151 @@ def op6_lattice_lm(spark, folder):
 def op7_decontamination(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontamination.find_leaks(docs, table(spark, folder, "benchmark"))
+
+
+@query
+def op11_chats(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    messages = chat_trees.chained(rows.union(probe), "conv_id", "turn", "role", "text")
+    chats = chat_trees.format_chats(messages)
+    read = chats.select(
+        F.col("root.group").alias("conv_id"),
+        "formatted",
+        chat_trees.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat_trees.read_loss(F.col("formatted"), F.col("turns")), "").alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+# Each control string gets one character more; the marks of a role have a fixed length. A role
+# beside the three known ones adds its name in the form of a URL.
+ORACLES["op11_chats"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, length(text) + len(regexp_extract_all(text,
+        '[<\[]\\*((/?INST|/ROLE)\]|ROLE:|/?s>|</?SYS>>)'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 WHEN 'system' THEN 17
+          ELSE 14 + length(url_encode(role)) END AS chars
+    FROM turns
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns, sum(chars) AS formatted_chars,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss
+    FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+PARTS, ENTRIES, ROUNDS = 16, 64, 2
+
+
+@query
+def op12_vector_codes(spark, folder):
+    coded, books = vector_codes.vector_codes(
+        table(spark, folder, "embeddings"), parts=PARTS, entries=ENTRIES, rounds=ROUNDS
+    )
+    return vector_codes.with_group_error(coded).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def _codes_sql():
+    """All distances in full, in every round."""
+    steps = []
+    for k in range(ROUNDS + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+    SELECT vec_id, part, min(list_value(d, e)) AS best FROM (
+        SELECT p.vec_id, p.part, e,
+            CAST(list_sum(list_transform(x, lambda v, i: (v - b.c[i]) * (v - b.c[i]))) AS BIGINT) AS d
+        FROM pieces p JOIN b{k} b ON p.part = b.part)
+    GROUP BY vec_id, part
+)""")
+        if k < ROUNDS:
+            steps.append(f"""b{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.e, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN (
+        SELECT part, e, list(s ORDER BY i) AS c FROM (
+            SELECT p.part, a.best[2] AS e, i,
+                CAST((sum(x[i]) - (sum(x[i]) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS s
+            FROM pieces p JOIN a{k} a ON p.vec_id = a.vec_id AND p.part = a.part, range(1, w + 1) r(i)
+            GROUP BY ALL)
+        GROUP BY part, e) m ON m.part = b.part AND m.e = b.e
+)""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), pieces AS MATERIALIZED (
+    SELECT vec_id, CAST(part AS INTEGER) AS part, len(x) // {PARTS} AS w,
+        x[part * (len(x) // {PARTS}) + 1 : (part + 1) * (len(x) // {PARTS})] AS x
+    FROM kept, range({PARTS}) r(part)
+), b0 AS MATERIALIZED (
+    SELECT part, rank - 1 AS e, x AS c FROM (
+        SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS rank FROM pieces)
+    WHERE rank <= {ENTRIES}
+), {", ".join(steps)}, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code,
+        CAST(sum(best[1]) AS BIGINT) AS error
+    FROM a{ROUNDS} GROUP BY vec_id
+), books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256
+    FROM b{ROUNDS}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_fill_middle(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    made = fill_middle.fill_in_middle(docs)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_middle"] = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+        list_transform(range(4), lambda i: CAST('0x' || substr(
+            sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS h
+    FROM documents
+), placed AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix
+    FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
