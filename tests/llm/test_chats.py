@@ -57,7 +57,7 @@ def test_best_branches_equal_brute_force(spark, branches):
     rows += [(200, 999, "user", "m200", 0.0, "x")]  # its parent is not there
     rows += [(300, 301, "user", "a", 0.0, "x"), (301, 300, "user", "b", 0.0, "x"), (302, 301, "user", "c", 0.0, "x")]
     chats = chat_trees.format_chats(spark.createDataFrame(rows, SCHEMA), score_col="score", branches=branches)
-    texts = chats.select("root", "leaf", "rank", chat_trees.read_turns(F.col("formatted"))["text"])
+    texts = chats.select("root", "leaf", "rank", chat_trees.read_turns(chat_trees.turns_of(F.col("formatted")))["text"])
     got = sorted((a, b, c, [int(t[1:]) for t in texts]) for a, b, c, texts in texts.collect())
     assert got == brute_paths(rows, branches)
 
@@ -65,7 +65,7 @@ def test_best_branches_equal_brute_force(spark, branches):
 def test_long_path_is_whole(spark):
     rows = [(i, i - 1 if i else None, "user", f"m{i}", None, "x") for i in range(700)]
     chats = chat_trees.format_chats(spark.createDataFrame(rows, SCHEMA))
-    (row,) = chats.select("leaf", chat_trees.read_turns(F.col("formatted"))["text"]).collect()
+    (row,) = chats.select("leaf", chat_trees.read_turns(chat_trees.turns_of(F.col("formatted")))["text"]).collect()
     assert tuple(row) == (699, [f"m{i}" for i in range(700)])
 
 
@@ -85,8 +85,8 @@ def test_texts_come_back_whatever_they_hold(spark):
     chats = chat_trees.format_chats(spark.createDataFrame(rows, SCHEMA))
     read = chats.select(
         "root", "formatted", "turns",
-        chat_trees.read_turns(F.col("formatted")).alias("back"),
-        chat_trees.read_loss(F.col("formatted"), F.col("turns")).alias("loss"),
+        chat_trees.read_turns(chat_trees.turns_of(F.col("formatted"))).alias("back"),
+        chat_trees.read_loss(chat_trees.turns_of(F.col("formatted")), F.col("turns")).alias("loss"),
         chat_trees.unescape(F.lit("x")).alias("x"),
     ).collect()
     assert len(read) == len(range(0, len(texts), 25))
@@ -125,5 +125,5 @@ def test_chained_ties_nulls_and_repeated_rows(spark):
             (None, 1, "user", "x"), (None, 0, None, "y")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     chats = chat_trees.format_chats(chat_trees.chained(df, "conv_id", "turn", "role", "text"))
-    texts = chats.select("root.group", chat_trees.read_turns(F.col("formatted"))["text"].alias("t"))
+    texts = chats.select("root.group", chat_trees.read_turns(chat_trees.turns_of(F.col("formatted")))["text"].alias("t"))
     assert plain(texts, "group", "t") == [(1, ["", "a", "a", "b"]), (None, ["y", "x"])]

@@ -26,8 +26,8 @@ OTHER = ("[ROLE:", "[/ROLE]")
 # Control strings: none is part of another or overlaps one.
 CONTROL = r"([<\[])(\\*)((?:/?INST|/ROLE)\]|ROLE:|/?s>|</?SYS>>)"
 ESCAPED = r"([<\[])\\(\\*)((?:/?INST|/ROLE)\]|ROLE:|/?s>|</?SYS>>)"
-# A turn ends behind its closing mark.
-TURN_END = r"(?<= \[/INST\]|</s>|\n<</SYS>>|\[/ROLE\])"
+# A turn ends with the first closing mark.
+TURN = r"(?s).*?(?: \[/INST\]|</s>|\n<</SYS>>|\[/ROLE\])"
 
 
 def escape(text: Column) -> Column:
@@ -234,28 +234,26 @@ def format_chats(
 
 def turns_of(formatted: Column) -> Column:
     """The turns of a formatted text with their marks."""
-    return F.filter(F.split(formatted, TURN_END), lambda turn: turn != "")
+    return F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
 
 
-def read_turns(formatted: Column) -> Column:
-    """``role, text`` of the turns of a formatted text, as they were before formatting."""
-
-    def read(turn: Column) -> Column:
-        found = _role_and_text(turn)
-        return F.struct(found["role"].alias("role"), unescape(found["text"]).alias("text"))
-
-    return F.transform(turns_of(formatted), read)
+def read_turns(turns: Column) -> Column:
+    """``role, text`` of what ``turns_of`` gives, as they were before formatting."""
+    return F.transform(
+        F.transform(turns, _role_and_text),
+        lambda t: F.struct(t["role"].alias("role"), unescape(t["text"]).alias("text")),
+    )
 
 
-def read_loss(formatted: Column, turns: Column) -> Column:
-    """The texts under the loss mask, as they were before formatting.
+def read_loss(turns: Column, marks: Column) -> Column:
+    """The text under the loss mask in each turn, as it was before formatting.
 
     Each is cut from its own turn, so the time does not grow with the square of the length.
     """
 
-    def read(turn: Column, marks: Column) -> Column:
-        start = (marks["loss_start"] - marks["begin"] + 1).cast("int")
-        length = (marks["loss_end"] - marks["loss_start"]).cast("int")
+    def read(turn: Column, mark: Column) -> Column:
+        start = (mark["loss_start"] - mark["begin"] + 1).cast("int")
+        length = (mark["loss_end"] - mark["loss_start"]).cast("int")
         return F.coalesce(unescape(F.substring(turn, start, length)), F.lit(""))
 
-    return F.zip_with(turns_of(formatted), turns, read)
+    return F.zip_with(turns, marks, read)

@@ -232,11 +232,18 @@ def op11_chats(spark, folder):
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
     messages = chat_trees.chained(rows.union(probe), "conv_id", "turn", "role", "text")
     chats = chat_trees.format_chats(messages)
-    read = chats.select(
+    # Cut once, then read twice: Catalyst keeps projections apart whose result is used again.
+    cut = chats.select(
         F.col("root.group").alias("conv_id"),
-        "formatted",
-        chat_trees.read_turns(F.col("formatted")).alias("turns"),
-        F.array_join(chat_trees.read_loss(F.col("formatted"), F.col("turns")), "").alias("loss"),
+        F.col("turns").alias("marks"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        chat_trees.turns_of(F.col("formatted")).alias("turns"),
+    )
+    read = cut.select(
+        "conv_id",
+        "formatted_chars",
+        chat_trees.read_turns(F.col("turns")).alias("turns"),
+        F.array_join(chat_trees.read_loss(F.col("turns"), F.col("marks")), "").alias("loss"),
     )
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
@@ -245,7 +252,7 @@ def op11_chats(spark, folder):
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        "formatted_chars",
     )
 
 
