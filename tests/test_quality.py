@@ -118,10 +118,11 @@ def test_kolmogorov_tail(spark, x, p):
 
 def test_zero_totals(spark):
     df = spark.createDataFrame(
-        [(datetime(2024, 1, 1), "DE", "purchase", "failed", 5.0)],
-        "timestamp timestamp, country string, transaction_type string, status string, amount double",
+        [(1, datetime(2024, 1, 1), "purchase", "failed", 5.0)],
+        "user_id long, timestamp timestamp, transaction_type string, status string, amount double",
     )
-    row = agg.transaction_rollup(df).first()
+    users = spark.createDataFrame([(1, "DE")], "user_id long, country string")
+    row = agg.transaction_rollup(df, users).first()
     assert row["success_rate"] == 0.0 and row["completed_revenue"] == 0.0
 
 

@@ -181,3 +181,49 @@ def test_join_unique_keeps_all_rows(spark, hot):
     right = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     assert rows(join_unique(left, right, ["k"]), "id", "v") == rows(left.join(right, "k", "left"), "id", "v")
     assert join_unique(left, right, ["k"], "inner").count() == left.join(right, "k").count()
+
+
+def brute_sessions(data, life):
+    """(id, session start) by walking through each user's rows."""
+    starts, out = {}, []
+    for row_id, ts, user in sorted((r for r in data if r[1]), key=lambda r: r[1]):
+        start = starts.get(user)
+        if start is None or (ts - start).total_seconds() > life:
+            start = starts[user] = ts
+        out.append((row_id, start))
+    return sorted(out + [(r[0], None) for r in data if not r[1]], key=repr)
+
+
+@pytest.mark.parametrize("users", [1, 4])
+@pytest.mark.parametrize("split", [False, True])
+def test_fixed_life_sessions_equal_brute_force(spark, request, users, split):
+    if split:
+        request.getfixturevalue("hot")
+    chance = random.Random(users)
+    data = []
+    at = datetime(2024, 1, 1)
+    for i in range(1500):
+        # Mostly chains of short gaps, ties, and gaps of exactly a life or just above.
+        at += timedelta(seconds=chance.choice([0, 1, 3, 7, 7, 20, 100 if i % 9 == 0 else 2, 101 if i % 50 == 0 else 5]))
+        data.append((i, at, chance.randrange(users) if i % 11 else None))
+    data += [(9000, None, 0), (9001, None, None)]
+    df = spark.createDataFrame(data, "id long, ts timestamp, user_id long")
+    got = seq.fixed_life_sessions(df, 100)
+    assert got.columns == ["id", "ts", "user_id", "session_start"]
+    assert rows(got, "id", "session_start") == brute_sessions(data, 100)
+
+
+def test_fixed_life_sessions_of_one_user_are_spread(spark, hot):
+    """All rows of one user: they are numbered in several tasks, and log n rounds suffice."""
+    df = spark.range(20_000).select(
+        "id", F.lit(7).alias("user_id"), (F.lit(datetime(2024, 1, 1)).cast("timestamp") + F.make_dt_interval(secs=F.col("id") * 3)).alias("ts")
+    )
+    got = seq.fixed_life_sessions(df, 10)
+    assert got.where("session_start <> timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id div 4 * 12)").count() == 0
+    ranges = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) > 1 and max(r["count"] for r in ranges) < 20_000
+
+
+def test_fixed_life_sessions_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id long, ts timestamp, user_id long")
+    assert seq.fixed_life_sessions(df).collect() == []

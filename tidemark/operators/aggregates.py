@@ -105,31 +105,24 @@ def log_counts(lines: DataFrame, levels=("ERROR", "WARN"), known_levels=None) ->
 def transaction_rollup(transactions: DataFrame, users: DataFrame) -> DataFrame:
     """Totals, success rate and mean amount per date, country of the user and type.
 
-    Transactions of a user are summed per date and type before the users are joined.
+    The users are joined first: a user has about one transaction per day and type, so sums
+    per user would shuffle nearly as many rows again. Catalyst chooses the join from the sizes.
     """
     completed = F.col("status") == "completed"
-    per_user = transactions.groupBy(
-        "user_id", F.to_date("timestamp").alias("transaction_date"), "transaction_type"
-    ).agg(
-        count_rows().alias("n"),
-        count_when(completed).alias("completed"),
-        count_when(F.col("status") == "failed").alias("failed"),
-        F.sum("amount").alias("revenue"),
-        sum_when(completed, F.col("amount")).alias("earned"),
-        F.sum(F.col("amount").cast(MONEY)).alias("exact"),
-        F.count("amount").alias("known"),
-    )
-    located = per_user.join(users.select("user_id", "country"), "user_id")
+    located = transactions.join(users.select("user_id", "country"), "user_id")
+    exact = F.sum(F.col("amount").cast(MONEY))
     return (
-        located.groupBy("transaction_date", "country", "transaction_type")
+        located.groupBy(
+            F.to_date("timestamp").alias("transaction_date"), "country", "transaction_type"
+        )
         .agg(
-            F.sum("n").alias("total_transactions"),
-            F.sum("completed").alias("completed_transactions"),
-            F.sum("failed").alias("failed_transactions"),
+            count_rows().alias("total_transactions"),
+            count_when(completed).alias("completed_transactions"),
+            count_when(F.col("status") == "failed").alias("failed_transactions"),
             # Rounded from decimals: the mean of two amounts often ends in half a cent.
-            F.round(F.sum("revenue"), 2).alias("total_revenue"),
-            F.round(F.sum("earned"), 2).alias("completed_revenue"),
-            F.round(F.try_divide(F.sum("exact"), F.sum("known")), 2)
+            F.round(F.sum("amount"), 2).alias("total_revenue"),
+            F.round(sum_when(completed, F.col("amount")), 2).alias("completed_revenue"),
+            F.round(F.try_divide(exact, F.count("amount")), 2)
             .cast("double")
             .alias("avg_transaction_amount"),
         )

@@ -15,6 +15,7 @@ from tidemark.functions.numbers import (
 from tidemark.functions.times import hours_between, seconds_between
 from tidemark.operators.hotkeys import hot_keys, join_unique
 from tidemark.operators.running import previous, running
+from tidemark.session import cut_lineage
 
 
 UNITS = 1_000_000  # amounts are summed in millionths
@@ -312,3 +313,63 @@ def held_for(
     )
 
 
+
+
+def fixed_life_sessions(
+    df: DataFrame, life_seconds=7200.0, key="user_id", time="ts", hot=None
+) -> DataFrame:
+    """Add ``session_start``: a session takes all rows up to a fixed time after its first row.
+
+    Where a session starts depends on the one before it. A row after a gap longer than the
+    life starts one in any case. Every time points to the first time more than a life later,
+    where the next session would start; following these pointers by doubling, a chain of n
+    sessions takes log n rounds, over rows spread by key and time, so a user with very many
+    rows is spread too. Rows without a time have no session; a null key is a key like others.
+    """
+    hot = hot_keys(df, [key]) if hot is None else hot
+    life = F.lit(int(life_seconds * 1_000_000))
+    times = cut_lineage(
+        df.where(F.col(time).isNotNull())
+        .select(F.col(key).alias("_key"), F.unix_micros(time).alias("_at"))
+        .distinct()
+    )
+    known = previous(times, ["_key"], ["_at"], {"_before": "_at"}, hot=hot)
+    begins = F.coalesce(F.col("_at") - F.col("_before") > life, F.lit(True))
+    known = cut_lineage(known.select("_key", "_at", begins.alias("_begins")))
+
+    marks = known.select(
+        "_key", "_at", F.lit(0).alias("_kind"), F.struct("_at", "_begins").alias("_found")
+    ).unionByName(
+        known.select("_key", (F.col("_at") + life).alias("_at"), F.lit(1).alias("_kind")),
+        allowMissingColumns=True,
+    )
+    ahead = previous(marks, ["_key"], ["_at", "_kind"], {"_next": "_found"}, hot=hot, reverse=True)
+    # A start that is certain needs no pointer to it.
+    current = cut_lineage(
+        ahead.where("_kind = 1 AND NOT _next._begins").select(
+            "_key", (F.col("_at") - life).alias("_at"), F.col("_next._at").alias("_next")
+        )
+    )
+    starts = known.where("_begins").select("_key", "_at")
+    while True:
+        step = current.select(F.col("_key").alias("_k"), F.col("_at").alias("_a"), F.col("_next").alias("_n"))
+        same = F.col("_key").eqNullSafe(F.col("_k"))
+        found = starts.join(step, same & (F.col("_at") == F.col("_a")))
+        found = cut_lineage(found.select("_key", F.col("_n").alias("_at")))
+        if found.isEmpty():
+            break
+        starts = starts.unionByName(found)
+        twice = current.join(step, same & (F.col("_next") == F.col("_a")))
+        current = cut_lineage(twice.select("_key", "_at", F.col("_n").alias("_next")))
+
+    rows = df.select(
+        F.col(key).alias("_key"), F.unix_micros(time).alias("_at"), F.lit(1).alias("_kind"),
+        F.struct(*df.columns).alias("_row"),
+    )
+    heads = starts.select("_key", "_at", F.lit(0).alias("_kind"), F.col("_at").alias("_start"))
+    ordered = running(
+        rows.unionByName(heads, allowMissingColumns=True),
+        ["_key"], ["_at", "_kind"], [("_newest", "last", F.col("_start"))], hot=hot,
+    )
+    start = F.when(F.col("_at").isNotNull(), F.timestamp_micros("_newest"))
+    return ordered.where("_kind = 1").select("_row.*", start.alias("session_start"))

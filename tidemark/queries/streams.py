@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 
 from tidemark.model import fraud_columns, table
+from tidemark.operators.sequences import fixed_life_sessions
 from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
 from tidemark.streaming import jobs, stateful
@@ -41,7 +42,11 @@ def event_stream(spark, folder, closing=None):
     stream = jobs.file_stream(spark, f"{folder}/events*.parquet", source)
     if closing:
         stream = closing.beside(stream)
-    return stream.select(
+    return event_columns(stream)
+
+
+def event_columns(events):
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_type").alias("value"),
@@ -49,6 +54,10 @@ def event_stream(spark, folder, closing=None):
     )
 
 
+def event_rows(spark, folder):
+    return event_columns(table(spark, folder, "events"))
+
+
 def transaction_stream(spark, folder, closing=None):
     source = table(spark, folder, "events").schema
     stream = jobs.file_stream(spark, f"{folder}/events*.parquet", source)
@@ -164,17 +173,24 @@ def _(spark, folder):
     )
 
 
-@query("sessions_max_life", "user_id id ts:t session_start:t",
-       """WITH RECURSIVE s AS (SELECT user_id, min(ts) AS session_start FROM events GROUP BY 1
+MAX_LIFE_SQL = """WITH RECURSIVE s AS (SELECT user_id, min(ts) AS session_start FROM events GROUP BY 1
                UNION ALL SELECT s.user_id, min(e.ts) FROM s JOIN events e
                    ON e.user_id = s.user_id AND e.ts > s.session_start + INTERVAL 2 HOURS
                GROUP BY s.user_id, s.session_start)
            SELECT e.user_id, e.event_id AS id, e.ts, s.session_start FROM events e ASOF JOIN s
-               ON e.user_id = s.user_id AND s.session_start <= e.ts""")
+               ON e.user_id = s.user_id AND s.session_start <= e.ts"""
+
+
+@query("sessions_max_life", "user_id id ts:t session_start:t", MAX_LIFE_SQL)
 def _(spark, folder):
     return whole(spark, folder, "max-life", stateful.max_life_sessions)
 
 
+@query("sessions_max_life_batch", "user_id id ts:t session_start:t", MAX_LIFE_SQL)
+def _(spark, folder):
+    return fixed_life_sessions(event_rows(spark, folder))
+
+
 @query("stream_scored",
        "transaction_id transaction_count_1h total_amount_1h:2 rule_high_amount rule_unusual_time risk_score:6",
        f"""SELECT transaction_id, n AS transaction_count_1h, t AS total_amount_1h, amount > 200 AS rule_high_amount,

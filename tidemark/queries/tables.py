@@ -297,7 +297,13 @@ def _(spark, folder):
     streamed = jobs.run_to_table(
         models.score(jobs.file_stream(spark, path, rows.schema), model).select("id", "probability"), "scores"
     )
-    scored = models.score(spark.read.parquet(path), model).select("id", F.col("probability").alias("wanted"))
-    return streamed.join(scored, "id").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum((F.col("probability") == F.col("wanted")).cast("int")).alias("same")
+    scored = models.score(spark.read.parquet(path), model).select("id", "probability")
+
+    # Ids repeat, so the rows are compared as counts of equal (id, probability).
+    def counted(df, name):
+        return df.groupBy("id", "probability").agg(F.count(F.lit(1)).alias(name))
+
+    both = counted(streamed, "streamed").join(counted(scored, "scored"), ["id", "probability"], "left")
+    return both.agg(
+        F.sum("streamed").alias("rows"), F.sum(F.least("streamed", F.coalesce("scored", F.lit(0)))).alias("same")
     )
