@@ -14,7 +14,7 @@ from tidemark.operators import sequences as seq
 from tidemark.plans import detector, lake as reports, warehouse
 from tidemark.sources import databases, files, lake, messages
 from tidemark.plans import daily
-from tidemark.streaming import applications, jobs, stateful
+from tidemark.streaming import applications, jobs, slices, stateful
 
 START = datetime(2024, 1, 1)
 
@@ -53,7 +53,7 @@ def test_window_counts(spark, event_files):
 
 def test_every_nth_over_batches(spark, event_files):
     path, table = event_files
-    got = jobs.run_to_table(stateful.every_nth(stream(spark, path), 7, "10 minutes"), "t")
+    got = jobs.run_to_table(slices.every_nth(stream(spark, path), 7, "10 minutes"), "t")
     want = seq.every_nth(table, 7)
     columns = ("user_id", "event_count", "window_start")
     assert rows(got, *columns) == rows(want, *columns)
@@ -63,7 +63,7 @@ def test_pattern_over_batches(spark, event_files):
     path, table = event_files
     first, second = F.col("value") == "rapid", F.col("value") == "fire"
     got = jobs.run_to_table(
-        stateful.followed_by(stream(spark, path), first, second, 30, "10 minutes"), "t"
+        slices.followed_by(stream(spark, path), first, second, 30, "10 minutes"), "t"
     )
     want = seq.followed_by(table, first, second, 30)
     columns = ("user_id", "window_start", "window_end")
@@ -79,7 +79,7 @@ def test_sessions_over_batches(spark, event_files):
 
 def test_max_life_sessions(spark, event_files):
     path, table = event_files
-    got = jobs.run_to_table(stateful.max_life_sessions(stream(spark, path), 600, "10 minutes"), "t")
+    got = jobs.run_to_table(slices.max_life_sessions(stream(spark, path), 600, "10 minutes"), "t")
     want, starts = [], {}
     for r in sorted(table.collect(), key=lambda r: (r["ts"], r["id"])):
         start = starts.get(r["user_id"])
@@ -127,7 +127,7 @@ def test_velocity_on_arrival_equals_batch_when_rows_come_in_order(spark, tmp_pat
 def test_user_statistics(spark, event_files):
     path, table = event_files
     got = jobs.run_to_table(
-        stateful.user_statistics(stream(spark, path), 30, F.col("id"), "10 minutes"), "t"
+        slices.user_statistics(stream(spark, path), 30, F.col("id"), "10 minutes"), "t"
     )
     last = got.groupBy("user_id").agg(F.max("event_count").alias("n"), F.max("session_count").alias("s"))
     want = seq.gap_sessions(table, 30).groupBy("user_id").agg(
@@ -136,6 +136,55 @@ def test_user_statistics(spark, event_files):
     assert rows(last.where("user_id < 99")) == rows(want)
 
 
+@pytest.fixture
+def one_large_user(spark, tmp_path):
+    """Half of the rows belong to one user; a file per twenty rows, in any order within 200."""
+    r = random.Random(11)
+    data = [
+        (i, START + timedelta(seconds=3 * i + r.randrange(3)), r.choice(["rapid", "fire", "x"]), 0 if i % 2 else r.randrange(1, 30))
+        for i in range(1200)
+    ]
+    mixed = [row for k in range(0, 1200, 200) for row in r.sample(data[k : k + 200], 200)]
+    path = str(tmp_path / "large")
+    for k in range(0, 1200, 100):
+        spark.createDataFrame(mixed[k : k + 100], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    final = [(10_000, START + timedelta(days=1), "x", 99)]
+    spark.createDataFrame(final, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return path, spark.createDataFrame(data, EVENT_SCHEMA)
+
+
+def test_a_user_with_half_of_the_rows_is_sliced(spark, one_large_user):
+    path, table = one_large_user
+
+    def run(build, **options):
+        streamed = build(stream(spark, path), delay="20 minutes", slice="2 minutes", **options)
+        return jobs.run_to_table(streamed, "t").where("user_id < 99")
+
+    got = run(slices.every_nth, n=9)
+    columns = ("user_id", "event_count", "window_start")
+    assert rows(got, *columns) == rows(seq.every_nth(table, 9), *columns)
+
+    first, second = F.col("value") == "rapid", F.col("value") == "fire"
+    got = run(slices.followed_by, first=first, second=second, within_seconds=400)
+    columns = ("user_id", "window_start", "window_end")
+    assert rows(got, *columns) == rows(seq.followed_by(table, first, second, 400), *columns)
+    assert got.where("unix_micros(window_end) div 120000000 > unix_micros(window_start) div 120000000").count() > 0
+
+    columns = ("id", "session_start")
+    got = run(slices.max_life_sessions, life_seconds=500)
+    assert rows(got, *columns) == rows(seq.fixed_life_sessions(table, 500), *columns)
+
+    got = run(slices.user_statistics, gap_seconds=30, number=F.when(F.col("id") % 3 > 0, F.col("id")))
+    last = got.groupBy("user_id").agg(F.max_by(F.struct("last_seen", "event_count", "avg_amount", "session_count"), "event_count").alias("s"))
+    sessions = seq.gap_sessions(table, 30).groupBy("user_id").agg(F.count(F.lit(1)).alias("session_count"))
+    sums = table.groupBy("user_id").agg(
+        F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("event_count"),
+        (F.sum(F.when(F.col("id") % 3 > 0, F.col("id"))) / F.count(F.lit(1))).alias("avg_amount"),
+    )
+    columns = ("user_id", "last_seen", "event_count", "avg_amount", "session_count")
+    assert rows(last.select("user_id", "s.*"), *columns) == rows(sums.join(sessions, "user_id"), *columns)
+
+
 def test_hourly_archive_and_fan_out(spark, event_files, tmp_path):
     path, table = event_files
     out = str(tmp_path / "archive")

@@ -7,7 +7,7 @@ from tidemark.model import fraud_columns, table
 from tidemark.operators.sequences import fixed_life_sessions
 from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
-from tidemark.streaming import jobs, stateful
+from tidemark.streaming import jobs, slices, stateful
 
 
 class Closing:
@@ -157,7 +157,7 @@ def _(spark, folder):
            FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, id) AS event_count
                  FROM {EVENTS_SQL}) WHERE event_count % 10 = 0""")
 def _(spark, folder):
-    return whole(spark, folder, "nth", lambda events: stateful.every_nth(events, 10))
+    return whole(spark, folder, "nth", lambda events: slices.every_nth(events, 10, slice="1 hour"))
 
 
 @query("stream_pattern", "user_id metric_type event_count:i window_start:t window_end:t avg_processing_time:3",
@@ -169,7 +169,7 @@ def _(spark, folder):
 def _(spark, folder):
     click, purchase = F.col("value") == "click", F.col("value") == "purchase"
     return whole(
-        spark, folder, "pattern", lambda events: stateful.followed_by(events, click, purchase, 43200)
+        spark, folder, "pattern", lambda events: slices.followed_by(events, click, purchase, 43200, slice="1 hour")
     )
 
 
@@ -183,7 +183,9 @@ MAX_LIFE_SQL = """WITH RECURSIVE s AS (SELECT user_id, min(ts) AS session_start
 
 @query("sessions_max_life", "user_id id ts:t session_start:t", MAX_LIFE_SQL)
 def _(spark, folder):
-    return whole(spark, folder, "max-life", stateful.max_life_sessions)
+    return whole(
+        spark, folder, "max-life", lambda events: slices.max_life_sessions(events, slice="1 hour")
+    )
 
 
 @query("sessions_max_life_batch", "user_id id ts:t session_start:t", MAX_LIFE_SQL)

@@ -16,7 +16,7 @@ from tidemark.queries.registry import FRAUD_SQL, USERS_SQL, query
 from tidemark.queries.streams import event_stream, transaction_stream, whole
 from tidemark.session import shared_folder
 from tidemark.sources import files, lake
-from tidemark.streaming import jobs, stateful
+from tidemark.streaming import jobs, slices, stateful
 
 
 def named(name):
@@ -251,7 +251,7 @@ def _(spark, folder):
         events = rows.select(
             "user_id", F.col("timestamp").alias("ts"), F.col("transaction_id").alias("id"), "amount"
         )
-        return stateful.user_statistics(events, 1800.0, F.col("amount"))
+        return slices.user_statistics(events, 1800.0, F.col("amount"), slice="1 hour")
 
     states = whole(spark, folder, "statistics", build, transaction_stream)
     return newest_per_key(states, ["user_id"], ["event_count"])

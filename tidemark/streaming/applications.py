@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.model import METRICS_SCHEMA
 from tidemark.sources.messages import decode_events, decode_transactions, undecodable
-from tidemark.streaming import jobs, stateful
+from tidemark.streaming import jobs, slices, stateful
 
 
 def event_application(messages: DataFrame, archive_path: str, write_counts, checkpoint: str):
@@ -41,9 +41,9 @@ def metrics_application(events: DataFrame, write, checkpoint: str, first=None, s
     first = F.col("value").contains("rapid") if first is None else first
     second = F.col("value").contains("fire") if second is None else second
     metrics = {
-        "user_metrics": stateful.every_nth(events, 100),
+        "user_metrics": slices.every_nth(events, 100),
         "window_metrics": jobs.sliding_metrics(events),
-        "pattern_metrics": stateful.followed_by(events, first, second, 30.0),
+        "pattern_metrics": slices.followed_by(events, first, second, 30.0),
         "session_metrics": jobs.gap_sessions(events),
     }
     return {

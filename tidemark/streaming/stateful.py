@@ -93,112 +93,6 @@ class InOrder(StatefulProcessor):
         pass
 
 
-class CountEveryNth(InOrder):
-    """Running count per user, reported at every n-th row."""
-
-    template = "user_id {user}, metric_type string, event_count bigint, window_start timestamp"
-
-    def __init__(self, n: int):
-        self.n = n
-
-    def open(self, handle):
-        self.count = handle.getValueState("count", "n bigint")
-
-    def ordered(self, key, rows):
-        count = self.count.get()[0] if self.count.exists() else 0
-        out = []
-        for time_us, *_ in rows:
-            count += 1
-            if count % self.n == 0:
-                out.append((key[0], count, time_us))
-        self.count.update((count,))
-        return out
-
-    def output(self, tuples):
-        users, counts, times = zip(*tuples)
-        return pd.DataFrame(
-            {
-                "user_id": users,
-                "metric_type": "user_event_count",
-                "event_count": counts,
-                "window_start": _time(times),
-            }
-        )
-
-
-class FollowedBy(InOrder):
-    """Pairs every row marked ``first`` with the next row marked ``second`` in time."""
-
-    template = (
-        "user_id {user}, metric_type string, event_count bigint, window_start timestamp, "
-        "window_end timestamp, avg_processing_time double"
-    )
-
-    def __init__(self, within_seconds: float):
-        self.span = int(within_seconds * 1_000_000)
-
-    def open(self, handle):
-        self.firsts = handle.getListState("firsts", "time_us bigint")
-
-    def ordered(self, key, rows):
-        pending = [r[0] for r in self.firsts.get()] if self.firsts.exists() else []
-        out = []
-        for time_us, _, text, _ in rows:
-            if "second" in text:
-                out += [(key[0], t, time_us) for t in pending if time_us - t < self.span]
-                pending = []
-            else:
-                pending = [t for t in pending if time_us - t < self.span]
-            if "first" in text:
-                pending.append(time_us)
-        if pending:
-            self.firsts.put([(t,) for t in pending])
-        else:
-            self.firsts.clear()
-        return out
-
-    def output(self, tuples):
-        users, starts, ends = zip(*tuples)
-        return pd.DataFrame(
-            {
-                "user_id": users,
-                "metric_type": "rapid_fire_pattern",
-                "event_count": 2,
-                "window_start": _time(starts),
-                "window_end": _time(ends),
-                "avg_processing_time": [(e - s) / 1000 for s, e in zip(starts, ends)],
-            }
-        )
-
-
-class MaxLifeSessions(InOrder):
-    """Gives every row the start of its session; a session ends a fixed time after its start."""
-
-    template = "user_id {user}, id {id}, ts timestamp, session_start timestamp"
-
-    def __init__(self, life_seconds: float):
-        self.life = int(life_seconds * 1_000_000)
-
-    def open(self, handle):
-        self.start = handle.getValueState("start", "time_us bigint")
-
-    def ordered(self, key, rows):
-        start = self.start.get()[0] if self.start.exists() else None
-        out = []
-        for time_us, row_id, *_ in rows:
-            if start is None or time_us - start > self.life:
-                start = time_us
-            out.append((key[0], row_id, time_us, start))
-        self.start.update((start,))
-        return out
-
-    def output(self, tuples):
-        users, ids, times, starts = zip(*tuples)
-        return pd.DataFrame(
-            {"user_id": users, "id": ids, "ts": _time(times), "session_start": _time(starts)}
-        )
-
-
 class TrailingVelocity(InOrder):
     """Count, sum, mean and deviation of the user's amounts over the trailing span."""
 
@@ -320,37 +214,6 @@ class ArrivalVelocity(StatefulProcessor):
         pass
 
 
-class UserStatistics(InOrder):
-    """Running count, mean amount and session number of a user, one row per handled batch."""
-
-    template = (
-        "user_id {user}, last_seen timestamp, event_count bigint, avg_amount double, "
-        "session_count bigint"
-    )
-
-    def __init__(self, gap_seconds: float):
-        self.gap = int(gap_seconds * 1_000_000)
-
-    def open(self, handle):
-        self.stats = handle.getValueState(
-            "stats", "n bigint, total double, last_us bigint, sessions bigint"
-        )
-
-    def ordered(self, key, rows):
-        n, total, last, sessions = self.stats.get() if self.stats.exists() else (0, 0.0, None, 0)
-        for time_us, _, _, amount in rows:
-            if last is None or time_us - last > self.gap:
-                sessions += 1
-            n, total, last = n + 1, total + (amount or 0.0), time_us
-        self.stats.update((n, total, last, sessions))
-        return [(key[0], last, n, total / n, sessions)]
-
-    def output(self, tuples):
-        frame = pd.DataFrame(tuples, columns=[f.split()[0] for f in self.schema.split(", ")])
-        frame["last_seen"] = _time(frame["last_seen"])
-        return frame
-
-
 def run_in_order(
     stream: DataFrame,
     processor: InOrder,
@@ -393,28 +256,6 @@ def run_in_order(
     )
 
 
-def every_nth(stream: DataFrame, n=100, delay="5 seconds") -> DataFrame:
-    return run_in_order(stream, CountEveryNth(n), delay)
-
-
-def followed_by(stream: DataFrame, first, second, within_seconds=30.0, delay="5 seconds"):
-    """Pattern of two conditions per user; a row that meets both opens and closes."""
-    from pyspark.sql import functions as F
-
-    marks = F.concat_ws(
-        " ",
-        F.when(F.coalesce(first, F.lit(False)), "first"),
-        F.when(F.coalesce(second, F.lit(False)), "second"),
-    )
-    return run_in_order(
-        stream, FollowedBy(within_seconds), delay, text=marks, keep=F.col("text") != ""
-    )
-
-
-def max_life_sessions(stream: DataFrame, life_seconds=7200.0, delay="5 seconds") -> DataFrame:
-    return run_in_order(stream, MaxLifeSessions(life_seconds), delay)
-
-
 def trailing_velocity(transactions: DataFrame, span_seconds=3600.0, delay="5 seconds"):
     from pyspark.sql import functions as F
 
@@ -461,7 +302,3 @@ def scored_stream(transactions: DataFrame, span_seconds=3600.0, late_seconds=360
         "amount_zscore", zscore_or_zero("amount", "avg_amount_1h", "std_amount_1h")
     )
     return rules.stream_rules(with_z, **rule_options)
-
-
-def user_statistics(stream: DataFrame, gap_seconds=1800.0, number=None, delay="5 seconds"):
-    return run_in_order(stream, UserStatistics(gap_seconds), delay, number=number)
