@@ -103,7 +103,7 @@ def test_trailing_velocity_over_batches(spark, event_files):
         )
 
     got = jobs.run_to_table(
-        stateful.trailing_velocity(transactions(stream(spark, path)), 300, "10 minutes"), "t"
+        slices.trailing_velocity(transactions(stream(spark, path)), 300, "10 minutes"), "t"
     )
     want = seq.velocity(transactions(table), {"1h": 300})
     columns = ("transaction_id", "transaction_count_1h", "total_amount_1h")
@@ -118,12 +118,79 @@ def test_velocity_on_arrival_equals_batch_when_rows_come_in_order(spark, tmp_pat
     for part in range(3):
         table.where(f"transaction_id div 30 = {part}").coalesce(1).write.mode("append").parquet(folder)
     source = jobs.file_stream(spark, folder, table.schema, files_per_trigger=1)
-    got = jobs.run_to_table(stateful.velocity_on_arrival(source, 300, 0), "arrival")
+    got = jobs.run_to_table(stateful.velocity_on_arrival(source, 300, "5 minutes"), "arrival")
     want = seq.velocity(table, {"1h": 300})
     columns = ["transaction_id", "transaction_count_1h", *[F.round(c, 6).alias(c) for c in ("total_amount_1h", "avg_amount_1h", "std_amount_1h")]]
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_last_revisions_do_not_depend_on_order_or_batches(spark, tmp_path):
+    """Files in any order, one row per batch: the last score of each row equals the table's."""
+    chance = random.Random(4)
+    data = [
+        (i, i % 2, START + timedelta(seconds=chance.randrange(900)), None if i % 7 == 0 else float(i % 50), "c", 1)
+        for i in range(24)
+    ]
+    data += [(90, 0, START + timedelta(seconds=400), 5.0, "c", 1)] * 1
+    schema = "transaction_id long, user_id long, timestamp timestamp, amount double, merchant_category string, merchant_id long"
+    table = spark.createDataFrame(data, schema)
+    want = seq.velocity(table, {"1h": 300})
+    columns = ["transaction_id", "transaction_count_1h", *[F.round(c, 6).alias(c) for c in ("total_amount_1h", "avg_amount_1h", "std_amount_1h")]]
+    results = []
+    for number, per_file in enumerate((1, 9)):
+        chance.shuffle(data)
+        folder = str(tmp_path / f"in{number}")
+        for k in range(0, len(data), per_file):
+            spark.createDataFrame(data[k : k + per_file], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = jobs.file_stream(spark, folder, table.schema, files_per_trigger=1)
+        got = jobs.run_to_table(stateful.velocity_on_arrival(source, 300, "1 hour"), f"revised{number}")
+        first = got.where("revision = 0")
+        assert first.count() == len(data) and first.where("before_transaction_count_1h IS NOT NULL").count() == 0
+        assert got.where("revision > 0 AND before_transaction_count_1h >= transaction_count_1h").count() == 0
+        assert rows(stateful.newest_revisions(got), *columns) == rows(want, *columns)
+        results.append(got.where("revision > 0").count())
+    assert min(results) > 0
+
+
+def test_category_totals_with_corrections(spark, tmp_path):
+    from tidemark.operators.aggregates import category_windows
+
+    chance = random.Random(8)
+    data = [(i, i % 3, START + timedelta(seconds=chance.randrange(1200)), 20000.0 if i % 4 else 3.0, "casino", 1) for i in range(60)]
+    schema = "transaction_id long, user_id long, timestamp timestamp, amount double, merchant_category string, merchant_id long"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for k in range(0, 60, 12):
+        spark.createDataFrame(data[k : k + 12], schema).coalesce(1).write.mode("append").parquet(folder)
+    source = jobs.file_stream(spark, folder, spark.createDataFrame(data, schema).schema, files_per_trigger=1)
+    scored = stateful.scored_stream(source, 3600.0, "2 hours", rapid=4)
+    stored = str(tmp_path / "all")
+    write = jobs.fan_out(applications.aggregated(jobs.append_batches(out)), jobs.append_batches(stored))
+    jobs.finish(jobs.batches(scored, write, str(tmp_path / "cp")))
+    everything = spark.read.parquet(stored)
+    assert everything.where("before_risk_score <> risk_score").count() > 0
+    final = stateful.newest_revisions(everything)
+    assert final.count() == 60
+    columns = ("window_start", "transaction_count", "total_amount", F.round("avg_risk_score", 6).alias("r"))
+    assert rows(applications.category_totals(spark.read.parquet(out)), *columns) == rows(category_windows(final), *columns)
+
+
+def test_idle_users_leave_the_state(spark, tmp_path):
+    schema = "transaction_id long, user_id long, timestamp timestamp, amount double, merchant_category string, merchant_id long"
+    folder = str(tmp_path / "in")
+    for n, (user, day) in enumerate([(1, 0), (2, 0), (3, 5), (3, 10), (3, 11)]):
+        row = [(n, user, START + timedelta(days=day), 1.0, "c", 1)]
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(folder)
+    source = jobs.file_stream(spark, folder, spark.createDataFrame([], schema).schema, files_per_trigger=1)
+    writer = jobs.batches(
+        stateful.velocity_on_arrival(source, 300, "1 hour"), jobs.append_batches(str(tmp_path / "out")), str(tmp_path / "cp")
+    )
+    query = jobs.start(writer)
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    held = spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "rows").load(str(tmp_path / "cp"))
+    assert [r[0] for r in held.select("key.user_id").distinct().collect()] == [3]
+
+
 def test_user_statistics(spark, event_files):
     path, table = event_files
     got = jobs.run_to_table(

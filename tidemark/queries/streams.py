@@ -122,7 +122,7 @@ def _(spark, folder):
         spark, folder, "user-windows",
         lambda rows: jobs.user_windows(rows, "5 seconds", "24 hours", "12 hours"), transaction_stream,
     )
-    return windows.withColumn("merchants", F.size("unique_merchants_1h"))
+    return windows.withColumnRenamed("unique_merchants_1h", "merchants")
 
 
 @query("stream_sessions", "user_id metric_type event_count window_start:t window_end:t",
@@ -214,7 +214,7 @@ def _(spark, folder):
         rapid=4,
         z=1.5,
     )
-    return jobs.run_to_table(scored, "scored")
+    return stateful.newest_revisions(jobs.run_to_table(scored, "scored"))
 
 
 @query("stream_logs", "date:d event_type alert_required rows known",

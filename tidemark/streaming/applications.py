@@ -57,9 +57,10 @@ def fraud_application(
 ):
     """One writer for all scored transactions, their alerts and the category aggregates.
 
-    Transactions are scored in the batch that brings them. The batch is computed once, from
-    one state store and one reading of the topic, and handed to the three batch functions;
-    with ``bad``, messages that cannot be decoded go there by a writer of their own.
+    Transactions are scored in the batch that brings them, and again when an earlier one comes
+    late: ``write_all`` and ``write_alerts`` get the corrections with a higher ``revision``. The
+    batch is computed once, from one state store and one reading of the topic, and handed to
+    the three batch functions; with ``bad``, messages that cannot be decoded go there by a writer of their own.
     """
     scored = stateful.scored_stream(decode_transactions(messages))
 
@@ -86,17 +87,22 @@ def topic_batches(servers: str, topic: str):
 def aggregated(write):
     """Batch function that writes the five-minute category sums of a batch.
 
-    A window can span batches, so rows carry sums and counts that add up by window; the
-    batch id keeps a repeated batch from being counted twice.
+    A window can span batches, so rows carry sums and counts that add up by window; a correction
+    changes the risk by the difference only. The batch id keeps a repeated batch from being
+    counted twice.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        new, change = F.lit(True), F.col("risk_score")
+        if "revision" in batch.columns:
+            new = F.col("revision") == 0
+            change = change - F.coalesce("before_risk_score", F.lit(0.0))
         sums = (
             batch.groupBy(F.window("timestamp", "5 minutes"), "merchant_category")
             .agg(
-                F.count(F.lit(1)).alias("transaction_count"),
-                F.sum("amount").alias("total_amount"),
-                F.sum("risk_score").alias("total_risk_score"),
+                F.count_if(new).alias("transaction_count"),
+                F.sum(F.when(new, F.col("amount"))).alias("total_amount"),
+                F.sum(change).alias("total_risk_score"),
             )
             .select(
                 F.col("window.start").alias("window_start"),

@@ -48,19 +48,43 @@ def category_windows(scored: DataFrame, delay="1 hour", length="5 minutes") -> D
     return agg.category_windows(with_watermark(scored, "timestamp", delay), length=length)
 
 
-def user_windows(
+def user_window_merchants(
     transactions: DataFrame, delay="1 hour", length="1 hour", slide="10 minutes"
 ) -> DataFrame:
-    """Per user and sliding window: count, amounts, deviation, distinct merchants (sorted)."""
+    """Per user, sliding window and merchant: rows, known amounts, their sum and spread."""
+    known = F.count("amount")
     return (
         with_watermark(transactions, "timestamp", delay)
-        .groupBy("user_id", F.window("timestamp", length, slide))
+        .groupBy("user_id", F.window("timestamp", length, slide).alias("window"), "merchant_id")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            known.alias("known"),
+            F.sum("amount").alias("total"),
+            (F.var_pop("amount") * known).alias("spread"),
+        )
+    )
+
+
+def user_windows(
+    transactions: DataFrame, delay="1 hour", length="1 hour", slide="10 minutes"
+) -> DataFrame:
+    """Per user and sliding window: count, amounts, deviation, number of distinct merchants.
+
+    Merchants are grouped first and counted in a second aggregation, so a state row holds a few
+    numbers however many merchants a user has; ``user_window_merchants`` lists them.
+    """
+    rows, known, total = F.sum("rows"), F.sum("known"), F.sum("total")
+    between = F.sum(F.try_divide(F.col("total") * F.col("total"), F.col("known")))
+    spread = F.sum("spread") + between - F.try_divide(total * total, known)
+    return (
+        user_window_merchants(transactions, delay, length, slide)
+        .groupBy("user_id", "window")
         .agg(
-            F.count(F.lit(1)).alias("transaction_count_1h"),
-            F.sum("amount").alias("total_amount_1h"),
-            F.avg("amount").alias("avg_amount_1h"),
-            F.stddev("amount").alias("std_amount_1h"),
-            F.array_sort(F.collect_set("merchant_id")).alias("unique_merchants_1h"),
+            rows.alias("transaction_count_1h"),
+            total.alias("total_amount_1h"),
+            F.try_divide(total, known).alias("avg_amount_1h"),
+            F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), known - 1)).alias("std_amount_1h"),
+            F.count("merchant_id").alias("unique_merchants_1h"),
         )
         .select(
             "user_id",

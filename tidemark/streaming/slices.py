@@ -157,6 +157,76 @@ class MaxLifeSessions(InSlices):
         }
 
 
+def window_measures(times, numbers, at, span, counted=None) -> dict:
+    """Count, sum, mean and deviation of the rows within ``span`` before each time of ``at``.
+
+    ``times`` are sorted, both ends count. A NaN number counts as a row but has no part in sum,
+    mean and deviation. ``counted`` says which rows take part, all by default.
+    """
+    counted = np.ones(len(times), bool) if counted is None else counted
+    known = counted & ~np.isnan(numbers)
+    # Moved by a whole number, so sums of whole numbers stay whole.
+    middle = np.round(numbers[known].mean()) if known.any() else 0.0
+    moved = np.where(known, numbers - middle, 0.0)
+    low, high = np.searchsorted(times, at - span, "left"), np.searchsorted(times, at, "right")
+
+    def within(values):
+        sums = np.concatenate([[0], np.cumsum(values)])
+        return sums[high] - sums[low]
+
+    count, priced, total, squares = map(within, (counted, known, moved, moved * moved))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.where(priced > 0, total / priced, np.nan)
+        spread = np.maximum(squares - priced * mean * mean, 0.0)
+        std = np.where(priced > 1, np.sqrt(spread / (priced - 1)), np.nan)
+    return {
+        "transaction_count_1h": count,
+        "total_amount_1h": np.where(priced > 0, total + priced * middle, np.nan),
+        "avg_amount_1h": mean + middle,
+        "std_amount_1h": std,
+    }
+
+
+def with_nulls(values) -> pd.Series:
+    """NaN as null."""
+    return pd.Series(values).astype(object).where(~np.isnan(values), None)
+
+
+class TrailingVelocity(InSlices):
+    """Count, sum, mean and deviation of the user's amounts over the trailing span.
+
+    The state holds times and amounts of the last span.
+    """
+
+    template = (
+        "user_id {user}, transaction_id {id}, timestamp timestamp, merchant_category string, "
+        "amount double, transaction_count_1h bigint, total_amount_1h double, "
+        "avg_amount_1h double, std_amount_1h double"
+    )
+    state_schema = "times array<bigint>, numbers array<double>"
+
+    def __init__(self, span_seconds: float):
+        self.span = int(span_seconds * 1_000_000)
+
+    def follow(self, slices):
+        old = self.state.get() if self.state.exists() else ([], [])
+        at = _joined(slices["times"].tolist())
+        new = _joined(slices["numbers"].tolist(), np.float64)
+        times = np.concatenate([np.asarray(old[0], np.int64), at])
+        numbers = np.concatenate([np.asarray(old[1], np.float64), new])
+        stays = times >= int(slices["slice_end"].iloc[-1]) - self.span
+        self.state.update((times[stays].tolist(), numbers[stays].tolist()))
+        found = window_measures(times, numbers, at, self.span)
+        return {
+            "transaction_id": [i for ids in slices["ids"] for i in ids],
+            "timestamp": _time(at),
+            "merchant_category": [t for texts in slices["texts"] for t in texts],
+            "amount": with_nulls(new),
+            "transaction_count_1h": found.pop("transaction_count_1h"),
+            **{name: with_nulls(values) for name, values in found.items()},
+        }
+
+
 class UserStatistics(InSlices):
     """Running count, mean amount and session number of a user, one row per batch of slices.
 
@@ -193,12 +263,12 @@ def run_in_slices(
 ) -> DataFrame:
     """Apply a processor per user to ``measures(rows)`` of every slice.
 
-    ``rows`` is the sorted array of ``at`` (microseconds), ``id``, ``text`` and ``number`` of a
-    slice's rows, as far as the stream has such columns.
+    ``rows`` is the sorted array of ``at`` (microseconds), ``id``, and ``mark``, ``number`` and
+    ``text`` of a slice's rows, as far as the stream has such columns.
     """
     use_rocksdb(stream.sparkSession)
     fields = [F.unix_micros(time).alias("at"), F.col(id).alias("id")]
-    fields += [F.col(c) for c in ("mark", "number") if c in stream.columns]
+    fields += [F.col(c) for c in ("mark", "number", "text") if c in stream.columns]
     row = F.struct(*fields)
     if "mark" in stream.columns:
         # Rows without a mark keep the watermark moving but are not collected.
@@ -282,3 +352,29 @@ def user_statistics(
         }
 
     return run_in_slices(numbered, UserStatistics(gap_seconds), measures, delay, slice)
+
+
+def trailing_velocity(
+    transactions: DataFrame, span_seconds=3600.0, delay="5 seconds", slice=SLICE
+) -> DataFrame:
+    """Trailing velocity of every transaction, once, when the watermark has passed it."""
+    rows = transactions.select(
+        "user_id",
+        F.col("timestamp").alias("ts"),
+        F.col("transaction_id").alias("id"),
+        F.col("merchant_category").cast("string").alias("text"),
+        F.col("amount").cast("double").alias("number"),
+    )
+    not_known = F.lit(float("nan"))
+    return run_in_slices(
+        rows,
+        TrailingVelocity(span_seconds),
+        lambda rows: {
+            "times": rows["at"],
+            "ids": rows["id"],
+            "texts": rows["text"],
+            "numbers": F.transform(rows["number"], lambda x: F.coalesce(x, not_known)),
+        },
+        delay,
+        slice,
+    )

@@ -1,304 +1,170 @@
-"""Stateful stream operators that the built-in aggregates cannot express.
-
-All of them first put the rows of a key into event-time order: rows wait in state until
-the watermark has passed them and are then handled oldest first, so a result does not
-depend on arrival order or on how rows were cut into micro-batches. A key never holds
-more than the allowed lateness plus one micro-batch, whose size the source limits; for
-tables with very large users the batch forms in ``operators.sequences`` split the user.
-"""
+"""Scoring on arrival: every transaction at once, and again when an earlier one comes late."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.session import use_rocksdb
+from tidemark.streaming.slices import window_measures, with_nulls
 
-WAITING = "time_us bigint, id {id}, text string, number double"
-
-
-def _micros(column: pd.Series) -> pd.Series:
-    return column.astype("datetime64[us]").astype("int64")
-
-
-def _time(micros) -> pd.Series:
-    return pd.to_datetime(pd.Series(micros, dtype="int64"), unit="us")
-
-
-class InOrder(StatefulProcessor):
-    """Base: columns user_id, ts, id, text, number; subclasses handle ordered rows."""
-
-    template: str  # output columns; {user} and {id} stand for the types of the keys
-
-    def typed(self, user: str, id: str) -> InOrder:
-        self.waiting_schema = WAITING.format(id=id)
-        self.schema = self.template.format(user=user, id=id)
-        return self
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.waiting_schema)
-        self.open(handle)
-
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        raise NotImplementedError
-
-    def ordered(self, key, rows: list[tuple]) -> list[tuple]:
-        """Output tuples for rows (time_us, id, text, number) in order."""
-        raise NotImplementedError
-
-    def output(self, tuples: list[tuple]) -> pd.DataFrame:
-        raise NotImplementedError
+MEASURES = ("transaction_count_1h", "total_amount_1h", "avg_amount_1h", "std_amount_1h")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            times = _micros(part["ts"])
-            self.waiting.appendList(
-                list(
-                    zip(
-                        times.tolist(),
-                        part["id"].tolist(),
-                        part["text"].tolist(),
-                        part["number"].tolist(),
-                    )
-                )
-            )
-            low = int(times.min())
-            first = low if first is None else min(first, low)
-        if first is not None:
-            self.handle.registerTimer(first // 1000)
-        return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        limit = timerValues.getCurrentWatermarkInMs()
-        held = list(self.waiting.get())
-        ready = sorted(r for r in held if r[0] // 1000 <= limit)
-        rest = [r for r in held if r[0] // 1000 > limit]
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(min(r[0] for r in rest) // 1000)
-        else:
-            self.waiting.clear()
-        out = self.ordered(key, ready) if ready else []
-        if out:
-            yield self.output(out)
-
-    def close(self) -> None:
-        pass
-
-
-class TrailingVelocity(InOrder):
-    """Count, sum, mean and deviation of the user's amounts over the trailing span."""
+class ArrivalVelocity(StatefulProcessor):
+    """Trailing measures of the rows of one user and one slice of event time.
+
+    A slice is as long as the span, so the windows of its rows reach no further back than the
+    slice before; rows of that one come along as contributors (not ``own``). A row is given
+    out in the micro-batch that brings it, with revision 0; a row that arrives later and lies
+    in its window makes it come out again with the next revision and what it said before.
+    When the watermark has passed the end of a slice nothing can change there, and a timer
+    clears its state: a user who never returns leaves nothing behind.
+    """
 
+    held = "times array<bigint>, numbers array<double>, ids array<{id}>, texts array<string>, own array<boolean>, revisions array<int>"
     template = (
         "user_id {user}, transaction_id {id}, timestamp timestamp, merchant_category string, "
         "amount double, transaction_count_1h bigint, total_amount_1h double, "
-        "avg_amount_1h double, std_amount_1h double"
+        "avg_amount_1h double, std_amount_1h double, revision int, "
+        "before_transaction_count_1h bigint, before_total_amount_1h double, "
+        "before_avg_amount_1h double, before_std_amount_1h double"
     )
 
     def __init__(self, span_seconds: float):
         self.span = int(span_seconds * 1_000_000)
 
-    def open(self, handle):
-        self.recent = handle.getListState("recent", "time_us bigint, number double")
-
-    def ordered(self, key, rows):
-        window = sorted(tuple(r) for r in self.recent.get()) if self.recent.exists() else []
-        count, begin, out, position = len(window), 0, [], 0
-        known = [a for _, a in window if not math.isnan(a)]
-        priced, total, squares = len(known), math.fsum(known), math.fsum(a * a for a in known)
-
-        def change(number, sign):
-            nonlocal count, priced, total, squares
-            count += sign
-            if not math.isnan(number):
-                priced += sign
-                total += sign * number
-                squares += sign * number * number
-
-        while position < len(rows):
-            time_us = rows[position][0]
-            peers = []
-            while position < len(rows) and rows[position][0] == time_us:
-                peers.append(rows[position])
-                position += 1
-            for r in peers:
-                window.append((r[0], math.nan if r[3] is None else r[3]))
-                change(window[-1][1], 1)
-            while window[begin][0] < time_us - self.span:
-                change(window[begin][1], -1)
-                begin += 1
-            # An amount that is not known counts as a row, but has no part in the sums.
-            mean = total / priced if priced else None
-            spread = max(squares - priced * mean * mean, 0.0) if priced else None
-            std = math.sqrt(spread / (priced - 1)) if priced > 1 else None
-            for r in peers:
-                number = None if r[3] is None or math.isnan(r[3]) else r[3]
-                out.append(
-                    (key[0], r[1], time_us, r[2], number, count, total if priced else None, mean, std)
-                )
-        self.recent.put(window[begin:])
-        return out
-
-    def output(self, tuples):
-        names = [f.split()[0] for f in self.schema.split(", ")]
-        frame = pd.DataFrame(tuples, columns=names)
-        frame["timestamp"] = _time(frame["timestamp"])
-        return frame
-
-
-class ArrivalVelocity(StatefulProcessor):
-    """The same measures, given at once for every row that arrives.
-
-    A row is measured against the rows known when its micro-batch ends. The state holds the
-    trailing span and the allowed lateness before the user's newest row.
-    """
-
-    def __init__(self, span_seconds: float, late_seconds: float):
-        self.span = int(span_seconds * 1_000_000)
-        self.late = int(late_seconds * 1_000_000)
-
     def typed(self, user: str, id: str) -> ArrivalVelocity:
-        self.schema = TrailingVelocity.template.format(user=user, id=id)
+        self.schema = self.template.format(user=user, id=id)
+        self.state_schema = self.held.format(id=id)
+        self.names = [f.split()[0] for f in self.state_schema.split(", ")]
         return self
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", "time_us bigint, number double")
+        self.handle = handle
+        self.state = handle.getValueState("rows", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        at = _micros(new["ts"]).to_numpy()
-        numbers = new["number"].to_numpy(float)
-        old = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
-        times = np.concatenate([np.array([t for t, _ in old], np.int64), at])
-        amounts = np.concatenate([np.array([a for _, a in old], float), numbers])
-        order = np.argsort(times, kind="stable")
-        times, amounts = times[order], amounts[order]
-        known = ~np.isnan(amounts)
-        middle = amounts[known].mean() if known.any() else 0.0
-        moved = np.where(known, amounts - middle, 0.0)
-        sums = [np.concatenate([[0], np.cumsum(v)]) for v in (known, moved, moved * moved)]
-        low = np.searchsorted(times, at - self.span, "left")
-        high = np.searchsorted(times, at, "right")
-        priced, total, squares = (s[high] - s[low] for s in sums)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mean = np.where(priced > 0, total / priced, np.nan)
-            spread = np.maximum(squares - priced * mean * mean, 0.0)
-            std = np.where(priced > 1, np.sqrt(spread / (priced - 1)), np.nan)
-        stays = times >= times[-1] - self.span - self.late
-        self.recent.put(list(zip(times[stays].tolist(), amounts[stays].tolist())))
-        values = {
-            "total_amount_1h": np.where(priced > 0, total + priced * middle, np.nan),
-            "avg_amount_1h": mean + middle,
-            "std_amount_1h": std,
-        }
-        yield pd.DataFrame(
+        part = pd.concat(list(rows), ignore_index=True)
+        new = pd.DataFrame(
             {
-                "user_id": [key[0]] * len(new),
-                "transaction_id": new["id"],
-                "timestamp": new["ts"],
-                "merchant_category": new["text"],
-                "amount": new["number"].astype(object).where(new["number"].notna(), None),
-                "transaction_count_1h": high - low,
-                **{k: pd.Series(v).astype(object).where(~np.isnan(v), None) for k, v in values.items()},
+                "times": part["ts"].astype("datetime64[us]").astype("int64"),
+                "numbers": part["number"].astype("float64"),
+                "ids": part["id"],
+                "texts": part["text"],
+                "own": part["own"].astype(bool),
+                "revisions": -1,
             }
         )
+        # What is behind the watermark may belong to a slice that has been cleared.
+        new = new[new["times"] >= timerValues.getCurrentWatermarkInMs() * 1000]
+        if not len(new):
+            return
+        old = [*self.state.get()] if self.state.exists() else [[] for _ in self.names]
+        both = {
+            name: np.concatenate([np.asarray(before, dtype=new[name].dtype), new[name].to_numpy()])
+            for name, before in zip(self.names, old, strict=True)
+        }
+        fresh = np.arange(len(both["times"])) >= len(old[0])
+        order = np.argsort(both["times"], kind="stable")
+        both, fresh = {n: v[order] for n, v in both.items()}, fresh[order]
+        times, numbers, own = both["times"], both["numbers"], both["own"]
+        touched = window_measures(times, np.zeros(len(times)), times, self.span, fresh)
+        changed = own & (touched["transaction_count_1h"] > 0)
+        again = changed & ~fresh
+        both["revisions"] = both["revisions"] + changed
+        if key[1] is not None:  # a row without a time waits for nothing
+            self.handle.registerTimer((int(key[1]) + 1) * self.span // 1000 + 1)
+        self.state.update(tuple(both[n].tolist() for n in self.names))
+        if not changed.any():
+            return
+        at = times[changed]
+        now = window_measures(times, numbers, at, self.span)
+        before = window_measures(times, numbers, at, self.span, ~fresh)
+        first = ~again[changed]
+        frame = {
+            "user_id": [key[0]] * len(at),
+            "transaction_id": both["ids"][changed],
+            "timestamp": pd.to_datetime(pd.Series(at), unit="us"),
+            "merchant_category": both["texts"][changed],
+            "amount": with_nulls(numbers[changed]),
+            **{n: now[n] if n == MEASURES[0] else with_nulls(now[n]) for n in MEASURES},
+            "revision": both["revisions"][changed],
+            **{f"before_{n}": with_nulls(np.where(first, np.nan, before[n])) for n in MEASURES},
+        }
+        yield pd.DataFrame(frame)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def run_in_order(
-    stream: DataFrame,
-    processor: InOrder,
-    delay="5 seconds",
-    time="ts",
-    id="id",
-    text=None,
-    number=None,
-    keep=None,
+def velocity_on_arrival(
+    transactions: DataFrame, span_seconds=3600.0, delay="1 hour"
 ) -> DataFrame:
-    """Apply a processor per user to a stream with the given column roles.
+    """Trailing velocity of every row in the micro-batch it arrives in, and its corrections.
 
-    ``keep`` selects the rows that are shuffled to the processor. All rows still move the
-    watermark: the filter has a part that differs per task (and is never true), so it is
-    not pushed below the watermark.
+    A row has revision 0 first. Rows may come ``delay`` behind the newest one in any order and
+    number per micro-batch: the last revision of each row is the same (``newest_revisions``).
     """
-    from pyspark.sql import functions as F
-
-    use_rocksdb(stream.sparkSession)
-    rows = stream.select(
-        "user_id",
-        F.col(time).alias("ts"),
-        F.col(id).alias("id"),
-        (F.lit("") if text is None else text).cast("string").alias("text"),
-        (F.lit(0.0) if number is None else number).cast("double").alias("number"),
-    )
-    types = dict(rows.dtypes)
-    processor = processor.typed(types["user_id"], types["id"])
-    timed = rows.withWatermark("ts", delay)
-    if keep is not None:
-        timed = timed.where(keep | (F.spark_partition_id() < 0))
-    return (
-        timed.groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=processor,
-            outputStructType=processor.schema,
-            outputMode="append",
-            timeMode="eventTime",
-        )
-    )
-
-
-def trailing_velocity(transactions: DataFrame, span_seconds=3600.0, delay="5 seconds"):
-    from pyspark.sql import functions as F
-
-    return run_in_order(
-        transactions,
-        TrailingVelocity(span_seconds),
-        delay,
-        "timestamp",
-        "transaction_id",
-        F.col("merchant_category"),
-        F.col("amount"),
-    )
-
-
-def velocity_on_arrival(transactions: DataFrame, span_seconds=3600.0, late_seconds=3600.0):
-    """Trailing velocity that every row gets in the micro-batch it arrives in."""
-    from pyspark.sql import functions as F
-
     use_rocksdb(transactions.sparkSession)
-    rows = transactions.select(
-        "user_id",
-        F.col("timestamp").alias("ts"),
-        F.col("transaction_id").alias("id"),
-        F.col("merchant_category").cast("string").alias("text"),
-        F.col("amount").cast("double").alias("number"),
+    span = int(span_seconds * 1_000_000)
+    slice = F.floor(F.unix_micros("ts") / span)
+    rows = (
+        transactions.select(
+            "user_id",
+            F.col("timestamp").alias("ts"),
+            F.col("transaction_id").alias("id"),
+            F.col("merchant_category").cast("string").alias("text"),
+            F.col("amount").cast("double").alias("number"),
+        )
+        .withWatermark("ts", delay)
+        .where(F.col("ts").isNotNull())
+        .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
+        .withColumn("slice", F.when(F.col("own"), slice).otherwise(slice + 1))
     )
     types = dict(rows.dtypes)
-    processor = ArrivalVelocity(span_seconds, late_seconds).typed(types["user_id"], types["id"])
-    return rows.groupBy("user_id").transformWithStateInPandas(
+    processor = ArrivalVelocity(span_seconds).typed(types["user_id"], types["id"])
+    return rows.groupBy("user_id", "slice").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.schema,
         outputMode="append",
-        timeMode="none",
+        timeMode="eventTime",
     )
 
 
-def scored_stream(transactions: DataFrame, span_seconds=3600.0, late_seconds=3600.0, **rule_options):
-    """Velocity, flags, z-score, rules and risk score for every transaction on arrival."""
+def scored_stream(transactions: DataFrame, span_seconds=3600.0, delay="1 hour", **rule_options):
+    """Velocity, flags, z-score, rules and risk score for every transaction on arrival.
+
+    A correction has a ``revision`` above 0 and ``before_risk_score``, the score it replaces.
+    """
     from tidemark.functions import rules
     from tidemark.functions.numbers import zscore_or_zero
 
-    enriched = rules.stream_flags(velocity_on_arrival(transactions, span_seconds, late_seconds))
-    with_z = enriched.withColumn(
-        "amount_zscore", zscore_or_zero("amount", "avg_amount_1h", "std_amount_1h")
-    )
-    return rules.stream_rules(with_z, **rule_options)
+    def scored(df: DataFrame) -> DataFrame:
+        z = zscore_or_zero("amount", "avg_amount_1h", "std_amount_1h")
+        return rules.stream_rules(df.withColumn("amount_zscore", z), **rule_options)
+
+    flagged = rules.stream_flags(velocity_on_arrival(transactions, span_seconds, delay))
+    own = [c for c in flagged.columns if not c.startswith("before_")]
+    replaced = [F.col(f"before_{m}").alias(m) for m in MEASURES]
+    others = [c for c in own if c not in MEASURES]
+    earlier = scored(flagged.select(*others, *replaced, F.struct(*MEASURES).alias("_now")))
+    was = F.when(F.col("revision") > 0, F.col("risk_score"))
+    now = earlier.select(*others, "_now.*", was.alias("before_risk_score"))
+    return scored(now.select(*own, "before_risk_score"))
+
+
+def newest_revisions(scored: DataFrame, key="transaction_id") -> DataFrame:
+    """The last revision of every transaction of a stored result."""
+    from tidemark.operators.sequences import newest_per_key
+
+    return newest_per_key(scored, [key], ["revision"])
