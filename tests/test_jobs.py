@@ -14,7 +14,7 @@ from tidemark.operators import sequences as seq
 from tidemark.plans import detector, lake as reports, warehouse
 from tidemark.sources import databases, files, lake, messages
 from tidemark.plans import daily
-from tidemark.streaming import applications, jobs, slices, stateful
+from tidemark.streaming import applications, jobs, progress, rule_versions, slices, stateful
 
 START = datetime(2024, 1, 1)
 
@@ -252,6 +252,53 @@ def test_a_user_with_half_of_the_rows_is_sliced(spark, one_large_user):
     assert rows(last.select("user_id", "s.*"), *columns) == rows(sums.join(sessions, "user_id"), *columns)
 
 
+def test_events_get_the_rule_of_their_time(spark, tmp_path):
+    """Versions that come early, late (within the delay) and twice, over several batches."""
+    chance = random.Random(6)
+    event_schema = "id long, kind string, ts timestamp, note string"
+    data = [
+        (i, chance.choice(["a", "b", None]), START + timedelta(seconds=10 * i, microseconds=i), None if i % 5 else "n")
+        for i in range(120)
+    ]
+    versions = [
+        ("a", START + timedelta(seconds=100), 1, 0.5), ("a", START + timedelta(seconds=700), 2, None),
+        (None, START + timedelta(seconds=300, microseconds=30), 3, 2.5), ("a", START + timedelta(days=9), 4, 1.0),
+    ]
+    places, rules = str(tmp_path / "events"), str(tmp_path / "rules")
+    schema = "kind string, valid_from timestamp, version int, most double"
+    for k in range(0, 120, 30):
+        spark.createDataFrame(data[k : k + 30], event_schema).coalesce(1).write.mode("append").parquet(places)
+    spark.createDataFrame([(999, "z", START + timedelta(days=1), None)], event_schema).coalesce(1).write.mode("append").parquet(places)
+    # The version valid from second 100 arrives with the batch that ends at second 600.
+    for row in ([versions[3], versions[2]], [versions[0]], [versions[1]], [versions[1]]):
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(rules)
+    got = jobs.run_to_table(
+        rule_versions.with_rule_versions(
+            jobs.file_stream(spark, places, spark.createDataFrame([], event_schema).schema, files_per_trigger=1),
+            jobs.file_stream(spark, rules, spark.createDataFrame([], schema).schema, files_per_trigger=1),
+            "kind", delay="20 minutes", salts=3,
+        ),
+        "judged",
+    ).where("id < 999")
+    assert got.columns == ["id", "kind", "ts", "note", "version", "most"]
+    want = []
+    for row in data:
+        valid = [v for v in versions if v[0] == row[1] and v[1] <= row[2]]
+        want.append((*row, *(max(valid, key=lambda v: v[1])[2:] if valid else (None, None))))
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_lag_of_topics(spark):
+    log = [
+        ("q", "r", None, 0, "t", "s", None, '{"a":{"0":3}}', '{"a":{"0":5,"1":2}}', 3),
+        ("q", "r", None, 1, "t", "s", None, '{"a":{"0":5,"1":1},"b":{"0":0}}', '{"a":{"0":9,"1":2},"b":{"0":7}}', 4),
+    ]
+    got = progress.topic_lag(spark.createDataFrame(log, progress.PROGRESS))
+    assert rows(got, "topic", "partition", "lag") == [("a", 0, 4), ("a", 1, 1), ("b", 0, 7)]
+    read = progress.rows_read(spark.createDataFrame(log, progress.PROGRESS))
+    assert rows(read, "rows_read", "last_batch") == [(7, 1)]
+
+
 def test_hourly_archive_and_fan_out(spark, event_files, tmp_path):
     path, table = event_files
     out = str(tmp_path / "archive")

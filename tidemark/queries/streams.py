@@ -7,7 +7,7 @@ from tidemark.model import fraud_columns, table
 from tidemark.operators.sequences import fixed_life_sessions
 from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
-from tidemark.streaming import jobs, slices, stateful
+from tidemark.streaming import jobs, progress, rule_versions, slices, stateful
 
 
 class Closing:
@@ -259,3 +259,53 @@ def _(spark, folder):
     kept = spark.read.parquet(good).select(F.lit(None).cast("string").alias("error"))
     lost = spark.read.parquet(bad).select("error")
     return kept.unionByName(lost).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("stream_rule_versions", "transaction_id version over_limit",
+       f"""SELECT transaction_id,
+               CASE WHEN timestamp >= TIMESTAMP '2024-01-16' THEN 2 WHEN timestamp >= TIMESTAMP '2024-01-03' THEN 1 END AS version,
+               amount > CASE WHEN timestamp >= TIMESTAMP '2024-01-16' THEN length(merchant_category) * 20
+                   WHEN timestamp >= TIMESTAMP '2024-01-03' THEN length(merchant_category) * 10 END AS over_limit
+           FROM {FRAUD_SQL}""")
+def _(spark, folder):
+    """Two versions of each category's limit; before the first an event has no rule."""
+    kinds = table(spark, folder, "events").select(F.col("event_type").alias("merchant_category")).distinct()
+    path = jobs.shared_folder(spark, "versions")
+    for version, day in ((2, "2024-01-16"), (1, "2024-01-03")):
+        kinds.select(
+            "merchant_category", F.lit(day).cast("timestamp").alias("valid_from"), F.lit(version).alias("version"),
+            (F.length("merchant_category") * (10 * version)).alias("amount_limit"),
+        ).write.mode("append").parquet(path)
+    versions = jobs.file_stream(spark, path, spark.read.parquet(path).schema)
+    judged = whole(
+        spark, folder, "judged",
+        lambda rows: rule_versions.with_rule_versions(rows, versions, "merchant_category", "timestamp"),
+        transaction_stream,
+    )
+    return judged.withColumn("over_limit", F.col("amount") > F.col("amount_limit"))
+
+
+@query("running_lag", "rows_in rows_read lag",
+       """SELECT count(*) AS rows_in, count(*) FILTER (event_id % 8 < 5) AS rows_read,
+              count(*) FILTER (event_id % 8 >= 5) AS lag FROM events""")
+def _(spark, folder):
+    """A query has read five of eight parts of the events when the others arrive."""
+    events, path = table(spark, folder, "events"), jobs.shared_folder(spark, "parts")
+    log = progress.ProgressTable(spark, jobs.shared_folder(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        events.where("event_id % 8 < 5").write.parquet(path)
+        counts = jobs.window_counts(event_columns(jobs.file_stream(spark, path, events.schema)))
+        sink, state = jobs.shared_folder(spark, "lag"), jobs.shared_folder(spark, "lag-state")
+        running = jobs.start(jobs.batches(counts, jobs.append_batches(sink), state, "update"))
+        running.awaitTermination()
+        log.wait(running)
+    finally:
+        spark.streams.removeListener(log)
+    events.where("event_id % 8 >= 5").write.mode("append").parquet(path)
+    read = progress.rows_read(log.read()).where(F.col("query_id") == str(running.id))
+    none = F.lit(0).cast("long")
+    arrived = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_in")).withColumn("rows_read", none)
+    done = read.agg(F.sum("rows_read").alias("rows_read")).withColumn("rows_in", none)
+    both = arrived.unionByName(done).agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_read").alias("rows_read"))
+    return both.withColumn("lag", F.col("rows_in") - F.col("rows_read"))
