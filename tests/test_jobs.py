@@ -12,7 +12,7 @@ from tidemark.model import EVENT_SCHEMA, METRICS_SCHEMA, require_schema
 from tidemark.operators import graph
 from tidemark.operators import sequences as seq
 from tidemark.plans import detector, lake as reports, warehouse
-from tidemark.sources import databases, files, lake, messages
+from tidemark.sources import databases, files, lake, messages, switched
 from tidemark.plans import daily
 from tidemark.streaming import applications, jobs, progress, rule_versions, slices, stateful
 
@@ -382,6 +382,61 @@ def test_storage(spark, tmp_path):
     assert volume[0][1] >= 1 and volume[0][2] > 0
 
 
+def test_a_failure_before_the_switch_leaves_the_table_whole(spark, tmp_path, monkeypatch):
+    def whole(df):
+        return rows(df, "transaction_id", "date", "amount")
+
+    data = spark.range(60).select(
+        F.col("id").alias("transaction_id"), F.col("id").cast("double").alias("amount"),
+        (F.lit(START).cast("timestamp") + F.make_dt_interval(hours=F.col("id"))).alias("timestamp"),
+    ).withColumn("date", F.when(F.col("transaction_id") < 55, F.to_date("timestamp")))
+
+    class Died(Exception):
+        pass
+
+    def dies(*_):
+        raise Died
+
+    archive, as_of = str(tmp_path / "archive"), F.lit(START + timedelta(hours=30)).cast("timestamp")
+    switched.create_table(data, "kept_rows", str(tmp_path / "kept"), ["date"])
+    root = str(tmp_path / "root")
+    switched.create_partitioned(data, root, "kept_parts", "date")
+    changes = data.where("transaction_id in (1, 30, 58)").withColumns(
+        {"date": F.when(F.col("transaction_id") == 1, F.lit(None)).otherwise(F.lit("2024-02-01")).cast("date"), "amount": F.lit(-1.0)}
+    ).select(*data.columns)
+
+    def archived():
+        switched.archive_in_place(spark, "kept_rows", archive, as_of, 0)
+
+    def changed():
+        switched.upsert_partitioned(root, "kept_parts", changes, "transaction_id", "timestamp", "date")
+
+    def parts():
+        return switched.read_partitioned(spark, root, "kept_parts", "date", data.schema)
+
+    before = whole(data)
+    with monkeypatch.context() as patch:
+        patch.setattr(switched, "switch_location", dies)
+        for attempt in (archived, changed):
+            with pytest.raises(Died):
+                attempt()
+    assert whole(spark.table("kept_rows")) == before and whole(parts()) == before
+    archived()
+    changed()
+    assert whole(spark.table("kept_rows")) == whole(data.where("transaction_id >= 30"))
+    old = spark.read.parquet(archive)
+    assert rows(old, "transaction_id") == rows(data.where("transaction_id < 30"), "transaction_id")
+    want = data.join(changes.select("transaction_id"), "transaction_id", "left_anti").select(*data.columns).unionByName(changes)
+    assert whole(parts()) == whole(want)
+    kept = {v for (_, v) in rows(spark.table("kept_parts"), "value", "version")}
+    assert len(kept) == 2  # untouched partitions are still the first version's
+    with pytest.raises(ValueError, match="lists the partitions"):
+        data.write.partitionBy("date").format("parquet").saveAsTable("listed_rows")
+        switched.archive_in_place(spark, "listed_rows", archive, as_of, 0)
+    for name in ("kept_rows", "kept_parts", "listed_rows"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_tables(spark, tmp_path):
     df = spark.range(10).select("id", (F.col("id") % 2).alias("part"))
     lake.replace_table(df, "plain_numbers")

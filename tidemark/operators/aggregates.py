@@ -354,6 +354,26 @@ def daily_users(events: DataFrame, time="ts", error=0.02) -> DataFrame:
     )
 
 
+SKETCH_BITS = 12
+# Three standard errors of a sketch of 2^12 counters.
+SKETCH_BOUND = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def user_sketches(events: DataFrame, time="ts", user="user_id") -> DataFrame:
+    """One sketch of the distinct users per day, to be stored and merged later."""
+    return events.groupBy(F.to_date(time).alias("event_date")).agg(
+        F.hll_sketch_agg(user, SKETCH_BITS).alias("sketch")
+    )
+
+
+def merged_users(sketches: DataFrame, *periods) -> DataFrame:
+    """Estimated distinct users per period of days, from the stored sketches alone."""
+    merged = sketches.groupBy(*periods).agg(
+        F.hll_union_agg("sketch").alias("_sketch"), count_rows().alias("days")
+    )
+    return merged.withColumn("users", F.hll_sketch_estimate("_sketch")).drop("_sketch")
+
+
 def daily_users_exact(events: DataFrame, time="ts") -> DataFrame:
     return events.groupBy(F.to_date(time).alias("event_date")).agg(
         F.countDistinct("user_id").alias("unique_users")

@@ -7,6 +7,7 @@ from tidemark.functions import rules
 from tidemark.operators import aggregates as agg
 from tidemark.operators.filters import stage_events
 from tidemark.plans import warehouse
+from tidemark.session import shared_folder
 from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
 STAGED_SQL = f"""(SELECT id AS event_id, user_id, value AS event_type, ts AS event_ts,
@@ -139,6 +140,24 @@ def _(spark, folder):
     return agg.daily_users(raw_events(spark, folder))
 
 
+@query("weekly_users", "week:d days exact_users within_bound",
+       """SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(DISTINCT CAST(ts AS DATE)) AS days,
+              count(DISTINCT user_id) AS exact_users, true AS within_bound FROM events GROUP BY 1""")
+def _(spark, folder):
+    """Stored sketches of days merged to weeks, held against the exact counts."""
+    events, path = raw_events(spark, folder), shared_folder(spark, "sketches")
+    agg.user_sketches(events).write.parquet(path)
+    week = F.trunc("event_date", "week").alias("week")
+    merged = agg.merged_users(spark.read.parquet(path), week)
+    exact = events.groupBy(F.trunc(F.to_date("ts"), "week").alias("week")).agg(
+        F.countDistinct("user_id").alias("exact_users")
+    )
+    off = F.abs(F.col("users") - F.col("exact_users"))
+    return exact.join(merged, "week").withColumn(
+        "within_bound", off <= F.greatest(F.lit(1.0), F.col("exact_users") * agg.SKETCH_BOUND)
+    )
+
+
 @query("user_activity", "user_id activity_date:d event_count session_count avg_processing_time:6",
        """SELECT user_id, CAST(ts AS DATE) AS activity_date, count(*) AS event_count,
               count(DISTINCT event_type) AS session_count, avg(value) AS avg_processing_time

@@ -1,12 +1,13 @@
 """Queries that write to the shared folder and read back what was written."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.model import batch_transactions, fraud_transactions, latest, table
-from tidemark.operators.quality import malformed_count
 from tidemark.queries.registry import FRAUD_SQL, ORDERS_SQL, query
 from tidemark.session import shared_folder
-from tidemark.sources import databases, files, lake
+from tidemark.sources import databases, files, lake, switched
 
 
 @query("monthly_partitions", "month rows amount:2",
@@ -125,6 +126,41 @@ def _(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("switched_partitions", "transaction_id date:d amount:2",
+       f"""SELECT transaction_id, CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-10'
+               THEN DATE '2024-01-11' ELSE CAST(timestamp AS DATE) END AS date,
+               CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-10' THEN amount + 1 ELSE amount END AS amount
+           FROM {FRAUD_SQL}""")
+def _(spark, folder):
+    """All rows of a day move to the next one in one commit, twice."""
+    root, name = shared_folder(spark, "switched"), f"parts_{uuid.uuid4().hex}"
+    rows = fraud_transactions(spark, folder).withColumn("date", F.to_date("timestamp"))
+    switched.create_partitioned(rows, root, name, "date")
+    changes = rows.where(F.col("date") == "2024-01-10").withColumns(
+        {"date": F.date_add("date", 1), "amount": F.col("amount") + 1}
+    )
+    for _ in range(2):
+        switched.upsert_partitioned(root, name, changes, "transaction_id", "timestamp", "date")
+    return switched.read_partitioned(spark, root, name, "date", rows.schema)
+
+
+@query("archived_in_place", "part day:d rows",
+       f"""SELECT CASE WHEN timestamp < (SELECT max(ts) FROM events) - INTERVAL 10 DAYS THEN 'archived'
+               ELSE 'kept' END AS part, CAST(timestamp AS DATE) AS day, count(*) AS rows FROM {FRAUD_SQL} GROUP BY ALL""")
+def _(spark, folder):
+    """A catalog table loses its old rows to the archive in two runs, the first with fewer days."""
+    place, archive = shared_folder(spark, "stored"), shared_folder(spark, "archive")
+    name = f"stored_{uuid.uuid4().hex}"
+    rows = fraud_transactions(spark, folder).withColumn("day", F.to_date("timestamp"))
+    switched.create_table(rows, name, place, ["day"])
+    newest = latest(rows, "timestamp")
+    for days in (20, 10):
+        switched.archive_in_place(spark, name, archive, newest, days)
+    old = spark.read.parquet(archive).select("day", F.lit("archived").alias("part"))
+    both = spark.table(name).select("day", F.lit("kept").alias("part")).unionByName(old)
+    return both.groupBy("part", "day").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("repeated_batches", "batch_id:i rows amount:2",
        f"""SELECT transaction_id % 3 AS batch_id, count(*) AS rows, sum(amount) AS amount
            FROM {FRAUD_SQL} GROUP BY 1""")
@@ -168,8 +204,9 @@ def json_lines(spark, folder):
        f"""SELECT count(*) AS records, count(*) FILTER (WHERE transaction_type = 'refund') AS malformed_records
            FROM {ORDERS_SQL}""")
 def _(spark, folder):
-    records = json_lines(spark, folder)
-    return malformed_count(records.select("transaction_id", "_corrupt_record"))
+    """Counted while the readable records are written."""
+    counts = files.write_readable(json_lines(spark, folder), shared_folder(spark, "readable"))
+    return spark.createDataFrame([counts], "records long, malformed_records long")
 
 
 @query("json_transactions", "transaction_id user_id timestamp:t amount:2 status",

@@ -7,6 +7,7 @@ from tidemark.model import fraud_columns, table
 from tidemark.operators.sequences import fixed_life_sessions
 from tidemark.queries.registry import EVENTS_SQL, FRAUD_SQL, query
 
+from tidemark.session import shared_folder
 from tidemark.streaming import jobs, progress, rule_versions, slices, stateful
 
 
@@ -240,6 +241,44 @@ def _(spark, folder):
     )
 
 
+@query("collected_logs", "kind date:d event_type rows known unread",
+       f"""WITH logs AS (
+               SELECT *, transaction_id % 50 = 7 AS cut, timestamp + INTERVAL 2 HOURS AS utc FROM {FRAUD_SQL}
+           ), read AS (
+               SELECT CASE WHEN NOT cut THEN CAST(utc AS DATE) END AS date, CASE WHEN NOT cut THEN merchant_category END AS event_type,
+                   CASE WHEN NOT cut THEN o_custkey END AS known, cut
+               FROM logs LEFT JOIN orders ON o_orderkey = transaction_id)
+           SELECT 'logs' AS kind, date, event_type, count(*) AS rows, count(known) AS known, count(*) FILTER (cut) AS unread
+           FROM read GROUP BY ALL
+           UNION ALL SELECT 'alerts', date, event_type, count(*), count(known), 0 FROM read WHERE event_type = 'error' GROUP BY ALL""")
+def _(spark, folder):
+    """JSON lines of files and of a topic, with times two hours behind UTC; some are cut off."""
+    source = fraud_columns(table(spark, folder, "events"))
+    line = F.to_json(F.struct(
+        F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("-02:00")).alias("timestamp"),
+        F.col("merchant_category").alias("event_type"), "transaction_id"))
+    lines = source.select(
+        F.when(F.col("transaction_id") % 50 == 7, F.substring(line, 1, 25)).otherwise(line).alias("value"),
+        (F.col("transaction_id") % 2).alias("from_topic"),
+    )
+    paths = [shared_folder(spark, "log-files"), shared_folder(spark, "log-topic")]
+    lines.where("from_topic = 0").select("value").write.text(paths[0])
+    lines.where("from_topic = 1").select(F.col("value").cast("binary")).write.parquet(paths[1])
+    known = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("merchant_id"),
+    )
+    out = shared_folder(spark, "collected")
+    jobs.finish(jobs.collect_logs(
+        spark.readStream.text(paths[0]), jobs.file_stream(spark, paths[1], "value binary"), known,
+        out, shared_folder(spark, "collected-state"),
+    ))
+    kinds = [spark.read.parquet(f"{out}/{k}").withColumn("kind", F.lit(k)) for k in ("logs", "alerts")]
+    return kinds[0].unionByName(kinds[1]).groupBy("kind", "date", "event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("enriched_user_id").alias("known"), F.count("raw").alias("unread")
+    )
+
+
 @query("stream_dead_letters", "error rows",
        f"""SELECT error, count(*) AS rows FROM (SELECT CASE WHEN merchant_id < 10 THEN 'missing_merchant_id'
                WHEN amount <= 1 THEN 'amount_not_positive' END AS error FROM {FRAUD_SQL}) GROUP BY 1""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,21 @@ def readable_transactions(records: DataFrame, corrupt="_corrupt_record") -> Data
     )
 
 
+def write_readable(records: DataFrame, path: str, corrupt="_corrupt_record") -> dict:
+    """Write the readable records; counts of all and of the malformed ones.
+
+    Both counts are taken by the job that writes, without a second pass over the records.
+    """
+    seen = Observation("records")
+    counted = records.observe(
+        seen,
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.col(corrupt)).alias("malformed_records"),
+    )
+    counted.where(F.col(corrupt).isNull()).drop(corrupt).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def write_log(lines: DataFrame, path: str, time="ts") -> None:
     """Write log lines ordered by time within each file."""
     lines.sortWithinPartitions(time).select("value").write.mode("overwrite").text(path)

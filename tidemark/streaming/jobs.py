@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules
+from tidemark.functions.times import parse_time
 from tidemark.operators import aggregates as agg
 from tidemark.session import shared_folder
 
@@ -147,6 +148,40 @@ def enrich_logs(
     )
 
 
+LOG_SCHEMA = (
+    "timestamp string, level string, component string, message string, event_type string, "
+    "transaction_id bigint"
+)
+
+
+def parse_logs(lines: DataFrame, schema=LOG_SCHEMA, column="value") -> DataFrame:
+    """JSON log lines with their ISO time parsed; a line that is no JSON stays as ``raw``."""
+    wanted = F.from_json(F.col(column).cast("string"), schema + ", raw string", {"columnNameOfCorruptRecord": "raw"})
+    parsed = lines.select(F.inline(F.array(wanted)))
+    return parsed.withColumn("timestamp", parse_time("timestamp"))
+
+
+def collect_logs(files: DataFrame, messages: DataFrame, transactions: DataFrame, folder: str, checkpoint: str):
+    """Writer of all logs of files and a topic to daily folders, and of alerts to others.
+
+    Logs of a transaction get its user and merchant. Every batch owns its folders below
+    ``logs`` and ``alerts``, so a batch that is run again replaces them; it is computed once for
+    both. Lines without a readable time are kept under no date.
+    """
+    enriched = enrich_logs(parse_logs(files), parse_logs(messages), transactions)
+
+    def daily(path: str):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch_id={batch_id}")
+
+        return write
+
+    def alerts(batch: DataFrame, batch_id: int) -> None:
+        daily(f"{folder}/alerts")(batch.where("alert_required"), batch_id)
+
+    return batches(enriched, fan_out(daily(f"{folder}/logs"), alerts), checkpoint)
+
+
 def archive(stream: DataFrame, path: str, checkpoint: str, time="ts", hourly=False):
     """Writer of the stream to Parquet by date (and hour), to be started by the caller."""
     dated = stream.withColumn("date", F.to_date(time))
