@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import os
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,7 @@ END_BYTES = END.encode()
 BITS = 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MATRIX_LONGEST = 48
+GATHERED_WORDS, GATHERED_BYTES = 1 << 15, 1 << 21
 
 
 @dataclass
@@ -44,7 +46,8 @@ class Settings:
 def read_vocabulary(path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Pieces within words with starting log weights, and log weights of the 256 bytes.
 
-    The vocabulary scores its pieces by rank; Zipf's law makes a rank a weight.
+    The vocabularies at hand are made by merging pairs and score their pieces by rank, not by
+    unigram probability; Zipf's law makes a rank a weight to start from.
     """
     import sentencepiece
 
@@ -109,7 +112,7 @@ class Lattice:
         codes = codes.reshape(len(words), size).astype(np.uint64) + np.uint64(1)
         alpha = np.full((size + 1, len(words)), -np.inf)
         alpha[0] = 0.0
-        edges: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray | None]] = []
+        edges: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
         for start in range(size):
             hashes = np.zeros(len(words), np.uint64)
             for length in range(1, min(self.longest, size - start) + 1):
@@ -129,7 +132,7 @@ class Lattice:
                 goal = alpha[start + length]
                 goal[rows] = np.logaddexp(goal[rows], alpha[start][rows] + weights)
                 if expected is not None:
-                    edges.append((start, length, rows, weights, found))
+                    edges.append((start, length, rows, weights, found[rows]))
         total = alpha[size]
         if expected is not None:
             beta = np.full((size + 1, len(words)), -np.inf)
@@ -139,8 +142,8 @@ class Lattice:
                 back = beta[start]
                 back[rows] = np.logaddexp(back[rows], rest)
                 mass = np.exp(alpha[start][rows] + rest - total[rows]) * counts[rows]
-                known = found[rows] >= 0
-                expected += np.bincount(found[rows][known], mass[known], len(expected))
+                known = found >= 0
+                expected += np.bincount(found[known], mass[known], len(expected))
                 for r, m in zip(rows[~known], mass[~known], strict=True):
                     for number in self.bytes_of(text[r * size + start]):
                         expected[number] += m
@@ -231,6 +234,23 @@ def count_words(docs: DataFrame, flush: int) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches put together to ``GATHERED_WORDS`` or ``GATHERED_BYTES`` of words.
+
+    The lattice treats all words of one length at a time, so few words cost as many calls as
+    many do, whatever batches the session's settings cut.
+    """
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.column(0).nbytes
+        if rows >= GATHERED_WORDS or size >= GATHERED_BYTES:
+            yield pa.concat_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 def refine(counts: DataFrame, lattice: Lattice, ends: int) -> tuple[np.ndarray, float]:
     """New log weights of all edges, and of the end, from expected counts.
 
@@ -241,7 +261,7 @@ def refine(counts: DataFrame, lattice: Lattice, ends: int) -> tuple[np.ndarray,
 
     def work(batches):
         expected = np.zeros(len(shared.value.weights))
-        for batch in batches:
+        for batch in gathered(batches):
             shared.value.score(batch.column(0).to_pylist(), batch.column(1).to_numpy(), expected)
         used = np.flatnonzero(expected)
         yield pa.RecordBatch.from_arrays(
@@ -314,7 +334,7 @@ def lattice_likelihood(
     shared = spark.sparkContext.broadcast(lattice)
 
     def score_words(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             words = batch.column(0).to_pylist()
             scores = shared.value.score([w if w != END else "" for w in words]) / math.log(10)
             scores[[w == END for w in words]] = end_weight / math.log(10)
