@@ -227,3 +227,28 @@ def test_fixed_life_sessions_of_one_user_are_spread(spark, hot):
 def test_fixed_life_sessions_of_an_empty_table(spark):
     df = spark.createDataFrame([], "id long, ts timestamp, user_id long")
     assert seq.fixed_life_sessions(df).collect() == []
+
+
+def test_hot_key_in_the_order_of_text(spark, hot):
+    chance = random.Random(12)
+    names = ["", "a", "ab", "abcdefg", "abcdefh", "abcdef", "é", "zz\U0001f600", "漢字", None]
+    data = [(i, 1 if i % 3 else 2, chance.choice(names) if i % 2 else f"n{chance.randrange(400)}") for i in range(900)]
+    df = spark.createDataFrame(data, "id long, k long, name string")
+    specs = [("n", "count", F.lit(1)), ("last", "last", F.col("id")), ("least", "min", F.col("id"))]
+    split = running(df, ["k"], ["name", "id"], specs)
+    whole = running(df, ["k"], ["name", "id"], specs, hot=[])
+    assert "_bucket" in split._jdf.queryExecution().analyzed().toString()
+    assert rows(split) == rows(whole)
+
+
+def test_buckets_follow_the_rows_of_a_key(spark, monkeypatch):
+    from tidemark.operators import hotkeys
+
+    monkeypatch.setattr(hotkeys, "BUCKET_ROWS", 100)
+    df = spark.range(4600).select("id", F.when(F.col("id") < 4000, 1).when(F.col("id") < 4500, 2).otherwise(3).alias("k"))
+    of = dict(df.select("k", hotkeys.key_hash(["k"]).alias("h")).distinct().collect())
+    parted = hotkeys.with_buckets(df, ["k"], [of[1], of[2]], "id")
+    sizes = parted.groupBy("k", "_bucket").count().collect()
+    per_key = {k: [r["count"] for r in sizes if r["k"] == k] for k in (1, 2, 3)}
+    assert len(per_key[1]) == 40 and len(per_key[2]) == 5 and len(per_key[3]) == 1
+    assert max(per_key[1] + per_key[2]) <= 130

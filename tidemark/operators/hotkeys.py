@@ -11,6 +11,7 @@ changes a result, only the plan, so the estimate may be approximate.
 
 from __future__ import annotations
 
+import math
 import sys
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,8 @@ MAX_HOT = 500
 MIN_ROWS_CONF = "spark.tidemark.hot.minRows"
 MIN_ROWS = 2_000_000
 BUCKETS_CONF = "spark.tidemark.hot.buckets"
-BUCKETS = 256
+BUCKET_ROWS = 2_000_000
+MOST_BUCKETS = 10_000
 TRACKED = 10_000
 ROW_BYTES = 16
 
@@ -64,12 +66,18 @@ def is_hot(keys: list[str], hot: list[int]) -> Column:
 
 
 def order_number(df: DataFrame, column: str) -> Column | None:
-    """A column as a number that has its order, null for types without one."""
+    """A column as a number that never falls where the column rises, null for other types.
+
+    For text these are its first six bytes, by which Spark orders text first.
+    """
     kind = dict(df.dtypes)[column]
     if kind.startswith("timestamp"):
         return F.unix_micros(column).cast("double")
     if kind == "date":
         return F.unix_date(column).cast("double")
+    if kind == "string":
+        head = F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
     numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double")
     return F.col(column).cast("double") if numeric or kind.startswith("decimal") else None
 
@@ -77,25 +85,39 @@ def order_number(df: DataFrame, column: str) -> Column | None:
 def with_buckets(df: DataFrame, keys: list[str], hot: list[int], column: str) -> DataFrame:
     """Add ``_bucket``: 0 for ordinary keys, ranges of ``column`` from 1 on for hot ones.
 
-    The bounds are quantiles of the hot key's own values, so its buckets are about equally
-    large whatever the values are: times without time of day, shares between 0 and 1, or
-    amounts. Rows with one value share a bucket.
+    A hot key gets a bucket for each ``BUCKET_ROWS`` of its rows, up to ``MOST_BUCKETS``. The
+    bounds are quantiles of its own values, so its buckets are about equally large whatever
+    the values are: times without time of day, shares between 0 and 1, amounts, or text. Rows
+    with one value share a bucket.
     """
     number = order_number(df, column)
     if number is None:
         return df.withColumn("_bucket", F.lit(0))
-    count = int(df.sparkSession.conf.get(BUCKETS_CONF, str(BUCKETS)))
-    sketch = F.percentile_approx(number, [i / count for i in range(1, count)] or [0.5], 10_000)
+    rows = df.where(is_hot(keys, hot)).select(key_hash(keys).alias("_hash"), number.alias("_number"))
+    sizes = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    forced = df.sparkSession.conf.get(BUCKETS_CONF, None)
+    wanted = F.lit(int(forced)) if forced else F.ceil(F.col("_n") / BUCKET_ROWS)
+    wanted = F.greatest(F.lit(1), F.least(F.lit(MOST_BUCKETS), wanted)).cast("int")
+    most = sizes.agg(F.max(wanted)).first()[0] or 1
+    sketch = F.percentile_approx(
+        "_number", [i / most for i in range(1, most)] or [0.5], max(10_000, 10 * most)
+    )
+    stride = math.isqrt(most) + 1
+    # The largest key uses all quantiles, a smaller one every so many of them.
+    step = F.floor(F.lit(most) / wanted)
     bounds = (
-        df.where(is_hot(keys, hot))
-        .groupBy(key_hash(keys).alias("_hash"))
-        .agg(F.array_distinct(sketch).alias("_bounds"))
+        rows.groupBy("_hash")
+        .agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_all"))
+        .select("_hash", F.array_distinct(F.filter("_all", lambda _, i: (i + 1) % step == 0)).alias("_bounds"))
+        .withColumn("_ends", F.filter("_bounds", lambda _, i: i % stride == stride - 1))
     )
-    # At most MAX_HOT rows, of one number per bucket.
+    # At most MAX_HOT rows, together about a number for each BUCKET_ROWS of the table.
     known = df.withColumn("_hash", key_hash(keys)).join(F.broadcast(bounds), "_hash", "left")
-    below = F.size(F.filter("_bounds", lambda bound: bound < number))
-    bucket = F.when(F.col("_bounds").isNull(), 0).otherwise(below + 1)
-    return known.withColumn("_bucket", bucket).drop("_hash", "_bounds")
+    # Blocks of bounds are counted by their ends first, so a row looks at two square roots.
+    blocks = F.size(F.filter("_ends", lambda end: end < number)) * stride
+    below = F.size(F.filter(F.slice("_bounds", blocks + 1, stride), lambda bound: bound < number))
+    bucket = F.when(F.col("_bounds").isNull(), 0).otherwise(blocks + below + 1)
+    return known.withColumn("_bucket", bucket).drop("_hash", "_bounds", "_ends")
 
 
 def split_hot(df, keys, plain, hot_plan, hot=None) -> DataFrame:
