@@ -252,3 +252,23 @@ def test_buckets_follow_the_rows_of_a_key(spark, monkeypatch):
     per_key = {k: [r["count"] for r in sizes if r["k"] == k] for k in (1, 2, 3)}
     assert len(per_key[1]) == 40 and len(per_key[2]) == 5 and len(per_key[3]) == 1
     assert max(per_key[1] + per_key[2]) <= 130
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_velocity_of_amounts_of_any_size(spark, request, split):
+    if split:
+        request.getfixturevalue("hot")
+    amounts = [1e13, 3e13, float("nan"), float("inf"), None, 2.5e15, 7.0, 1e13]
+    data = [(i, 1, at(60 * i), a, 1) for i, a in enumerate(amounts)]
+    got = seq.velocity(spark.createDataFrame(data, SCHEMA), {"1h": 3600}).orderBy("transaction_id").collect()
+    known = []
+    for row, amount in zip(got, amounts):
+        if amount is not None and abs(amount) < float("inf"):
+            known.append(amount)
+        assert row["transaction_count_1h"] == row["transaction_id"] + 1
+        assert row["total_amount_1h"] == pytest.approx(sum(known), rel=1e-13)
+        assert row["avg_amount_1h"] == pytest.approx(sum(known) / len(known), rel=1e-13)
+        if len(known) > 1:
+            mean = sum(known) / len(known)
+            spread = (sum((a - mean) ** 2 for a in known) / (len(known) - 1)) ** 0.5
+            assert row["std_amount_1h"] == pytest.approx(spread, rel=1e-9)

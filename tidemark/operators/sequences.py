@@ -18,7 +18,8 @@ from tidemark.operators.running import previous, running
 from tidemark.session import cut_lineage
 
 
-UNITS = 1_000_000  # amounts are summed in millionths
+UNITS = 1_000_000.0  # amounts are summed in millionths,
+DIGITS = 14  # or in larger units, so that the largest amount has so many digits
 
 
 def newest(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
@@ -84,12 +85,18 @@ def velocity(
     ``spans`` maps a suffix to seconds. Every row enters a trailing window at its time
     and leaves it one span later, so each measure is a running sum over entries and
     exits: the cost grows with the rows, not with rows times window length. Sums run
-    over whole millionths and are therefore exact; finer amounts are rounded to them. A
-    row without an amount counts as a transaction, but not in total, mean and deviation;
-    these are null while no amount is known. A member counts as long as its newest
+    over whole millionths and are therefore exact; finer amounts are rounded to them. In a
+    table with amounts above 10^8 the unit grows with the largest, which keeps 14 digits. A
+    row without an amount, or with one that is no finite number, counts as a transaction, but
+    not in total, mean and deviation; these are null while no amount is known. A member counts as long as its newest
     occurrence is inside the span.
     """
-    units = F.round(F.col(amount).cast("decimal(24,8)") * UNITS).cast("long")
+    number = F.col(amount).cast("double")
+    finite = ~F.isnan(number) & (F.abs(number) != float("inf"))
+    largest = df.agg(F.max(F.when(finite, F.abs(number)))).scalar()
+    shrunk = F.pow(F.lit(10.0), DIGITS - F.ceil(F.log10(largest)))
+    scale = F.when(largest > 10.0 ** DIGITS / UNITS, shrunk).otherwise(UNITS)
+    units = F.when(finite, F.round(number * scale)).cast("decimal(19,0)")
     pair = [key, member]
     hot, hot_pairs = hot_keys(df, [key]), hot_keys(df, pair)
     # Rows placed by user serve the windows per user and member as well: one shuffle.
@@ -107,13 +114,13 @@ def velocity(
         else:
             gap = F.unix_micros("_after") - micros
         alone = known & (gap.isNull() | (gap > span))
-        exact = F.col("_units").cast("decimal(19,0)")
+        exact = F.col("_units")
         none = F.lit(0).cast("decimal(38,0)")
         priced = when_in & F.col("_units").isNotNull()
         return [
             F.when(when_in, sign).otherwise(0).cast("long").alias(f"_n_{suffix}"),
             F.when(priced, sign).otherwise(0).cast("long").alias(f"_m_{suffix}"),
-            F.when(priced, F.col("_units") * sign).otherwise(0).cast("long").alias(f"_s_{suffix}"),
+            F.when(priced, exact * sign).otherwise(none).cast("decimal(28,0)").alias(f"_s_{suffix}"),
             F.when(priced, exact * exact * sign).otherwise(none).cast("decimal(38,0)").alias(f"_q_{suffix}"),
             F.when(when_in & alone, sign).otherwise(0).cast("long").alias(f"_d_{suffix}"),
         ]
@@ -146,16 +153,16 @@ def velocity(
         total = F.when(known > 0, F.col(f"s_{suffix}").cast("double"))
         # m q - s s over whole numbers, so equal amounts have exactly no spread; in doubles
         # where that has more than 38 digits.
-        whole, squares = F.col(f"s_{suffix}").cast("decimal(19,0)"), F.col(f"q_{suffix}")
+        whole, squares = F.col(f"s_{suffix}").try_cast("decimal(19,0)"), F.col(f"q_{suffix}")
         exact = F.try_subtract(F.try_multiply(known.cast("decimal(19,0)"), squares), whole * whole)
         rough = known * squares.cast("double") - total * total
         spread = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
         deviation = F.sqrt(F.try_divide(spread, (known * (known - 1)).cast("double")))
         measures += [
             n.alias(f"transaction_count_{suffix}"),
-            (total / UNITS).alias(f"total_amount_{suffix}"),
-            (total / UNITS / known).alias(f"avg_amount_{suffix}"),
-            (deviation / UNITS).alias(f"std_amount_{suffix}"),
+            (total / scale).alias(f"total_amount_{suffix}"),
+            (total / scale / known).alias(f"avg_amount_{suffix}"),
+            (deviation / scale).alias(f"std_amount_{suffix}"),
             F.col(f"d_{suffix}").alias(f"unique_merchants_{suffix}"),
         ]
     return done.select("_row.*", *measures)
