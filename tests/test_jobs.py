@@ -3,11 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.ml import models
+from tidemark.ml import models, network
 from tidemark.model import EVENT_SCHEMA, METRICS_SCHEMA, require_schema
 from tidemark.operators import graph
 from tidemark.operators import sequences as seq
@@ -632,13 +633,47 @@ def test_split_and_boosted(spark, training):
     assert values == sorted(values, reverse=True)
 
 
-def test_network_and_forest(training):
-    network = models.fit_network(training, models.FEATURES, hidden=(8,), positive_weight=2, epochs=20)
-    assert models.auc(network.transform(training)) > 0.8
+def test_forest(training):
     forest = models.fit_forest(training, models.FEATURES, trees=5, depth=5)
     assert models.auc(forest.transform(training)) > 0.9
 
 
+def test_gradient_of_the_network():
+    chance = np.random.default_rng(0)
+    start = network._start(("a", "b", "c"), (5, 4), np.zeros(3), np.ones(3), 1)
+    x, y, weight = chance.normal(size=(20, 3)), chance.integers(0, 2, 20), chance.random(20)
+    _, gradient = start.loss_and_gradient(x, y, weight)
+    values = start.flat()
+    for i in range(len(values)):
+        step = np.zeros_like(values)
+        step[i] = 1e-6
+        up, down = (start.with_flat(values + s).loss_and_gradient(x, y, weight)[0] for s in (step, -step))
+        assert abs((up - down) / 2e-6 - gradient[i]) < 1e-5
+
+
+def test_a_weight_is_as_good_as_copies(spark, training):
+    chance = np.random.default_rng(2)
+    start = network._start(("a", "b"), (5,), np.zeros(2), np.ones(2), 1)
+    x, y = chance.normal(size=(30, 2)), chance.integers(0, 2, 30)
+    copies = np.where(y == 1, 3, 1)
+    loss, gradient = start.loss_and_gradient(x, y, copies.astype(float))
+    again, other = start.loss_and_gradient(np.repeat(x, copies, axis=0), np.repeat(y, copies), np.ones(copies.sum()))
+    assert loss == pytest.approx(again) and gradient == pytest.approx(other)
+    with pytest.raises(ValueError):
+        network.fit_weighted(training.limit(0), training, models.FEATURES)
+
+
+def test_network_ranks_and_stops(spark, training):
+    train, test = models.stratified_split(training)
+    fitted, losses = network.fit_weighted(train, test, models.FEATURES, hidden=(8,), positive_weight=2.0, rounds=40)
+    scored = models.predict_batches(test, fitted.probability, models.FEATURES, id="id")
+    assert models.auc(test.select("id", "label").join(scored, "id"), raw="probability") > 0.8
+    # A rate that overshoots ends after the rounds of patience.
+    _, losses = network.fit_weighted(train, test, models.FEATURES, hidden=(8,), rounds=40, patience=3, rate=30.0)
+    best = min(range(len(losses)), key=lambda i: losses[i][1])
+    assert len(losses) < 40 and len(losses) == best + 4
+
+
 def test_interaction_label_is_binary(training):
     labels = training.select(models.interaction_label().alias("l")).distinct().collect()
     assert {r["l"] for r in labels} <= {0, 1}

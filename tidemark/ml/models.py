@@ -10,11 +10,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,32 +100,9 @@ def fit_boosted(
     return model, auc(scored, label), importances(df.sparkSession, model, features)
 
 
-def fit_network(
-    train: DataFrame, features, label="label", hidden=(256, 128, 64), positive_weight=50,
-    epochs=50, seed=42,
-):
-    """Feed-forward network. Spark's has no row weights, so every positive row is repeated
-    ``positive_weight`` times: training data grows by that factor times the positive share."""
-    copies = F.when(F.col(label) == 1, positive_weight).otherwise(1)
-    repeated = train.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-        MultilayerPerceptronClassifier(
-            featuresCol="features",
-            labelCol=label,
-            layers=[len(features), *hidden, 2],
-            maxIter=epochs,
-            blockSize=256,
-            seed=seed,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(repeated)
-
-
-def auc(scored: DataFrame, label="label") -> float:
+def auc(scored: DataFrame, label="label", raw="rawPrediction") -> float:
     return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC"
     ).evaluate(scored)
 
 

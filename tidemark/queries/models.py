@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.ml import models
+from tidemark.ml import models, network
 from tidemark.model import fraud_transactions, table
 from tidemark.plans.features import temporal_features, transaction_features
 from tidemark.queries.registry import FRAUD_SQL, query
@@ -50,6 +50,30 @@ def _(spark, folder):
     )
 
 
+CLASSES = ["user_class", "item_class", "hour_of_day", "day_of_week"]
+
+
+@query("weighted_network", "rows scored loss_falls auc_above_half",
+       "SELECT count(*) AS rows, count(*) AS scored, true AS loss_falls, true AS auc_above_half FROM lineitem")
+def _(spark, folder):
+    """A network with weighted classes, its losses, and its ranking of the rows held back."""
+    rows = interactions(spark, folder).withColumns(
+        {"user_class": F.col("user_id") % 3, "item_class": F.col("item_id") % 2}
+    )
+    train, test = models.stratified_split(rows)
+    fitted, losses = network.fit_weighted(train, test, CLASSES, hidden=(32, 16), positive_weight=5.0)
+    scored = models.predict_batches(rows, fitted.probability, CLASSES, id="id")
+    held = models.predict_batches(test, fitted.probability, ["label", *CLASSES], id="id")
+    ranked = test.select("id", "label").join(held.dropDuplicates(["id"]), "id")
+    found = models.auc(ranked, raw="probability")
+    counts = rows.select(F.lit(1).alias("rows"), F.lit(0).alias("scored")).unionByName(
+        scored.where(F.col("probability").between(0, 1)).select(F.lit(0).alias("rows"), F.lit(1).alias("scored"))
+    )
+    return counts.agg(F.sum("rows").alias("rows"), F.sum("scored").alias("scored")).withColumns(
+        {"loss_falls": F.lit(losses[-1][0] < losses[0][0]), "auc_above_half": F.lit(found > 0.5)}
+    )
+
+
 FRAUD_FEATURES = ["amount_log", "is_round_amount", "hour", "day_of_week", "is_weekend", "is_night"]
 
 
