@@ -166,3 +166,11 @@ def test_sets(spark, good):
     combined = sets.combine([good.select("id"), good.select("amount")])
     assert combined.columns == ["id", "amount"] and combined.count() == 4
     assert sets.duplicate_rows(good.union(good)).first()["duplicate_rows"] == 2
+
+
+def test_of_repeated_ids_one_row_is_filled(spark):
+    data = [(1, None, "b"), (1, 4.0, None), (1, 2.0, "c"), (2, None, None), (3, 8.0, "b"), (None, 1.0, "z")]
+    df = spark.createDataFrame(data, "id long, amount double, kind string").repartition(5)
+    got = q.fill_and_cast(df, "id", {"amount": "mean", "kind": "mode"}, {"amount": "decimal(9,3)"})
+    # Kept: (1, 2.0, c), (2, null, null), (3, 8.0, b) and the row without an id.
+    assert [(r[0], float(r[1]), r[2]) for r in rows(got)] == [(1, 2.0, "c"), (2, pytest.approx(11 / 3, abs=1e-3), "b"), (3, 8.0, "b"), (None, 1.0, "z")]

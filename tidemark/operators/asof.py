@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import join_unique
+from tidemark.operators.hotkeys import hot_keys, join_unique
 from tidemark.operators.sequences import newest_per_key
 from tidemark.operators.running import running
 
@@ -43,6 +43,8 @@ def as_of_join(
         [key],
         [time, "_kind", "_id"],
         [("_newest", "last", F.col("_feature"))],
+        # A key is hot by the rows of either side, without putting them together first.
+        hot=sorted({*hot_keys(entities, [key]), *hot_keys(view, [key])}),
     )
     fresh = F.col("_newest._at") > F.col(time) - F.expr(f"INTERVAL {ttl}")
     return ordered.where(F.col("_kind") == 1).select(

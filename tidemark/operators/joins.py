@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import join_unique
+from tidemark.operators.hotkeys import hot_keys, join_unique
 
 
 def with_users(transactions: DataFrame, users: DataFrame) -> DataFrame:
@@ -26,9 +26,12 @@ def merge_features(
 
     by_user, user_names = tagged(user_features, "user_id", "u")
     by_merchant, merchant_names = tagged(merchant_features, "merchant_id", "m")
+    # Hot keys are looked for in the transactions, not in the joined rows.
+    hot_users, hot_merchants = (hot_keys(transactions, [k]) for k in ("user_id", "merchant_id"))
     joined = join_unique(
-        join_unique(transactions, by_user, ["user_id"]), by_merchant, ["merchant_id"]
-    )
+        join_unique(transactions, by_user, ["user_id"], hot=hot_users),
+        by_merchant, ["merchant_id"], hot=hot_merchants,
+    )
     names = list(dict.fromkeys([*transactions.columns, *user_names, *merchant_names]))
 
     def pick(name):

@@ -7,11 +7,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from tidemark.functions.numbers import safe_ratio
 from tidemark.operators.percentiles import percentiles
 from tidemark.operators.running import running
+from tidemark.session import cut_lineage
 
 RESULT_SCHEMA = "check_name string, column_name string, observed double, low double, high double, success boolean"
 
@@ -307,11 +309,16 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
 def fill_and_cast(df: DataFrame, key: str, fills: dict, types: dict) -> DataFrame:
     """Drop duplicate ids, fill nulls (``mean``, ``mode`` or a value) and cast columns.
 
-    A value that cannot be cast becomes null.
+    Of rows with one id the first in the order of the other columns stays, nulls last. The
+    rows that stay are checkpointed once, so every fill is taken from the rows it fills. A
+    value that cannot be cast becomes null.
     """
     from tidemark.operators.aggregates import count_rows
 
-    unique_rows = df.dropDuplicates([key])
+    others = [F.asc_nulls_last(c) for c in df.columns if c != key]
+    first = W.partitionBy(key).orderBy(*others or [F.lit(0)])
+    ranked = df.withColumn("_rank", F.row_number().over(first))
+    unique_rows = cut_lineage(ranked.where("_rank = 1").drop("_rank"))
     out = unique_rows
     for name, how in fills.items():
         known = unique_rows.where(F.col(name).isNotNull())
