@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tests.compare import compare
@@ -10,30 +11,35 @@ from tidemark.llm import decontamination, mixing
 from tidemark.llm.queries import MIX_BLOCK, MIX_PERIOD, MIXTURE, ORACLES, QUERIES
 
 
-def edits_within(pattern, text):
-    """Fewest edits of the pattern against any stretch of the text."""
-    row = list(range(len(pattern) + 1))
-    best = row[-1]
+def edits_within(patterns, text):
+    """For each of several patterns of one length the fewest edits against any stretch of the text."""
+    symbols = np.array([[ord(c) for c in p] for p in patterns])
+    steps = np.arange(symbols.shape[1] + 1)
+    row = np.tile(steps, (len(patterns), 1))
+    best = row[:, -1].copy()
     for c in text:
-        before, row[0] = row[0], 0
-        for i, p in enumerate(pattern, 1):
-            before, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, before + (p != c))
-        best = min(best, row[-1])
+        moved = np.minimum(row[:, 1:] + 1, row[:, :-1] + (symbols != ord(c)))
+        row = np.concatenate([np.zeros((len(patterns), 1), int), moved], axis=1)
+        row = np.minimum.accumulate(row - steps, axis=1) + steps
+        best = np.minimum(best, row[:, -1])
     return best
 
 
+def windows_of(item, settings):
+    m = min(settings.window, len(item))
+    return sorted({item[start : start + m] for start in range(len(item) - m + 1)})
+
+
 def brute_leaks(text, items, settings):
     text = decontamination.normalised(text)
     out = set()
     for number, item in enumerate(items):
         item = decontamination.normalised(item)
-        if len(item) < settings.least:
+        if len(item) < max(settings.least, settings.q):
             continue
-        for start in decontamination.window_starts(len(item), settings):
-            window = item[start : start + settings.window]
-            if edits_within(window, text) <= decontamination.edit_budget(len(window), settings):
-                out.add(number)
-                break
+        windows = windows_of(item, settings)
+        if edits_within(windows, text).min() <= decontamination.edit_budget(len(windows[0]), settings):
+            out.add(number)
     return out
 
 
@@ -44,7 +50,7 @@ def passages(seed):
     def prose(n):
         return " ".join(chance.choice(words) for _ in range(n))
 
-    items = [prose(chance.randint(5, 40)) for _ in range(12)] + ["short", "", prose(300)]
+    items = [prose(chance.randint(5, 40)) for _ in range(12)] + ["short", "", prose(90)]
     texts = []
     for _ in range(45):
         item = chance.choice(items)
@@ -58,7 +64,7 @@ def passages(seed):
     return items, texts
 
 
-@pytest.mark.parametrize("settings", [decontamination.Settings(), decontamination.Settings(window=60, stride=20, rate=0.1, q=6)])
+@pytest.mark.parametrize("settings", [decontamination.Settings(), decontamination.Settings(window=60, rate=0.1, q=6)])
 def test_leaks_equal_brute_force(settings):
     items, texts = passages(4)
     index = decontamination.Index([decontamination.normalised(i) for i in items], settings)
@@ -70,8 +76,7 @@ def test_leaks_equal_brute_force(settings):
         hits += len(found)
         for number, start, end, edits in found:
             item = decontamination.normalised(items[number])
-            windows = [item[s : s + settings.window] for s in decontamination.window_starts(len(item), settings)]
-            assert min(edits_within(w, plain_text[start:end]) for w in windows) <= edits
+            assert edits_within(windows_of(item, settings), plain_text[start:end]).min() <= edits
     assert 0 < hits
 
 
@@ -88,6 +93,28 @@ def test_clean_texts_are_left_alone_and_blocks_agree(spark):
     assert {r[0] for r in plain(kept, "doc_id")} == set(range(len(texts))) - leaking
 
 
+def test_verbatim_parts_are_found_wherever_they_start(spark):
+    chance = random.Random(5)
+
+    def letters(n):
+        return "".join(chance.choice("abcdefghijklmnop") for _ in range(n))
+
+    item, short = letters(260), "what is 7 x 8"
+    texts = [letters(60) + item[at : at + 100] + letters(60) for at in range(161)]
+    texts += [letters(60) + item[at : at + 60] + letters(60) for at in range(0, 200, 9)]
+    texts += [f"{letters(20)} {short.upper()} {letters(20)}", f"{letters(20)} what is 8 x 7 {letters(20)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # Equal texts of several items are searched once and found under every id.
+    items = [(1, item), (2, short), (3, item), (3, item), (4, letters(80)), (5, "too short")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(plain(decontamination.find_leaks(docs, bench), "doc_id", "item", "start", "end", "edits"))
+    last = len(texts) - 2
+    # The first window within the budget may begin a little before the part.
+    assert [r[:2] for r in got] == [(d, i) for d in range(161) for i in (1, 3, 3)] + [(last, 2)]
+    assert got[-1] == (last, 2, 21, 34, 0)
+    assert all(r[4] <= 8 and abs(r[2] - 60) <= 8 and abs(r[3] - 160) <= 8 for r in got[:-1])
+
+
 def test_leaks_odd_rows(odd, spark):
     bench = spark.createDataFrame(
         [(1, "lorem ipsum dolor sit amet lorem ipsum"), (2, None), (None, "one two"), (3, ""), (4, "x")],

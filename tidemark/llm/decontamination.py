@@ -24,19 +24,23 @@ BITS = 22
 
 @dataclass
 class Settings:
-    """A leak is a window of ``window`` characters (the whole item if shorter), starting at
-    a multiple of ``stride`` or at the item's end, that occurs within ``rate`` edits per
-    character. Items of fewer than ``least`` characters identify nothing and are not
-    searched. ``block_chars`` bounds how much of the benchmark is searched in one pass."""
+    """A leak is any window of ``window`` characters of an item (the whole item if shorter)
+    that occurs within ``rate`` edits per character. So a verbatim part of ``window``
+    characters is always found, wherever it starts, and of a shorter item all but the budget's
+    edits. Items of fewer than ``least`` characters, or shorter than a q-gram, identify nothing
+    and are not searched. ``block_chars`` bounds how much of the benchmark is searched in one
+    pass."""
 
     window: int = 100
-    stride: int = 25
     rate: float = 0.08
     q: int = 10
-    least: int = 30
+    least: int = 10
     block_chars: int = 4_000_000
 
 
+CHUNK = 256  # windows of an item that are aligned together
+
+
 def normalised(text: str | None) -> str:
     """Lower case, white space collapsed."""
     return " ".join(text.lower().split()) if text else ""
@@ -62,11 +66,8 @@ def edit_budget(m: int, settings: Settings) -> int:
     return max(0, min(int(settings.rate * m), (m - settings.q) // settings.q))
 
 
-def window_starts(size: int, settings: Settings) -> list[int]:
-    if size <= settings.window:
-        return [0]
-    last = size - settings.window
-    return [*range(0, last, settings.stride), last]
+def window_starts(size: int, settings: Settings) -> range:
+    return range(max(size - settings.window, 0) + 1)
 
 
 class Index:
@@ -91,17 +92,9 @@ class Index:
         self.place = np.concatenate(place or empty)[order].astype(np.int64)
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[self._slot(self.keys)] = True
-        self.windows = [
-            [
-                (start, min(settings.window, len(text)))
-                for start in window_starts(len(text), settings)
-            ]
-            for text in items
-        ]
-        bounds = [self.bound(m) for w, t in zip(self.windows, items, strict=True)
-                  if len(t) >= settings.least for _, m in w]
-        self.least_hits = min(bounds, default=1)
-        self.longest = max((m for w in self.windows for _, m in w), default=0)
+        sizes = {min(settings.window, len(text)) for text in items if len(text) >= max(settings.least, settings.q)}
+        self.least_hits = min(map(self.bound, sizes), default=1)
+        self.longest = max(sizes, default=0)
         self.slack = max(1, edit_budget(self.longest, settings))
 
     @staticmethod
@@ -170,26 +163,56 @@ class Index:
         band from ``diagonal`` on that aligns within its budget."""
         item, q = self.items[number], self.settings.q
         span = 2 * (self.slack + 1)
-        for start, m in self.windows[number]:
-            inside = np.searchsorted(places, start + m - q, "right") - np.searchsorted(places, start)
-            if inside < self.bound(m):
-                continue
-            budget = edit_budget(m, self.settings)
-            low = max(0, start + diagonal - budget)
-            high = min(len(text), start + m + diagonal + span + budget)
-            exact = text.find(item[start : start + m], low, high)
-            if exact >= 0:
-                return exact, exact + m, 0
-            pattern = codes_of(item[start : start + m])
-            region = codes[low:high]
-            edits, end = banded(pattern, region, span + 2 * budget, anchored=False)
-            if edits <= budget:
+        m = min(self.settings.window, len(item))
+        budget = edit_budget(m, self.settings)
+        starts = np.array(window_starts(len(item), self.settings))
+        inside = np.searchsorted(places, starts + m - q, "right") - np.searchsorted(places, starts)
+        starts = starts[inside >= self.bound(m)]
+        lows = np.maximum(starts + diagonal - budget, 0)
+        highs = np.minimum(starts + m + diagonal + span + budget, len(text))
+        whole = codes_of(item)
+        for first in range(0, len(starts), CHUNK):
+            part = slice(first, first + CHUNK)
+            patterns = whole[starts[part, None] + np.arange(m)]
+            most = fewest_edits(patterns, codes, lows[part], highs[part], span + 2 * budget)
+            near = np.flatnonzero(most <= budget)
+            if len(near):
+                start, low, high = (int(v[part][near[0]]) for v in (starts, lows, highs))
+                exact = text.find(item[start : start + m], low, high)
+                if exact >= 0:
+                    return exact, exact + m, 0
+                pattern, region = whole[start : start + m], codes[low:high]
+                edits, end = banded(pattern, region, span + 2 * budget, anchored=False)
                 back = region[:end][::-1]
                 _, length = banded(pattern[::-1], back, budget, anchored=True)
                 return low + end - length, low + end, edits
         return None
 
 
+def fewest_edits(patterns, codes, lows, highs, width):
+    """For each pattern, a row, the fewest edits that turn it into a stretch of its region
+    ``codes[low:high]``, in a band of ``width`` to both sides; all rows are aligned together."""
+    count, m = patterns.shape
+    steps = np.arange(2 * width + 1, dtype=np.int32)
+    columns = steps - width
+    sizes = np.maximum(highs - lows, 0)[:, None].astype(np.int32)
+    place = np.arange(m + 2 * width + 1) - width
+    known = (place >= 0) & (place < sizes)
+    padded = np.where(known, codes[np.clip(lows[:, None] + place, 0, len(codes) - 1)], np.iinfo(np.uint64).max)
+    far = np.int32(1 << 20)
+    cost = np.where((columns < 0) | (columns > sizes), far, np.int32(0))
+    beyond = np.full((count, 1), far)
+    for row in range(m):
+        ends = row + 1 + columns
+        outside = ends > sizes
+        taken = cost + (padded[:, row : row + len(steps)] != patterns[:, row, None])
+        taken[outside | (ends < 1)] = far
+        skipped = np.concatenate([cost[:, 1:], beyond], axis=1) + np.int32(1)
+        cost = np.minimum.accumulate(np.minimum(taken, skipped) - steps, axis=1) + steps
+        cost[outside | (ends < 0)] = far
+    return cost.min(axis=1)
+
+
 def banded(pattern, text, width, anchored):
     """Fewest edits that turn the pattern into a stretch of the text, and the stretch's end.
 
@@ -230,28 +253,30 @@ def find_leaks(
 
     Whole texts are searched. Texts that are null, empty or shorter than a q-gram have no
     leaks, nor have null or short items. Repeated documents and items give repeated rows.
-    An empty table on either side gives an empty result. The benchmark is searched in
-    blocks of bounded size, one pass over the documents for each. Other columns are not read.
+    An empty table on either side gives an empty result. Different texts of the benchmark are
+    searched in blocks of bounded size, one pass over the documents for each; the ids of items
+    are joined to what was found. Other columns are not read.
     """
     settings = settings or Settings()
     items = benchmark.select(
         column(item_id_col).alias("item"), column(item_text_col).cast("string").alias("_text")
-    ).where(F.col("_text").isNotNull())
+    ).where(F.col("_text").isNotNull()).withColumn("_item", F.sha2("_text", 256))
+    different = items.groupBy("_item").agg(F.min("_text").alias("_text"))
     source = docs.select(column(id_col).alias("doc_id"), column(text_col).cast("string").alias("_text"))
-    size = items.agg(F.sum(F.length("_text"))).first()[0] or 0
+    size = different.agg(F.sum(F.length("_text"))).first()[0] or 0
     blocks = max(1, -(-size // settings.block_chars))
     schema = StructType(
         [
             source.schema["doc_id"],
-            items.schema["item"],
+            items.schema["_item"],
             *[StructField(n, LongType()) for n in ("start", "end", "edits")],
         ]
     )
 
     def search(block: int) -> DataFrame:
-        part = items.where(F.pmod(F.xxhash64("_text"), F.lit(blocks)) == block)
+        part = different.where(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == block)
         found = part.toArrow().combine_chunks()
-        numbers = found.column("item").combine_chunks()
+        numbers = found.column("_item").combine_chunks()
         texts = [normalised(t) for t in found.column("_text").to_pylist()]
         shared = docs.sparkSession.sparkContext.broadcast(Index(texts, settings))
 
@@ -276,7 +301,7 @@ def find_leaks(
     result = search(0)
     for block in range(1, blocks):
         result = result.unionByName(search(block))
-    return result
+    return result.join(items.select("_item", "item"), "_item").select("doc_id", "item", "start", "end", "edits")
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **options):
