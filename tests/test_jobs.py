@@ -633,6 +633,24 @@ def test_split_and_boosted(spark, training):
     assert values == sorted(values, reverse=True)
 
 
+def test_rounds_end_at_the_least_loss_within_patience():
+    assert models.rounds_kept([3.0, 2.0, 2.5, 1.0, 1.5, 1.5], 2) == (4, True)
+    assert models.rounds_kept([3.0, 2.0, 2.5, 2.5, 1.0], 2) == (2, True)
+    assert models.rounds_kept([3.0, 2.0, 2.0, 2.0], 3) == (2, False)
+    assert models.rounds_kept([1.0], 5) == (1, False)
+
+
+def test_boosted_trees_wait_and_are_cut(spark, training):
+    # High rates overfit the noise bit soon, so later rounds are cut off.
+    chosen = dict(depth=4, rate=0.9, rounds=24)
+    model, _, _ = models.fit_boosted(training, models.FEATURES, patience=3, **chosen)
+    kept = model.stages[-1].getNumTrees
+    _, test = models.stratified_split(training)
+    held = model.stages[0].transform(test.withColumn("weight", F.lit(1.0)))
+    losses = model.stages[-1].evaluateEachIteration(held)
+    assert len(losses) == kept < 24 and losses[-1] == min(losses)
+
+
 def test_forest(training):
     forest = models.fit_forest(training, models.FEATURES, trees=5, depth=5)
     assert models.auc(forest.transform(training)) > 0.9

@@ -84,10 +84,34 @@ def fraud_rows(spark, folder):
 
 @query("boosted_importances", "feature importance:6")
 def _(spark, folder):
-    _, _, found = models.fit_boosted(fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id")
+    _, _, found = models.fit_boosted(
+        fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id", patience=5
+    )
     return found
 
 
+@query("boosted_patience", "rows scored auc_above_half trees_within importance_is_one",
+       """SELECT count(*) AS rows, count(*) AS scored, true AS auc_above_half, true AS trees_within,
+              true AS importance_is_one FROM lineitem""")
+def _(spark, folder):
+    """Boosted trees that end at the least loss on the rows held back, and what they find."""
+    rows = interactions(spark, folder).withColumns(
+        {"user_class": F.col("user_id") % 3, "item_class": F.col("item_id") % 2}
+    )
+    model, area, weights = models.fit_boosted(
+        rows, CLASSES, rounds=12, depth=3, rate=0.3, patience=3
+    )
+    total = weights.agg(F.sum("importance")).first()[0]
+    scored = models.score(rows, model)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("probability").between(0, 1)).alias("scored"),
+        F.lit(area > 0.5).alias("auc_above_half"),
+        F.lit(1 <= model.stages[-1].getNumTrees <= 12).alias("trees_within"),
+        F.lit(abs(total - 1) < 1e-6).alias("importance_is_one"),
+    )
+
+
 @query("forest_scores", "label:i rows mean_probability:6")
 def _(spark, folder):
     rows = fraud_rows(spark, folder)
