@@ -85,7 +85,7 @@ def fraud_rows(spark, folder):
 @query("boosted_importances", "feature importance:6")
 def _(spark, folder):
     _, _, found = models.fit_boosted(
-        fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id", patience=5
+        fraud_rows(spark, folder), FRAUD_FEATURES, id="transaction_id", patience=1
     )
     return found
 
