@@ -158,6 +158,16 @@ def distance(a, b):
 
 
 
+def line_key_sets(spark, lines):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(list(enumerate(lines)), "node long, norm string").withColumn("chars", F.length("norm"))
+    keys = [set() for _ in lines]
+    for node, key in plain(line_dedup.line_keys(line_dedup.line_minima(df)), "node", "key"):
+        keys[node].add(key)
+    return keys
+
+
 def test_fuzzy_lines_against_all_pairs(spark):
     chance = random.Random(2)
     words = [chance.choice("bcdfghklm") + chance.choice("aeiou") * chance.randint(1, 3) + str(i) for i in range(80)]
@@ -179,7 +189,7 @@ def test_fuzzy_lines_against_all_pairs(spark):
     norm = {(d, n): " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) for d, n, t in places}
     lines = sorted(set(norm.values()) - {""})
     alike = [(a, b) for a, b in combinations(lines, 2) if distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9]
-    keys = {t: set(k.tolist()) for t, k in zip(lines, line_dedup.line_keys(lines), strict=True)}
+    keys = dict(zip(lines, line_key_sets(spark, lines), strict=True))
     assert alike
     got = plain(line_dedup.line_groups(df), "doc_id", "line_no", "keep_id", "keep_line", "kept")
     assert [r[:2] for r in got] == sorted(norm, key=repr)
@@ -260,7 +270,7 @@ def test_line_candidates_recall_against_all_pairs(spark):
                 lines.append(" ".join(copy))
     lines = sorted(set(lines))
     links = [(a, b) for a, b in combinations(range(len(lines)), 2) if 4 * len(lines[a]) <= 5 * len(lines[b]) and 4 * len(lines[b]) <= 5 * len(lines[a]) and alike_lines(lines[a], lines[b])]
-    keys = [set(k.tolist()) for k in line_dedup.line_keys(lines)]
+    keys = line_key_sets(spark, lines)
     met = sum(bool(keys[a] & keys[b]) for a, b in links)
     assert len(links) > 80 and met >= 0.97 * len(links)
     got = line_partition(spark, lines)
@@ -305,6 +315,33 @@ def test_long_lines_are_compared_by_edits(spark):
         assert line_dedup.edits_within(a, b, budget) == (distance(a, b) <= budget)
 
 
+def test_hot_lines_are_combined_before_the_shuffle(spark, monkeypatch):
+    lines = ["the same line in very many rows"] * 30 + ["the same line in very many rowz", "something else altogether"]
+    want = line_partition(spark, lines)
+    assert want == {**dict.fromkeys(range(31), 0), 31: 31}
+    monkeypatch.setattr(line_dedup, "hot_keys", lambda df, keys: [
+        r[0] for r in df.where("norm like '%rows'").selectExpr("xxhash64(node)").distinct().collect()
+    ])
+    assert line_partition(spark, lines) == want
+
+
+def test_minima_of_a_line_in_pieces(spark):
+    from pyspark.sql import functions as F
+
+    chance = random.Random(4)
+    texts = ["".join(chance.choice("abcdeü") for _ in range(n)) for n in (28, 261, 262, 700)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, norm string").withColumn("chars", F.length("norm"))
+    grams = {(n, t[i : i + 6]) for n, t in enumerate(texts) for i in range(len(t) - 5)}
+    hashed = spark.createDataFrame(sorted(grams), "node long, gram string").selectExpr("node", "xxhash64(gram) as h")
+    want: dict[int, dict[int, int]] = {}
+    for node, h in hashed.collect():
+        slots = want.setdefault(node, {})
+        slot, least = h % line_dedup.SLOTS, (h & (2**64 - 1)) >> 40
+        slots[slot] = min(slots.get(slot, least), least)
+    got = dict(plain(line_dedup.line_minima(df).where("q = 6"), "node", "minima"))
+    assert {n: [s << 24 | m for s, m in sorted(v.items())] for n, v in want.items()} == got
+
+
 def test_short_lines_and_lines_without_spaces_are_compared(spark):
     lines = [
         "terms of service", "terms of servise", "privacy", "privacie", "subscribe now", "subscribe mow",
