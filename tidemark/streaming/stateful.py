@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.session import use_rocksdb
-from tidemark.streaming.slices import window_measures, with_nulls
+from tidemark.streaming.slices import window_measures
 
 MEASURES = ("transaction_count_1h", "total_amount_1h", "avg_amount_1h", "std_amount_1h")
 
@@ -19,12 +19,14 @@ MEASURES = ("transaction_count_1h", "total_amount_1h", "avg_amount_1h", "std_amo
 class ArrivalVelocity(StatefulProcessor):
     """Trailing measures of the rows of one user and one slice of event time.
 
-    A slice is as long as the span, so the windows of its rows reach no further back than the
-    slice before; rows of that one come along as contributors (not ``own``). A row is given
-    out in the micro-batch that brings it, with revision 0; a row that arrives later and lies
-    in its window makes it come out again with the next revision and what it said before.
-    When the watermark has passed the end of a slice nothing can change there, and a timer
-    clears its state: a user who never returns leaves nothing behind.
+    A slice is ``spans`` spans long, as every group of rows costs some calls of the state; rows
+    of the last span of the slice before come along as contributors (not ``own``), since the
+    windows of the slice reach no further back. A row is given out in the micro-batch that
+    brings it, with revision 0; a row that arrives later and lies in its window makes it come
+    out again with the next revision and what it said before. Rows that lie more than a span
+    behind the watermark are dropped with the next rows of the group. When the watermark has passed
+    the end of a slice nothing can change there, and a timer clears its state: a user who never
+    returns leaves nothing behind.
     """
 
     held = "times array<bigint>, numbers array<double>, ids array<{id}>, texts array<string>, own array<boolean>, revisions array<int>"
@@ -36,8 +38,9 @@ class ArrivalVelocity(StatefulProcessor):
         "before_avg_amount_1h double, before_std_amount_1h double"
     )
 
-    def __init__(self, span_seconds: float):
+    def __init__(self, span_seconds: float, spans: int):
         self.span = int(span_seconds * 1_000_000)
+        self.slice = self.span * spans
 
     def typed(self, user: str, id: str) -> ArrivalVelocity:
         self.schema = self.template.format(user=user, id=id)
@@ -50,27 +53,30 @@ class ArrivalVelocity(StatefulProcessor):
         self.state = handle.getValueState("rows", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(rows), ignore_index=True)
-        new = pd.DataFrame(
-            {
-                "times": part["ts"].astype("datetime64[us]").astype("int64"),
-                "numbers": part["number"].astype("float64"),
-                "ids": part["id"],
-                "texts": part["text"],
-                "own": part["own"].astype(bool),
-                "revisions": -1,
-            }
-        )
+        parts = list(rows)
+        part = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        new = {
+            "times": part["ts"].to_numpy("datetime64[us]").astype("int64"),
+            "numbers": part["number"].to_numpy("float64"),
+            "ids": part["id"].to_numpy(),
+            "texts": part["text"].to_numpy(object),
+            "own": part["own"].to_numpy(bool),
+            "revisions": np.full(len(part), -1),
+        }
         # What is behind the watermark may belong to a slice that has been cleared.
-        new = new[new["times"] >= timerValues.getCurrentWatermarkInMs() * 1000]
-        if not len(new):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        in_time = new["times"] >= passed
+        if not in_time.any():
             return
         old = [*self.state.get()] if self.state.exists() else [[] for _ in self.names]
         both = {
-            name: np.concatenate([np.asarray(before, dtype=new[name].dtype), new[name].to_numpy()])
+            name: np.concatenate([np.asarray(before, dtype=new[name].dtype), new[name][in_time]])
             for name, before in zip(self.names, old, strict=True)
         }
         fresh = np.arange(len(both["times"])) >= len(old[0])
+        # No row to come reaches further back than a span behind the watermark.
+        needed = both["times"] >= passed - self.span
+        both, fresh = {n: v[needed] for n, v in both.items()}, fresh[needed]
         order = np.argsort(both["times"], kind="stable")
         both, fresh = {n: v[order] for n, v in both.items()}, fresh[order]
         times, numbers, own = both["times"], both["numbers"], both["own"]
@@ -79,7 +85,7 @@ class ArrivalVelocity(StatefulProcessor):
         again = changed & ~fresh
         both["revisions"] = both["revisions"] + changed
         if key[1] is not None:  # a row without a time waits for nothing
-            self.handle.registerTimer((int(key[1]) + 1) * self.span // 1000 + 1)
+            self.handle.registerTimer((int(key[1]) + 1) * self.slice // 1000 + 1)
         self.state.update(tuple(both[n].tolist() for n in self.names))
         if not changed.any():
             return
@@ -90,12 +96,12 @@ class ArrivalVelocity(StatefulProcessor):
         frame = {
             "user_id": [key[0]] * len(at),
             "transaction_id": both["ids"][changed],
-            "timestamp": pd.to_datetime(pd.Series(at), unit="us"),
+            "timestamp": at.astype("datetime64[us]"),
             "merchant_category": both["texts"][changed],
-            "amount": with_nulls(numbers[changed]),
-            **{n: now[n] if n == MEASURES[0] else with_nulls(now[n]) for n in MEASURES},
+            "amount": numbers[changed],  # NaN becomes null, as in all numbers here
+            **now,
             "revision": both["revisions"][changed],
-            **{f"before_{n}": with_nulls(np.where(first, np.nan, before[n])) for n in MEASURES},
+            **{f"before_{n}": np.where(first, np.nan, before[n]) for n in MEASURES},
         }
         yield pd.DataFrame(frame)
 
@@ -108,16 +114,20 @@ class ArrivalVelocity(StatefulProcessor):
 
 
 def velocity_on_arrival(
-    transactions: DataFrame, span_seconds=3600.0, delay="1 hour"
+    transactions: DataFrame, span_seconds=3600.0, delay="1 hour", spans=16
 ) -> DataFrame:
     """Trailing velocity of every row in the micro-batch it arrives in, and its corrections.
 
     A row has revision 0 first. Rows may come ``delay`` behind the newest one in any order and
     number per micro-batch: the last revision of each row is the same (``newest_revisions``).
+    The rows of a user are grouped by slices of ``spans`` spans.
     """
     use_rocksdb(transactions.sparkSession)
     span = int(span_seconds * 1_000_000)
-    slice = F.floor(F.unix_micros("ts") / span)
+    length = F.lit(span * spans)
+    into = F.pmod(F.unix_micros("ts"), length)
+    slice = ((F.unix_micros("ts") - into) / length).cast("long")
+    next_too = F.array(F.lit(True), F.lit(False))
     rows = (
         transactions.select(
             "user_id",
@@ -128,11 +138,11 @@ def velocity_on_arrival(
         )
         .withWatermark("ts", delay)
         .where(F.col("ts").isNotNull())
-        .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
+        .select("*", F.explode(F.when(into >= length - span, next_too).otherwise(F.array(F.lit(True)))).alias("own"))
         .withColumn("slice", F.when(F.col("own"), slice).otherwise(slice + 1))
     )
     types = dict(rows.dtypes)
-    processor = ArrivalVelocity(span_seconds).typed(types["user_id"], types["id"])
+    processor = ArrivalVelocity(span_seconds, spans).typed(types["user_id"], types["id"])
     return rows.groupBy("user_id", "slice").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.schema,
