@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 from py4j.protocol import Py4JJavaError
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.protect import hash_slot
+from tidemark.session import cut_lineage
 
 FEATURES = ["user_id", "item_id", "hour_of_day", "day_of_week"]
 
@@ -91,17 +93,23 @@ def fit_boosted(
     """(model, test AUC, importances): class-weighted boosted trees on an 80/20 split.
 
     The model ends at the round with the least loss on the test part, before ``patience``
-    rounds in a row that bring no lower one. Spark's learner takes no further rounds on a
-    model it has fitted, so twice the patience is fitted first, then twice as many rounds while
-    the losses still fall; equal seeds give equal trees, and the last fit stops at the best one.
+    rounds in a row that bring no lower one. A patience of one round is what Spark's learner
+    does in a single fit. It takes no further rounds on a model it has fitted, so for others
+    twice the patience is fitted first, then twice as many rounds while the losses still fall;
+    equal seeds give equal trees, and the last fit stops at the best one. Rows with equal
+    features, label and part are learned from as one with the sum of their weights.
     """
     train, test = stratified_split(df, label, id, seed=seed)
     joined = assembler(features)
-    weighted = joined.transform(class_weights(train, label)).select("features", label, "weight")
-    held = joined.transform(test.withColumn("weight", F.lit(1.0))).select("features", label, "weight")
+    parts = class_weights(train, label).withColumn("held", F.lit(False)).unionByName(
+        test.withColumns({"weight": F.lit(1.0), "held": F.lit(True)})
+    )
+    grouped = parts.groupBy(*features, label, "held").agg(F.sum("weight").alias("weight"))
+    both = cut_lineage(joined.transform(grouped).select("features", label, "weight", "held"))
+    weighted, held = both.where("NOT held"), both.where("held")
 
-    def fitted(count):
-        learner = GBTClassifier(
+    def learner(count, **options):
+        return GBTClassifier(
             featuresCol="features",
             labelCol=label,
             weightCol="weight",
@@ -109,8 +117,17 @@ def fit_boosted(
             maxDepth=depth,
             stepSize=rate,
             seed=seed,
+            **options,
         )
-        return learner.fit(weighted)
+
+    def fitted(count):
+        return learner(count).fit(weighted)
+
+    if patience == 1 and not held.isEmpty():
+        # The least tolerance above 0: a round with an equal loss is the last one, too.
+        once = learner(rounds, validationIndicatorCol="held", validationTol=sys.float_info.min)
+        model = PipelineModel(stages=[joined, once.fit(both)])
+        return model, auc(model.transform(test), label), importances(df.sparkSession, model, features)
 
     made = min(rounds, 2 * patience)
     while True:
