@@ -3,6 +3,8 @@
 Every round each task computes the weighted gradient of its rows with the current weights;
 the sums of tasks are added up in a few tasks more and only then reach the driver, which takes
 one Adam step. No row is copied for its weight, and what is sent grows with the network only.
+Rows with equal features and label have equal gradients and are learned from as one row with the
+sum of their weights, so rounds grow with the distinct rows.
 """
 
 from __future__ import annotations
@@ -136,16 +138,20 @@ def fit_weighted(
         usable = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v))
         return known.where(F.col("y").isNotNull() & usable)
 
-    both = cut_lineage(rows(train, False).unionByName(rows(test, True)))
+    everything = rows(train, False).unionByName(rows(test, True))
+    both = cut_lineage(
+        everything.groupBy("x", "y", "test").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("rows"))
+        .select("x", "y", "weight", "test", "rows")
+    )
+    learned = both.where(~F.col("test"))
     of = [F.col("x")[i] for i in range(len(features))]
-    stats = both.where(~F.col("test")).agg(
-        F.count(F.lit(1)), *[F.avg(c) for c in of], *[F.stddev_pop(c) for c in of]
-    ).first()
-    if not stats[0]:
+    count, *sums = learned.agg(F.sum("rows"), *[F.sum(c * F.col("rows")) for c in of]).first()
+    if not count:
         raise ValueError("there is no row to train on")
-    n = len(features)
-    deviation = np.array(stats[n + 1 :], float)
-    network = _start(features, hidden, np.array(stats[1 : n + 1]), np.where(deviation > 0, deviation, 1.0), seed)
+    mean = np.array(sums, float) / count
+    apart = [F.sum((c - float(m)) * (c - float(m)) * F.col("rows")) for c, m in zip(of, mean, strict=True)]
+    deviation = np.sqrt(np.array(learned.agg(*apart).first(), float) / count)
+    network = _start(features, hidden, mean, np.where(deviation > 0, deviation, 1.0), seed)
     best, least, since, losses = network, np.inf, 0, []
     values = network.flat()
     first, second = np.zeros_like(values), np.zeros_like(values)
