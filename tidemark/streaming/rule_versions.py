@@ -19,7 +19,8 @@ OUTPUT = "event string, rule string"
 class VersionLookup(StatefulProcessor):
     """Holds the versions of one rule, and the events until the watermark has passed them.
 
-    Events wait as one array per micro-batch. Versions that ended before the watermark go.
+    Events wait as arrays of at most one Arrow batch and are taken up again array by array, so
+    memory does not grow with the events of a key. Versions that ended before the watermark go.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -33,39 +34,47 @@ class VersionLookup(StatefulProcessor):
 
     def _wait(self, times: np.ndarray, events: np.ndarray) -> None:
         self.waiting.appendValue((times.tolist(), events.tolist()))
-        self.handle.registerTimer(int(times.min()) // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(rows), ignore_index=True)
-        is_rule = part["rule"].notna()
-        if is_rule.any():
-            valid, rules = self._known()
-            valid = np.concatenate([valid, part.loc[is_rule, "at"].to_numpy(np.int64)])
-            rules = np.concatenate([rules, part.loc[is_rule, "rule"].to_numpy(object)])
-            # Of versions valid from one moment the one greatest as text counts, always the same.
-            order = np.lexsort((rules.astype(str), valid))
-            self.versions.update((valid[order].tolist(), rules[order].tolist()))
-        events = part[~is_rule]
-        if len(events):
-            self._wait(events["at"].to_numpy(np.int64), events["event"].to_numpy(object))
+        first = None
+        for part in rows:
+            is_rule = part["rule"].notna()
+            if is_rule.any():
+                valid, rules = self._known()
+                valid = np.concatenate([valid, part.loc[is_rule, "at"].to_numpy(np.int64)])
+                rules = np.concatenate([rules, part.loc[is_rule, "rule"].to_numpy(object)])
+                # Of versions valid from one moment the one greatest as text counts, always the same.
+                order = np.lexsort((rules.astype(str), valid))
+                self.versions.update((valid[order].tolist(), rules[order].tolist()))
+            events = part[~is_rule]
+            if len(events):
+                times = events["at"].to_numpy(np.int64)
+                self._wait(times, events["event"].to_numpy(object))
+                first = int(times.min()) if first is None else min(first, int(times.min()))
+        if first is not None:
+            self.handle.registerTimer(first // 1000)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        if not held:
+        if not self.waiting.exists():
             return
-        times = np.concatenate([np.asarray(t, np.int64) for t, _ in held])
-        events = np.concatenate([np.asarray(e, object) for _, e in held])
-        ready = times // 1000 <= limit // 1000
-        self.waiting.clear()
-        if not ready.all():
-            self._wait(times[~ready], events[~ready])
         valid, rules = self._known()
-        if ready.any():
-            place = np.searchsorted(valid, times[ready], "right") - 1
-            chosen = [rules[p] if p >= 0 else None for p in place]
-            yield pd.DataFrame({"event": events[ready], "rule": chosen})
+        later = []
+        for times, events in self.waiting.get():
+            times, events = np.asarray(times, np.int64), np.asarray(events, object)
+            ready = times // 1000 <= limit // 1000
+            if ready.any():
+                place = np.searchsorted(valid, times[ready], "right") - 1
+                chosen = [rules[p] if p >= 0 else None for p in place]
+                yield pd.DataFrame({"event": events[ready], "rule": chosen})
+            if not ready.all():
+                later.append((times[~ready], events[~ready]))
+        self.waiting.clear()
+        for times, events in later:  # what the delay of the watermark holds back
+            self._wait(times, events)
+        if later:
+            self.handle.registerTimer(min(int(times.min()) for times, _ in later) // 1000)
         ended = int(np.searchsorted(valid, limit, "right")) - 1
         if ended > 0:
             self.versions.update((valid[ended:].tolist(), rules[ended:].tolist()))
