@@ -545,6 +545,39 @@ def test_betweenness_equals_brute_force(spark):
         assert got[node] == pytest.approx(want[node], abs=1e-9)
 
 
+def test_betweenness_of_many_parts(spark, monkeypatch):
+    from tidemark.operators import centrality
+
+    for name, least in (("EDGES_A_PART", 6), ("CHUNK", 2), ("ROWS_A_BUCKET", 9)):
+        monkeypatch.setattr(centrality, name, least)
+    r = random.Random(12)
+    weights = {}
+    for _ in range(26):
+        a, b = sorted(r.sample(range(14), 2))
+        weights[f"n{a}", f"n{b}"] = r.randrange(1, 4) / 10
+    weights["far", "away"] = 0.3
+    adjacency = {}
+    for (a, b), w in weights.items():
+        adjacency.setdefault(a, {})[b] = w
+        adjacency.setdefault(b, {})[a] = w
+    # A second and longer edge the other way, a loop.
+    data = [(a, b, w) for (a, b), w in weights.items()] + [("away", "far", 0.5), ("far", "far", 0.1)]
+    edges = spark.createDataFrame(data, "src string, dst string, weight double")
+    got = {r["node"]: r["betweenness_centrality"] for r in graph.betweenness(edges).collect()}
+    # Tenths as whole numbers, since the brute force compares sums exactly.
+    want = brandes({a: {b: round(10 * w) for b, w in n.items()} for a, n in adjacency.items()})
+    assert got == {node: pytest.approx(value, abs=1e-9) for node, value in want.items()}
+
+
+def test_betweenness_of_a_pivot_at_an_edge_without_weight(spark):
+    names = spark.createDataFrame([("a",), ("b",), ("c",)], "node string")
+    pivot = graph.pivots(names, 1).first()["node"]
+    near, end = sorted({"a", "b", "c"} - {pivot})
+    edges = spark.createDataFrame([(pivot, near, 0.0), (near, end, 1.0)], "src string, dst string, weight double")
+    got = {r["node"]: r["betweenness_centrality"] for r in graph.betweenness(edges, k=1).collect()}
+    assert got == {pivot: 0.0, near: 1.5, end: 0.0}
+
+
 def test_last_amount_is_the_weight(spark):
     df = spark.createDataFrame(
         [(1, 1, 1, START, 5.0), (2, 1, 1, START + timedelta(1), 3.0)],

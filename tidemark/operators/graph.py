@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import centrality
 from tidemark.operators.components import connected
-from tidemark.operators.hotkeys import hot_keys, join_unique
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, shared_folder
 
 
 def user_merchant_edges(
@@ -67,170 +67,51 @@ def communities(edges: DataFrame) -> DataFrame:
     )
 
 
-def pivots(edges: DataFrame, k=100, seed=7) -> DataFrame:
-    """min(k, n) nodes chosen by a seeded hash."""
-    return (
-        nodes_of(edges)
-        .orderBy(F.xxhash64(F.lit(seed), "node"), "node")
-        .limit(k)
-        .select(F.col("node").alias("pivot"))
-    )
+def pivots(nodes: DataFrame, k=100, seed=7) -> DataFrame:
+    """min(k, n) of the rows of ``nodes``, chosen by a seeded hash."""
+    return nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(k)
 
 
 def betweenness(edges: DataFrame, k=100, seed=7) -> DataFrame:
     """Betweenness estimated from min(k, n) pivots with edge weights as distances.
 
-    Three iterations over (pivot, node) tables: distances by relaxing edges until none
-    improves, path counts forward along the shortest-path edges, and dependencies back
-    along them; each goes on until nothing changes. A negative weight is an error. Scores
-    are scaled as for an undirected graph and by n / k for the sampled pivots.
+    Distances by relaxing edges until none improves, path counts forward along the
+    shortest-path edges, and dependencies back along them, all pivots at once
+    (``centrality``); each goes on until nothing changes. A negative weight is an error.
+    Nodes behind a cycle of edges without weight have no path counts. Scores are scaled as
+    for an undirected graph and by n / k for the sampled pivots.
     """
-    links = cut_lineage(
-        both_ways(edges.select("src", "dst", "weight"))
-        .groupBy("src", "dst")
-        .agg(F.min("weight").alias("weight"))
-    )
-    if not links.where("weight < 0").isEmpty():
+    spark = edges.sparkSession
+    folder = shared_folder(spark, "pairs")
+    pairs = edges.select(F.least("src", "dst").alias("one"), F.greatest("src", "dst").alias("other"), "weight")
+    pairs.groupBy("one", "other").agg(F.min("weight").alias("weight")).write.parquet(folder)
+    pairs = spark.read.parquet(folder)
+    if not pairs.where("weight < 0").isEmpty():
         raise ValueError("edge weights must not be negative")
-    hubs = hot_keys(links, ["src"])
-    chosen = cut_lineage(pivots(links, k, seed))
-    best = cut_lineage(
-        chosen.select("pivot", F.col("pivot").alias("node"), F.lit(0.0).alias("dist"))
-    )
-    changed = best
-    while True:
-        # At most k rows of ``changed`` per node meet the edges of a hub.
-        reached = (
-            join_unique(
-                links, changed.withColumnRenamed("node", "src"), ["src"], "inner", hubs
-            )
-            .groupBy("pivot", F.col("dst").alias("node"))
-            .agg(F.min(F.round(F.col("dist") + F.col("weight"), 9)).alias("_new"))
-        )
-        merged = cut_lineage(
-            best.join(reached, ["pivot", "node"], "full").select(
-                "pivot",
-                "node",
-                F.least("dist", "_new").alias("dist"),
-                F.coalesce(F.col("_new") < F.col("dist"), F.col("_new").isNotNull()).alias("_up"),
-            )
-        )
-        best = merged.drop("_up")
-        changed = merged.where("_up").drop("_up")
-        if changed.isEmpty():
-            break
-
-    near = best.select("pivot", F.col("node").alias("src"), F.col("dist").alias("_from"))
-    steps = cut_lineage(
-        join_unique(links, near, ["src"], "inner", hubs)
-        .join(best.withColumnRenamed("node", "dst"), ["pivot", "dst"])
-        .where(F.round(F.col("_from") + F.col("weight"), 9) == F.col("dist"))
-        .select("pivot", "src", "dst")
-    )
-    paths = _along(steps, "src", "dst", chosen)
-    share = cut_lineage(
-        steps.join(paths.select("pivot", F.col("node").alias("src"), F.col("n").alias("_ns")), ["pivot", "src"])
-        .join(paths.select("pivot", F.col("node").alias("dst"), F.col("n").alias("_nd")), ["pivot", "dst"])
-        .select("pivot", "src", "dst", (F.col("_ns") / F.col("_nd")).alias("share"))
-    )
-    dependency = _back(share, best)
-    n = nodes_of(links).agg(F.count(F.lit(1))).scalar().cast("double")
-    used = chosen.agg(F.count(F.lit(1))).scalar().cast("double")
-    scale = F.try_divide(n, (n - 1) * (n - 2) * used)
-    sums = (
-        dependency.where(F.col("pivot") != F.col("node"))
-        .groupBy("node")
-        .agg(F.sum("d").alias("_d"))
-    )
-    return nodes_of(links).join(sums, "node", "left").select(
-        "node",
-        F.coalesce(F.col("_d") * scale, F.lit(0.0)).alias("betweenness_centrality"),
-    )
-
-
-def _along(steps, tail, head, chosen):
-    """Number of shortest paths from the pivot to each node.
-
-    A node is settled in the round after its last predecessor was.
-    """
-    wanted = steps.groupBy("pivot", F.col(head).alias("node")).agg(
-        F.count(F.lit(1)).alias("_preds")
+    ends = pairs.select(F.col("one").alias("src"), F.col("other").alias("dst"))
+    folder = shared_folder(spark, "nodes")
+    degrees = cut_lineage(both_ways(ends).groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree")))
+    degrees.withColumn("id", F.monotonically_increasing_id()).write.parquet(folder)
+    nodes = spark.read.parquet(folder)
+    chosen = [row["id"] for row in pivots(nodes, k, seed).collect()]
+    rank = F.struct("degree", "id").alias("rank")
+    one = nodes.select(F.col("node").alias("one"), rank).withColumnRenamed("rank", "here")
+    other = nodes.select(F.col("node").alias("other"), rank).withColumnRenamed("rank", "there")
+    ranked = pairs.where("one != other and weight is not null").join(one, "one").join(other, "other")
+    parts = centrality.Parts(
+        ranked.select(
+            F.least("here", "there")["id"].alias("low"), F.greatest("here", "there")["id"].alias("high"),
+            F.col("weight").cast("double").alias("weight"),
+        ),
+        chosen,
+    )
+    for kind in centrality.KINDS:
+        parts.settle(kind)
+    n, used = float(nodes.count()), float(len(chosen))
+    scale = F.try_divide(F.lit(n), F.lit((n - 1) * (n - 2) * used))
+    return nodes.join(parts.sums(), "id", "left").select(
+        "node", F.coalesce(F.col("total") * scale, F.lit(0.0)).alias("betweenness_centrality")
     )
-    state = cut_lineage(
-        chosen.select("pivot", F.col("pivot").alias("node"), F.lit(1.0).alias("n"))
-    )
-    fresh = state
-    open_nodes = cut_lineage(
-        wanted.select("pivot", "node", "_preds", F.lit(0).cast("long").alias("_seen"), F.lit(0.0).alias("_sum"))
-    )
-    while True:
-        sent = (
-            fresh.withColumnRenamed("node", tail)
-            .join(steps, ["pivot", tail])
-            .groupBy("pivot", F.col(head).alias("node"))
-            .agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_n"))
-        )
-        open_nodes = cut_lineage(
-            open_nodes.join(sent, ["pivot", "node"], "left").select(
-                "pivot",
-                "node",
-                "_preds",
-                (F.col("_seen") + F.coalesce("_c", F.lit(0))).alias("_seen"),
-                (F.col("_sum") + F.coalesce("_n", F.lit(0.0))).alias("_sum"),
-            )
-        )
-        # Filters on a checkpointed table: cheap to repeat, nothing to cut.
-        fresh = open_nodes.where("_seen = _preds").select(
-            "pivot", "node", F.col("_sum").alias("n")
-        )
-        if fresh.isEmpty():
-            return cut_lineage(state)
-        open_nodes = open_nodes.where("_seen < _preds")
-        state = state.unionByName(fresh)
-
-
-def _back(share, best):
-    """Dependency of each pivot on each node, from the farthest nodes back."""
-    waiting = share.groupBy("pivot", F.col("src").alias("node")).agg(
-        F.count(F.lit(1)).alias("_succ")
-    )
-    open_nodes = cut_lineage(
-        best.select("pivot", "node")
-        .join(waiting, ["pivot", "node"], "left")
-        .select(
-            "pivot",
-            "node",
-            F.coalesce("_succ", F.lit(0)).cast("long").alias("_succ"),
-            F.lit(0).cast("long").alias("_seen"),
-            F.lit(0.0).alias("d"),
-        )
-    )
-    done = None
-    while True:
-        fresh = open_nodes.where("_seen = _succ").select("pivot", "node", "d")
-        if fresh.isEmpty():
-            return done
-        done = fresh if done is None else done.unionByName(fresh)
-        sent = (
-            fresh.withColumnRenamed("node", "dst")
-            .join(share, ["pivot", "dst"])
-            .groupBy("pivot", F.col("src").alias("node"))
-            .agg(
-                F.count(F.lit(1)).alias("_c"),
-                F.sum(F.col("share") * (F.lit(1.0) + F.col("d"))).alias("_d"),
-            )
-        )
-        open_nodes = cut_lineage(
-            open_nodes.where("_seen < _succ")
-            .join(sent, ["pivot", "node"], "left")
-            .select(
-                "pivot",
-                "node",
-                "_succ",
-                (F.col("_seen") + F.coalesce("_c", F.lit(0))).alias("_seen"),
-                (F.col("d") + F.coalesce("_d", F.lit(0.0))).alias("d"),
-            )
-        )
 
 
 def ancestors(edges: DataFrame, dataset: str) -> DataFrame:
