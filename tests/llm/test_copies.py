@@ -301,6 +301,24 @@ def test_lines_of_one_crowd_are_linked_to_each_other(spark):
     assert line_partition(spark, lines, line_dedup.Settings(crowd=4)) == want
 
 
+@pytest.mark.parametrize("block", [7, 1000])
+def test_every_pair_of_a_crowd_is_compared(spark, monkeypatch, block):
+    from pyspark.sql import functions as F
+
+    # One key for all lines: no other key splits the crowd, and its hub is alike to few.
+    monkeypatch.setattr(line_dedup, "line_keys", lambda minima: minima.select(
+        "node", "chars", F.lit(5).cast("long").alias("key")
+    ).distinct())
+    chance = random.Random(10)
+    lines = []
+    for _ in range(40):
+        line = "".join(chance.choice("abcdefghijklmnop") for _ in range(60))
+        lines += [line, line[:30] + "zz" + line[32:], line[:10] + "yyyy" + line[14:]]
+    links = [(a, b) for a, b in combinations(range(len(lines)), 2) if alike_lines(lines[a], lines[b])]
+    want = roots(range(len(lines)), links)
+    assert line_partition(spark, lines, line_dedup.Settings(crowd=4, block=block)) == want
+
+
 def test_long_lines_are_compared_by_edits(spark):
     chance = random.Random(9)
     words = ["".join(chance.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(500)]
