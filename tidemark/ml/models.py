@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
+import math
 import sys
+import uuid
 from collections.abc import Callable, Iterator
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.protect import hash_slot
 from tidemark.session import cut_lineage
 
 FEATURES = ["user_id", "item_id", "hour_of_day", "day_of_week"]
 
+BINS = 32  # of a feature in a forest, Spark's own number
+BIN_PREFIX = "_bin_"
+FEW_ROWS = 10_000_000  # different rows up to which the tasks of a tree are counted by rows
+ROWS_A_TASK = 20_000
 
 # What Spark says of a path without files.
 MISSING = ("Input path does not exist", "PATH_NOT_FOUND", "FileNotFoundException")
@@ -51,11 +63,102 @@ def fit_logistic(train: DataFrame, features=FEATURES, label="label", max_iter=20
     return Pipeline(stages=[assembler(features), model]).fit(train)
 
 
-def fit_forest(train: DataFrame, features, label="label", trees=100, depth=10, seed=42):
-    model = RandomForestClassifier(
-        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
+def bin_edges(df: DataFrame, features, bins=BINS) -> list[list[float]]:
+    """The edges of at most ``bins`` bins of each feature, over all rows: between neighbouring
+    values if there are no more values than bins, at quantiles otherwise."""
+    cuts = [i / bins for i in range(1, bins)]
+    about = df.agg(*[
+        F.struct(
+            F.approx_count_distinct(f).alias("values"),
+            F.percentile_approx(F.col(f).cast("double"), cuts, 10_000).alias("cuts"),
+        ).alias(f"f{i}")
+        for i, f in enumerate(features)
+    ]).first()
+    found = []
+    for f, (values, edges) in zip(features, about, strict=True):
+        if values <= 2 * bins:  # an estimate, so that a long list is never read
+            few = df.select(F.col(f).cast("double").alias("v")).where("v IS NOT NULL").distinct()
+            few = sorted(r[0] for r in few.limit(bins + 1).collect())
+            if len(few) <= bins:
+                edges = [(a + b) / 2 for a, b in zip(few, few[1:])]
+        edges = sorted({e for e in edges or [] if math.isfinite(e)})
+        found.append([-math.inf, *(edges or [0.0]), math.inf])
+    return found
+
+
+def bootstrapped(grouped: DataFrame, rows: str, trees: int, seed: int) -> DataFrame:
+    """Add ``draws``: how often each tree draws a row that stands for ``rows`` equal ones.
+
+    A forest draws every row by a Poisson number of mean 1; the numbers of n equal rows
+    add up to one of mean n. A draw depends on the values of its row only."""
+    key = F.xxhash64(F.lit(seed), *[c for c in grouped.columns if c != rows])
+    keyed = grouped.withColumn("_key", key)
+    schema = T.StructType([*grouped.schema.fields, T.StructField("draws", T.ArrayType(T.LongType()))])
+
+    def draw(frames: Iterator) -> Iterator:
+        for frame in frames:
+            drawn = [
+                np.random.default_rng(int(k) % 2**64).poisson(n, trees)
+                for k, n in zip(frame["_key"], frame[rows], strict=True)
+            ]
+            yield frame.drop(columns="_key").assign(draws=drawn)
+
+    return keyed.mapInPandas(draw, schema)
+
+
+def fit_forest(train: DataFrame, features, label="label", trees=100, depth=10, seed=42, threads=8):
+    """A random forest over binned features, of which ``threads`` trees are fitted at a time.
+
+    Spark's forest compares bins, too, but walks all trees for every row and level. Here rows
+    with equal bins and label become one row with their number, of which each tree draws its
+    own part, so rounds grow with the different rows; of those there are at most as many
+    as combinations of bins.
+    """
+    binned = [BIN_PREFIX + f for f in features]
+    edges = bin_edges(train, features)
+    binner = Bucketizer(inputCols=list(features), outputCols=binned, splitsArray=edges)
+    grouped = binner.transform(train).groupBy(*binned, label).agg(F.count(F.lit(1)).alias("_rows"))
+    drawn = cut_lineage(bootstrapped(grouped, "_rows", trees, seed))
+    classes, different = drawn.agg(F.max(label), F.count(F.lit(1))).first()
+    if not different:
+        raise ValueError("no rows to learn from")
+    if different <= FEW_ROWS:
+        drawn = drawn.coalesce(1 + different // ROWS_A_TASK)
+    joined = assembler(binned)
+    totals = {r[0]: r[1] for r in drawn.select(F.posexplode("draws")).groupBy("pos").agg(F.sum("col")).collect()}
+    # A tree may draw rows of one class only; the classes are known from all rows.
+    known = {"ml_attr": {"type": "nominal", "num_vals": max(int(classes) + 1, 2)}}
+    points = joined.transform(drawn).select(
+        "features", F.col(label).cast("double").alias("label", metadata=known), "draws", "_rows"
     )
-    return Pipeline(stages=[assembler(features), model]).fit(train)
+
+    def fitted(tree):
+        # A tree of very few rows that draws none of them learns from each once.
+        weight = F.col("draws")[tree] if totals[tree] else F.col("_rows")
+        learner = RandomForestClassifier(
+            numTrees=1, maxDepth=depth, maxBins=BINS, bootstrap=False, weightCol="weight",
+            featureSubsetStrategy="sqrt", seed=seed + tree,
+        )
+        return learner.fit(points.withColumn("weight", weight).where("weight > 0")).trees[0]
+
+    with ThreadPool(threads) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(fitted), range(trees))
+    return PipelineModel(stages=[binner, joined, joined_trees(found, len(binned))])
+
+
+def joined_trees(trees: list, features: int) -> RandomForestClassificationModel:
+    """One forest of fitted trees, made as PySpark makes a model of several others."""
+    classes = trees[0].numClasses
+    kind = "org.apache.spark.ml.classification."
+    jvm = SparkContext._active_spark_context._jvm
+    array = JavaWrapper._new_java_array(
+        [t._java_obj for t in trees],
+        getattr(jvm, kind + "DecisionTreeClassificationModel"),
+    )
+    uid = f"RandomForestClassifier_{uuid.uuid4().hex[:12]}"
+    made = JavaWrapper._new_java_obj(kind + "RandomForestClassificationModel", uid, array, features, classes)
+    made.set(made.getParam("numTrees"), len(trees))  # a saved forest is read by this number
+    return RandomForestClassificationModel(made)
 
 
 def stratified_split(df: DataFrame, label="label", id="id", test_share=0.2, seed=42):
@@ -178,7 +281,7 @@ def score(df: DataFrame, model: PipelineModel, threshold=0.5) -> DataFrame:
     )
     return scored.withColumn(
         "prediction", (F.col("probability") >= threshold).cast("int")
-    ).drop("features", "raw", "rawPrediction")
+    ).drop("features", "raw", "rawPrediction", *[c for c in scored.columns if c.startswith(BIN_PREFIX)])
 
 
 def score_or_rules(rows: DataFrame, path: str | None, **decision_options) -> DataFrame:
