@@ -360,6 +360,33 @@ def test_minima_of_a_line_in_pieces(spark):
     assert {n: [s << 24 | m for s, m in sorted(v.items())] for n, v in want.items()} == got
 
 
+@pytest.mark.parametrize("letters", ["abcde", "abcdeü漢"])
+def test_grams_of_ascii_by_bytes_and_of_others_by_pieces(spark, letters):
+    from pyspark.sql import functions as F
+
+    chance = random.Random(5)
+    texts = ["".join(chance.choice(letters) for _ in range(n)) for n in (1, 2, 11, 12, 30, 400, 4101, 4102, 9000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, norm string").withColumn("chars", F.length("norm"))
+    widths = [(w, least, most) for w, _, least, most in line_dedup.WIDTHS]
+    grams = [
+        (n, w, t[i : i + w])
+        for n, t in enumerate(texts) for w, least, most in widths if least <= len(t) < most
+        for i in range(max(len(t) - w + 1, 1))
+    ]
+    want = spark.createDataFrame(grams, "node long, q int, gram string").selectExpr("node", "q", "xxhash64(gram) h")
+    got = line_dedup._grams(df)
+    assert plain(got, "node", "q", "gram") == plain(want, "node", "q", "h")
+
+
+def test_keys_of_a_line_are_distinct_without_a_shuffle(spark):
+    repeated = spark.createDataFrame(
+        [(1, 9, 2, [5, 5, 5, 5]), (2, 40, 6, [7 << 24 | 3])], "node long, chars int, q int, minima array<int>"
+    )
+    keys = line_dedup.line_keys(repeated)
+    assert len(plain(keys, "node", "key")) == len(set(plain(keys, "node", "key"))) == 2
+    assert "Exchange" not in keys._jdf.queryExecution().executedPlan().toString()
+
+
 def test_short_lines_and_lines_without_spaces_are_compared(spark):
     lines = [
         "terms of service", "terms of servise", "privacy", "privacie", "subscribe now", "subscribe mow",
