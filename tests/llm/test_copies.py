@@ -393,3 +393,32 @@ def test_short_lines_and_lines_without_spaces_are_compared(spark):
         "漢字文本去重需要比較每一行的內容", "漢字文本去重需要比较每一行的內容", "cat", "dog", "全然違う行です",
     ]
     assert line_partition(spark, lines) == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10}
+
+
+def test_a_form_leaves_out_only_what_minima_leave_out(spark):
+    from pyspark.sql import functions as F
+
+    chance = random.Random(12)
+    base = ["".join(chance.choice("abcdef") for _ in range(n)) for n in (28, 60, 300, 900)]
+    texts = [t[:i] + "zz" * i + t[i:] for t in base for i in (0, 1, 9, 25)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, norm string").withColumn("chars", F.length("norm"))
+    found = line_dedup.line_minima(df).where("q = 6").select("node", "minima", "form").checkpoint()
+    one, other = found.toDF("a", "m", "f"), found.toDF("b", "n", "g")
+    rows = one.crossJoin(other).select("m", "n", line_dedup._unlike(F.col("f"), F.col("g"), line_dedup.Settings())).collect()
+    assert any(unlike for _, _, unlike in rows)
+    assert all(len(set(m) & set(n)) < 0.18 * max(len(m), len(n)) for m, n, unlike in rows if unlike)
+    # A byte of 127 values tells nearly all different minima apart.
+    apart = [unlike for m, n, unlike in rows if len(set(m) & set(n)) < 0.1 * max(len(m), len(n))]
+    assert sum(apart) >= 0.9 * len(apart)
+
+
+def test_alike_lines_are_joined_up_by_few_alignments(spark, monkeypatch):
+    aligned = []
+    alike = line_dedup._alike
+    monkeypatch.setattr(line_dedup, "_alike", lambda pairs, settings: aligned.append(pairs.count()) or alike(pairs, settings))
+    chance = random.Random(13)
+    base = "".join(chance.choice("abcdefghijklmnop") for _ in range(120))
+    lines = [base[:i] + "zz" + base[i + 2 :] for i in range(5, 45)]
+    assert set(line_partition(spark, lines).values()) == {0}
+    # All pairs would be 780.
+    assert len(lines) - 1 <= sum(aligned) <= 4 * len(lines)
