@@ -422,3 +422,38 @@ def test_alike_lines_are_joined_up_by_few_alignments(spark, monkeypatch):
     assert set(line_partition(spark, lines).values()) == {0}
     # All pairs would be 780.
     assert len(lines) - 1 <= sum(aligned) <= 4 * len(lines)
+
+
+def test_pairs_are_alike_by_their_edit_distance_on_every_way(spark):
+    chance = random.Random(14)
+
+    def text(n):
+        return "".join(chance.choice("abcdeü ") for _ in range(n)).replace(" ", "x")
+
+    rows = []
+    for n in (1, 5, 28, 60, 90, 150):
+        for rate in (0, 0.05, 0.15, 0.19, 0.21, 0.25, 1):
+            one = text(n)
+            other = one[: n // 3] + "".join(
+                chance.choice((c, c + "z", "", "y")) if chance.random() < 1.7 * rate else c for c in one[n // 3 :]
+            )
+            rows += [(one, other), (one, text(n)), (one, one[: n // 2] + text(n - n // 2)), (one + text(n // 9), other)]
+    want = [alike_lines(a, b) for a, b in rows]
+    assert 40 < sum(want) < len(want) - 40
+    df = spark.createDataFrame([(i, -i, a, b) for i, (a, b) in enumerate(rows)], "node long, hub long, one string, other string")
+    got = dict(plain(line_dedup._alike(df, line_dedup.Settings()), "node", "alike"))
+    assert [got[i] for i in range(len(rows))] == want
+    near = line_dedup._near(df.selectExpr("*", "int(floor(0.2 * greatest(length(one), length(other)) + 1e-9)) as budget"))
+    assert plain(near, "node", "alike") == sorted(got.items(), key=repr)
+
+
+def test_minima_of_a_line_are_aggregated_as_numbers(spark):
+    df = spark.createDataFrame([(1, "some words of a line that is long enough", 40)], "node long, norm string, chars int")
+    plan = line_dedup.line_minima(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_the_conf_of_a_session_stays_after_line_groups(spark, odd):
+    before = {key: spark.conf.get(key, None) for key in line_dedup.STEP_CONF}
+    assert line_dedup.line_groups(odd()).count() > 0
+    assert {key: spark.conf.get(key, None) for key in line_dedup.STEP_CONF} == before
